@@ -68,7 +68,8 @@ def disparity_deciles(counts: DataFrame, q: int = 10) -> DataFrame:
     A zone holds only the values of a factor, so its tile is a plain window.  A factor
     holds zones times values rows, so that tile is computed over range-partitioned slices.
     """
-    falling = F.col("cnt_zscore").desc_nulls_last()
+    # Equal z-scores of different zones may differ in the last bits; they count as equal.
+    falling = F.round("cnt_zscore", 12).desc_nulls_last()
     in_zone = Window.partitionBy("zone", "factor").orderBy(falling, F.col("value").asc_nulls_last())
     scored = factor_zscore(counts.filter(F.col("factor").isNotNull()))
     tiled = scored.withColumn("cnt_quantile", F.ntile(q).over(in_zone))

@@ -45,12 +45,12 @@ def random_forest(label: str, trees: int = DEFAULT_TREES, seed: int = 42, **para
 def boosted_trees(label: str, validation: str, tolerance: float = 0.01, seed: int = 42, **params) -> GBTClassifier:
     """Boosted trees that stop when the rows flagged by ``validation`` no longer improve."""
     names = output_columns(label)
-    return GBTClassifier(
+    trees = GBTClassifier(
         labelCol=label, featuresCol="features", maxBins=MAX_BINS, seed=seed,
         validationIndicatorCol=validation, validationTol=tolerance,
-        predictionCol=names["predictionCol"], probabilityCol=names["probabilityCol"],
-        rawPredictionCol=names["rawPredictionCol"], **params,
+        predictionCol=names["predictionCol"], **params,
     )
+    return trees.setProbabilityCol(names["probabilityCol"]).setRawPredictionCol(names["rawPredictionCol"])
 
 
 def logistic(label: str, weight: str | None = None, **params) -> LogisticRegression:
@@ -62,7 +62,8 @@ def feature_pipeline(categorical: Sequence[str], numeric: Sequence[str], label:
                      classifier: Estimator, scale: bool = False) -> Pipeline:
     """Index categories by frequency, assemble, train, and tune the threshold.
 
-    Unseen categories get an index of their own.  ``scale`` standardises the vector.
+    Unseen categories get an index of their own; a missing number is an error.  ``scale``
+    standardises the vector.
     """
     stages = []
     if categorical:
@@ -73,7 +74,6 @@ def feature_pipeline(categorical: Sequence[str], numeric: Sequence[str], label:
     assembled = "assembled" if scale else "features"
     stages.append(VectorAssembler(
         inputCols=[f"{c}_INT" for c in categorical] + list(numeric), outputCol=assembled,
-        handleInvalid="keep",
     ))
     if scale:
         stages.append(StandardScaler(inputCol=assembled, outputCol="features", withMean=True, withStd=True))
@@ -110,7 +110,7 @@ def grid_search(pipeline: Pipeline, classifier: Estimator, grid: Mapping[str, Se
     metrics = search.avgMetrics
     best = {p.name: v for p, v in points[metrics.index(max(metrics))].items()}
     return pipeline.copy({classifier.getParam(k): v for k, v in best.items()}), best, [
-        {**{p.name: v for p, v in point.items()}, "auc": auc} for point, auc in zip(points, metrics)
+        {**{p.name: v for p, v in point.items()}, "auc": float(auc)} for point, auc in zip(points, metrics)
     ]
 
 
@@ -158,9 +158,10 @@ def score(df: DataFrame, model: PipelineModel, keep: Sequence[str] = (), model_i
     return scored.select(*added, *[c for c in keep if c not in added])
 
 
-def vector_udf_score(df: DataFrame, cols: Sequence[str], make_model, out: str = "score",
+def vector_udf_score(df: DataFrame, cols: Sequence[str], size: int, make_model, out: str = "score",
                      batch_size: int = 4096) -> DataFrame:
-    """Score the concatenation of several array columns with a Python model, in Arrow batches.
+    """Score the concatenation of several array columns, ``size`` numbers in all, with a Python
+    model in Arrow batches.
 
     ``make_model`` returns a function from a 2-d float array to one score per row.  It is
     called once per Python worker and kept there.
@@ -171,7 +172,9 @@ def vector_udf_score(df: DataFrame, cols: Sequence[str], make_model, out: str =
         model = make_model()
         return lambda vectors: np.asarray(model(vectors), dtype="float64").reshape(-1)
 
-    predict = predict_batch_udf(make_predict, return_type=T.DoubleType(), batch_size=batch_size)
+    predict = predict_batch_udf(
+        make_predict, return_type=T.DoubleType(), batch_size=batch_size, input_tensor_shapes=[[size]]
+    )
     vector = F.concat(*[F.col(c).cast("array<double>") for c in cols])
     return df.withColumn(out, predict(vector))
 
