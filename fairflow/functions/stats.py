@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Rational approximation of the normal CDF (Hart 1968 / West 2005),
 # highest power first.
@@ -62,48 +62,57 @@ def zscore(x: Column, mean: Column, std: Column) -> Column:
 
 
 def normal_cdf(x: Column) -> Column:
-    """Standard normal CDF, absolute error below 1e-15; NULL stays NULL."""
-    a = F.abs(x)
+    """Standard normal CDF, absolute error below 1e-15; NULL stays NULL.
+
+    The polynomials run on a column that cannot be NULL, which keeps their generated code
+    short; pass a plain column rather than a long expression, since it is used many times.
+    """
+    value = F.coalesce(x.cast("double"), F.lit(0.0))
+    a = F.abs(value)
     density = F.exp(-a * a / 2)
     near = density * polynomial(a, CDF_NUMERATOR) / polynomial(a, CDF_DENOMINATOR)
     far = density / (a + 1 / (a + 2 / (a + 3 / (a + 4 / (a + 0.65))))) / SQRT_TWO_PI
-    tail = F.when(a < CDF_SPLIT, near).when(a <= CDF_LIMIT, far).when(a.isNotNull(), F.lit(0.0))
-    return F.when(x > 0, 1 - tail).otherwise(tail)
+    tail = F.when(a < CDF_SPLIT, near).when(a <= CDF_LIMIT, far).otherwise(0.0)
+    upper = value > 0
+    mirrored = F.when(upper, 1.0).otherwise(0.0) + F.when(upper, -1.0).otherwise(1.0) * tail
+    return F.when(x.isNotNull(), mirrored)
 
 
 def normal_ppf(p: Column) -> Column:
-    """Standard normal quantile, absolute error below 1e-8 for 0 < p < 1; NULL outside."""
-    def tail(q: Column) -> Column:
-        return polynomial(q, PPF_TAIL_NUMERATOR) / polynomial(q, PPF_TAIL_DENOMINATOR)
+    """Standard normal quantile, absolute error below 1e-8 for 0 < p < 1; NULL outside.
 
-    low = F.sqrt(-2 * F.ln(p))
-    high = F.sqrt(-2 * F.ln(1 - p))
-    centred = p - 0.5
+    As with ``normal_cdf``, pass a plain column.
+    """
+    inside = (p > 0) & (p < 1)
+    value = F.coalesce(p.cast("double"), F.lit(0.5))
+    nearer = F.least(value, 1 - value)
+    q = F.sqrt(-2 * F.ln(nearer))
+    tail = polynomial(q, PPF_TAIL_NUMERATOR) / polynomial(q, PPF_TAIL_DENOMINATOR)
+    centred = value - 0.5
     square = centred * centred
     central = (
         centred * polynomial(square, PPF_CENTRAL_NUMERATOR)
-        / (polynomial(square, PPF_CENTRAL_DENOMINATOR[:-1]) * square + PPF_CENTRAL_DENOMINATOR[-1])
-    )
-    return (
-        F.when((p <= 0) | (p >= 1), F.lit(None).cast("double"))
-        .when(p < PPF_SPLIT, tail(low))
-        .when(p > 1 - PPF_SPLIT, -tail(high))
-        .otherwise(central)
+        / polynomial(square, PPF_CENTRAL_DENOMINATOR)
     )
+    far = nearer < PPF_SPLIT
+    return F.when(inside & far, F.when(value < 0.5, tail).otherwise(-tail)).when(inside, central)
 
 
-def delta_probability(x1: Column, x2: Column) -> Column:
-    """Difference of two z-scores as probabilities, clipped to an invertible range."""
-    gap = normal_cdf(x1) - normal_cdf(x2)
-    return F.when(
-        x1.isNotNull() & x2.isNotNull(),
-        F.greatest(F.least(gap, F.lit(CLIP_HIGH)), F.lit(CLIP_LOW)),
-    )
-
+def delta_zscore(df: DataFrame, x1: str, x2: str, out: str) -> DataFrame:
+    """Difference of two z-scores taken in the probability domain and mapped back.
 
-def delta_zscore(x1: Column, x2: Column) -> Column:
-    """Difference of two z-scores taken in the probability domain and mapped back."""
-    return normal_ppf(delta_probability(x1, x2))
+    The difference is clipped to a range that can be mapped back; NULL if either is NULL.
+    Each step is a column of its own, so that no step's expression is repeated in the next.
+    """
+    return (
+        df.withColumns({"_p1": normal_cdf(F.col(x1)), "_p2": normal_cdf(F.col(x2))})
+        .withColumn("_gap", F.when(
+            F.col("_p1").isNotNull() & F.col("_p2").isNotNull(),
+            F.greatest(F.least(F.col("_p1") - F.col("_p2"), F.lit(CLIP_HIGH)), F.lit(CLIP_LOW)),
+        ))
+        .withColumn(out, normal_ppf(F.col("_gap")))
+        .drop("_p1", "_p2", "_gap")
+    )
 
 
 def quantile_band(z: Column, mode: str = "intended") -> Column:

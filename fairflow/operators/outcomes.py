@@ -64,7 +64,7 @@ def disparity_star_join(volumes: DataFrame, disparity: DataFrame, shapes: DataFr
         .join(disparity, "zone")
         .join(shapes.select("zone", F.col(geometry).alias("geometry")), "zone")
     )
-    return joined.withColumn("disparity_z", delta_zscore(F.col("cnt_zscore"), F.col("rides_z")))
+    return delta_zscore(joined, "cnt_zscore", "rides_z", "disparity_z")
 
 
 def outcome_deltas(volumes: DataFrame, zone: str = "pickup_zone") -> DataFrame:

@@ -38,8 +38,8 @@ def _delta_zscore(spark, sf_dir):
     df = source(spark, sf_dir, "orders").select(
         "o_orderkey", ((F.col("o_totalprice") - 250000) / 70000).alias("z"), z2.alias("z2")
     )
-    delta = stats.delta_zscore(F.col("z"), F.col("z2")).alias("delta_z")
-    return rounded(df.select("o_orderkey", delta), delta_z=6)
+    delta = stats.delta_zscore(df, "z", "z2", "delta_z")
+    return rounded(delta.select("o_orderkey", "delta_z"), delta_z=6)
 
 
 @query("row_fingerprint", """
