@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.stats import normal_cdf, quantile_band, unlog10, zscore
 from ..functions.text import slug
+from ..session import size_checked
 from .ranking import ntile_by
 
 # Display order, factor column and display name; zone effects by name.
@@ -167,7 +168,7 @@ def group_normalise(df: DataFrame, by: str, value: str, log10: bool = False) ->
     """Replace a value by its z-score in the group, keeping the old one as ``value_prior``.
 
     The group statistics are aggregated first and joined back, so a group may hold any
-    number of rows.
+    number of rows; with few groups the rows are not shuffled at all.
     """
     prior, mean, std = f"{value}_prior", f"mean_{value}", f"std_{value}"
     filled = df.withColumn(prior, F.coalesce(F.col(value), F.lit(0.0)))
@@ -175,7 +176,7 @@ def group_normalise(df: DataFrame, by: str, value: str, log10: bool = False) ->
     stats = filled.groupBy(F.col(by).alias("_by")).agg(
         F.avg(raw).alias(mean), F.stddev(raw).alias(std)
     )
-    joined = filled.join(stats, F.col(by).eqNullSafe(F.col("_by")), "left").drop("_by")
+    joined = filled.join(size_checked(stats), F.col(by).eqNullSafe(F.col("_by")), "left").drop("_by")
     return joined.withColumn(value, zscore(raw, F.col(mean), F.col(std)))
 
 

@@ -23,38 +23,34 @@ def running_totals(df: DataFrame, order: Sequence[Column], values: Sequence[str]
 
     ``order`` must be a total order within a group, or the result depends on chance.
     The sliced rows are checkpointed once: slice numbers must not change between the
-    pass that sums the slices and the pass that reads them.
+    pass that sums the slices and the pass that reads them.  The group is one struct
+    column, so that a NULL group matches itself and the join reuses the window's shuffle.
     """
-    by = list(by)
     sliced = stage(
-        df.repartitionByRange(*by, *order).withColumn("_slice", F.spark_partition_id())
+        df.repartitionByRange(*by, *order)
+        .withColumns({"_group": F.struct(*by) if by else F.lit(0), "_slice": F.spark_partition_id()})
     )
-    earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*by)
-    sums = sliced.groupBy(*by, "_slice").agg(*[F.sum(v).alias(v) for v in values])
+    earlier = Window.partitionBy("_group").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("_group")
+    sums = sliced.groupBy("_group", "_slice").agg(*[F.sum(v).alias(v) for v in values])
     offsets = sums.select(
-        *[F.col(c).alias(f"_by_{c}") for c in by],
-        F.col("_slice").alias("_by_slice"),
+        "_group", "_slice",
         *[F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(f"_offset_{v}") for v in values],
         *[F.sum(v).over(whole).alias(v + TOTAL) for v in values],
     )
     if not by:
         # One row per slice: never more than the session's shuffle partitions.
         offsets = F.broadcast(offsets)
-    matches = sliced["_slice"] == offsets["_by_slice"]
-    for c in by:
-        matches = matches & sliced[c].eqNullSafe(offsets[f"_by_{c}"])
     inside = (
-        Window.partitionBy(*by, "_slice").orderBy(*order)
+        Window.partitionBy("_group", "_slice").orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     ranked = sliced.withColumns(
         {v + BEFORE: F.coalesce(F.sum(v).over(inside), F.lit(0)) for v in values}
     )
-    joined = ranked.join(offsets, matches, "inner")
-    return joined.withColumns(
+    return ranked.join(offsets, ["_group", "_slice"]).withColumns(
         {v + BEFORE: F.col(v + BEFORE) + F.col(f"_offset_{v}") for v in values}
-    ).drop("_slice", "_by_slice", *[f"_by_{c}" for c in by], *[f"_offset_{v}" for v in values])
+    ).drop("_group", "_slice", *[f"_offset_{v}" for v in values])
 
 
 def row_numbers(df: DataFrame, order: Sequence[Column], by: Sequence[str] = ()) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.calendar import day_of, daypart, ntz, seconds_between, weekpart
 from ..functions.stats import quantile_band, zscore
+from ..session import size_checked
 
 DEMAND_KEYS = ("pickup_zone", "pickup_daypart", "date_trunc")
 
@@ -164,10 +165,11 @@ def label_joinback(rides: DataFrame, daily: DataFrame,
                    keys: Sequence[str] = DEMAND_KEYS) -> DataFrame:
     """Attach the daily statistics and labels to every ride of the same zone, part and day.
 
-    A left equi-join on all three keys: a zone with a third of all rides still spreads
-    over its days and dayparts, and what remains uneven is split by AQE.
+    The daily table is staged and measured: while it is small the rides are not shuffled at
+    all.  Beyond that, a zone with a third of all rides still spreads over its days and
+    dayparts, and what remains uneven is split by AQE.
     """
-    return rides.join(daily, list(keys), "left")
+    return rides.join(size_checked(daily), list(keys), "left")
 
 
 def label_histograms(df: DataFrame, label: str = LABEL, mode: str = "intended") -> DataFrame:

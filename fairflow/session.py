@@ -37,13 +37,13 @@ def staging_root(spark: SparkSession) -> str:
     machine-local path would be lost with its machine, so a missing setting is an
     error there.
     """
+    context = spark.sparkContext
     root = spark.conf.get(CHECKPOINT_DIR, None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
+    if context.getCheckpointDir() is None:
+        if not root and not context.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set(CHECKPOINT_DIR, root)
-    return root
+        context.setCheckpointDir(root or tempfile.mkdtemp(prefix="run-"))
+    return root or context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -57,13 +57,11 @@ def stage(df: DataFrame) -> DataFrame:
     The rows are computed once, survive lost executors, and keep any partition
     id column that was computed before the cut.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(staging_root(df.sparkSession))
+    staging_root(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def size_checked(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 64 << 20) -> DataFrame:
+def size_checked(df: DataFrame, max_rows: int = 1_000_000, max_bytes: int = 64 << 20) -> DataFrame:
     """Stage a derived dimension and mark it for broadcast only when it is small.
 
     Spark's own estimate for an aggregate is that of its input, so a join with a
