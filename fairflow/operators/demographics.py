@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.stats import normal_cdf, quantile_band, unlog10, zscore
+from ..functions.stats import delta_zscore, normal_cdf, quantile_band, unlog10, zscore
 from ..functions.text import slug
 from ..session import size_checked
 from .ranking import ntile_by
@@ -180,6 +180,21 @@ def group_normalise(df: DataFrame, by: str, value: str, log10: bool = False) ->
     return joined.withColumn(value, zscore(raw, F.col(mean), F.col(std)))
 
 
+def focus_percent(focus: DataFrame, factor: str = "value", value: str = "count_log10",
+                  by: str = "zone", disparity: str | None = "rides_z", k: int = 4) -> DataFrame:
+    """What a map of a focus shows: for the ``k`` largest factor values, the logged value as a
+    z-score in its zone, less the ride z-score, as a percentage.
+
+    The zone statistics cover all values; the largest are picked afterwards.
+    """
+    top = top_factors(focus, factor, value, k, log10=True).select(factor)
+    shown, last = group_normalise(focus, by, value, log10=True), value
+    if disparity is not None:
+        shown, last = delta_zscore(shown, value, disparity, "_delta"), "_delta"
+    kept = shown.join(size_checked(top), factor)
+    return kept.withColumn("percent", normal_cdf(F.col(last)) * 100).drop("_delta")
+
+
 def category_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows per value of each column, in one scan."""
     text = df.select(*[F.col(c).cast("string").alias(c) for c in cols])

@@ -4,4 +4,4 @@ Modules register themselves on import; ``QUERIES`` and ``ORACLES`` hold the resu
 """
 
 from .registry import ORACLES, QUERIES  # noqa: F401
-from . import demand, disparity, fair, learning, scalars, spatial, tables  # noqa: F401,E402
+from . import debias, demand, disparity, fair, learning, scalars, spatial, tables  # noqa: F401,E402

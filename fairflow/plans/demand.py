@@ -17,6 +17,9 @@ from .registry import (
 # The tables hold rides of January 2024; the range leaves out none of them.
 START, END = dt.datetime(2024, 1, 1), dt.datetime(2024, 12, 31)
 AS_OF = dt.datetime(2024, 2, 10)
+# Digits of a mean amount.  Amounts have two decimals, so the mean of 32 or 64 rows ends in a 5
+# after the sixth or seventh and would round by chance.
+MEAN = 10
 
 
 def clean_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,11 +35,14 @@ def labelled_days(featured: DataFrame, frame: str = "rows", mode: str = "intende
     return rides.demand_label(trailing, mode=mode)
 
 
-def labelled_rides(spark: SparkSession, sf_dir: str, mode: str = "intended") -> DataFrame:
-    featured = featured_rides(spark, sf_dir)
+def labelled(featured: DataFrame, mode: str = "intended") -> DataFrame:
     return rides.label_joinback(featured, labelled_days(featured, mode=mode))
 
 
+def labelled_rides(spark: SparkSession, sf_dir: str, mode: str = "intended") -> DataFrame:
+    return labelled(featured_rides(spark, sf_dir), mode)
+
+
 def demand_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rides to daily earnings weighted by demand: the whole chain."""
     return rides.daily_timeline(labelled_rides(spark, sf_dir), demand=rides.LABEL)
@@ -51,7 +57,7 @@ TOTAL = """CASE WHEN total_amount >= fare_amount THEN total_amount
 WEEKEND = "(dayofweek(pickup_datetime) = 5 AND pickup_daypart = 'night')"
 
 
-def features_sql(weekend: str) -> str:
+def features_sql(table: str, weekend: str) -> str:
     return f"""
 SELECT *, CASE WHEN {weekend} THEN 'weekend' ELSE 'weekday' END AS weekpart FROM (
  SELECT ride_id, pickup_datetime, pickup_zone, dropoff_zone, passenger_count, trip_distance, tip_amount,
@@ -62,34 +68,47 @@ SELECT *, CASE WHEN {weekend} THEN 'weekend' ELSE 'weekday' END AS weekpart FROM
   (dayofweek(pickup_datetime) + 1)::INT AS day_of_week, month(pickup_datetime)::INT AS month_of_year,
   week(pickup_datetime)::INT AS week_of_year,
   {daypart_sql('hour(pickup_datetime)')} AS pickup_daypart, {daypart_sql('hour(dropoff_datetime)')} AS dropoff_daypart
- FROM clean WHERE pickup_zone IS NOT NULL AND dropoff_zone IS NOT NULL)"""
-
+ FROM {table} WHERE pickup_zone IS NOT NULL AND dropoff_zone IS NOT NULL)"""
 
-step("featured", features_sql(WEEKEND + " OR dayofweek(pickup_datetime) IN (0, 6)"), "clean")
-step("daily", """
-SELECT pickup_zone, pickup_daypart, date_trunc, count(pickup_datetime) AS volume
-FROM featured GROUP BY ALL""", "featured")
 
-
-def trailing_sql(window: str) -> str:
+def trailing_sql(daily: str, window: str) -> str:
     z = zscore_sql("volume", "vol_mean", "vol_std")
     return f"""
 SELECT *, {z} AS vol_zscore FROM (SELECT *, avg(volume) OVER w AS vol_mean, stddev(volume) OVER w AS vol_std
- FROM daily WINDOW w AS (PARTITION BY pickup_zone, pickup_daypart ORDER BY date_trunc {window}))"""
+ FROM {daily} WINDOW w AS (PARTITION BY pickup_zone, pickup_daypart ORDER BY date_trunc {window}))"""
 
 
-def label_sql(mode: str) -> str:
+def label_sql(mode: str, trailed: str = "trailed") -> str:
     return f"""
 SELECT *, CASE WHEN vol_quantile <= 3 THEN 1 ELSE 0 END AS is_top
-FROM (SELECT *, {band_sql('vol_zscore', mode)} AS vol_quantile FROM trailed)"""
+FROM (SELECT *, {band_sql('vol_zscore', mode)} AS vol_quantile FROM {trailed})"""
+
+
+def demand_steps(table: str, prefix: str = "") -> None:
+    """The chain from clean rides in ``table`` to labelled rides with a split."""
+    p = prefix
+    step(f"{p}featured", features_sql(table, WEEKEND + " OR dayofweek(pickup_datetime) IN (0, 6)"), table)
+    step(f"{p}daily", f"""
+SELECT pickup_zone, pickup_daypart, date_trunc, count(pickup_datetime) AS volume
+FROM {p}featured GROUP BY ALL""", f"{p}featured")
+    step(f"{p}trailed", trailing_sql(f"{p}daily", "ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING"), f"{p}daily")
+    step(f"{p}labelled_days", label_sql("intended", f"{p}trailed"), f"{p}trailed")
+    step(f"{p}labelled", f"""
+SELECT f.*, d.* EXCLUDE (pickup_zone, pickup_daypart, date_trunc) FROM {p}featured f
+LEFT JOIN {p}labelled_days d ON f.pickup_zone = d.pickup_zone AND f.pickup_daypart = d.pickup_daypart
+ AND f.date_trunc = d.date_trunc""", f"{p}featured", f"{p}labelled_days")
+    step(f"{p}cuts", f"""
+SELECT days[least(round_even(n * 0.6e0, 0)::INT, n - 1) + 1] AS train,
+ days[least(round_even(n * (0.6e0 + 0.2e0), 0)::INT, n - 1) + 1] AS validate
+FROM (SELECT days, len(days)::INT AS n FROM (
+ SELECT list_sort(list(DISTINCT date_trunc('day', pickup_datetime)::TIMESTAMP)) AS days FROM {p}featured))""",
+         f"{p}featured")
+    step(f"{p}split", f"""
+SELECT l.*, CASE WHEN pickup_datetime < train THEN 'train' WHEN pickup_datetime < validate THEN 'validate'
+ ELSE 'test' END AS dataset FROM {p}labelled l, {p}cuts""", f"{p}labelled", f"{p}cuts")
 
 
-step("trailed", trailing_sql("ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING"), "daily")
-step("labelled_days", label_sql("intended"), "trailed")
-step("labelled", """
-SELECT f.*, d.* EXCLUDE (pickup_zone, pickup_daypart, date_trunc) FROM featured f
-LEFT JOIN labelled_days d ON f.pickup_zone = d.pickup_zone AND f.pickup_daypart = d.pickup_daypart
- AND f.date_trunc = d.date_trunc""", "featured", "labelled_days")
+demand_steps("clean")
 
 query("ride_filter", using("clean") + "SELECT * FROM clean")(clean_rides)
 
@@ -167,10 +186,10 @@ def _time_range_filter(spark, sf_dir):
     )
 
 
-TIMELINE = (f"SELECT date_trunc, {r('avg(total_amount)', 6, 'mean_total')},"
+TIMELINE = (f"SELECT date_trunc, {r('avg(total_amount)', MEAN, 'mean_total')},"
             f" {r('max(total_amount)', 6, 'max_total')}, {r('min(total_amount)', 6, 'min_total')},"
             " count(pickup_datetime) AS volume")
-TIMELINE_DIGITS = {"mean_total": 6, "max_total": 6, "min_total": 6}
+TIMELINE_DIGITS = {"mean_total": MEAN, "max_total": 6, "min_total": 6}
 
 
 @query("daily_timeline", using("featured") + f"{TIMELINE} FROM featured GROUP BY date_trunc")
@@ -187,9 +206,9 @@ def _daily_timeline_raw(spark, sf_dir):
 
 
 @query("daily_timeline_demand", using("labelled") + f"""
-{TIMELINE}, {r('avg(total_amount * is_top)', 6, 'mean_demand')} FROM labelled GROUP BY date_trunc""")
+{TIMELINE}, {r('avg(total_amount * is_top)', MEAN, 'mean_demand')} FROM labelled GROUP BY date_trunc""")
 def _daily_timeline_demand(spark, sf_dir):
-    return rounded(demand_timeline(spark, sf_dir), mean_demand=6, **TIMELINE_DIGITS)
+    return rounded(demand_timeline(spark, sf_dir), mean_demand=MEAN, **TIMELINE_DIGITS)
 
 
 @query("timeline_summary", using("featured") + f"""
@@ -311,16 +330,6 @@ WHERE floor(total_amount) < 80 GROUP BY ALL"""
 query("label_histograms", _histogram_sql(180))(_label_histograms("intended"))
 query("label_histograms_strict", _histogram_sql(20))(_label_histograms("strict"))
 
-step("cuts", """
-SELECT days[least(round_even(n * 0.6e0, 0)::INT, n - 1) + 1] AS train,
- days[least(round_even(n * (0.6e0 + 0.2e0), 0)::INT, n - 1) + 1] AS validate
-FROM (SELECT days, len(days)::INT AS n FROM (SELECT list_sort(list(DISTINCT date_trunc('day', pickup_datetime)::TIMESTAMP)) AS days
- FROM featured))""", "featured")
-step("split", """
-SELECT l.*, CASE WHEN pickup_datetime < train THEN 'train' WHEN pickup_datetime < validate THEN 'validate'
- ELSE 'test' END AS dataset FROM labelled l, cuts""", "labelled", "cuts")
-
-
 def split_rides(spark, sf_dir):
     return sampling.date_split(labelled_rides(spark, sf_dir), "pickup_datetime")
 
@@ -339,16 +348,18 @@ def _split_summary(spark, sf_dir):
 
 
 TOP = "CASE WHEN is_top = 1 THEN {0} ELSE 0 END"
-
-
-@query("zone_historical_volumes", using("split") + f"""
-SELECT pickup_zone, {r('avg(total_amount)', 6, 'mean_total')}, {r(f"avg({TOP.format('total_amount')})", 6, 'mean')},
+HISTORY_SQL = f"""
+SELECT pickup_zone, {r('avg(total_amount)', MEAN, 'mean_total')}, {r(f"avg({TOP.format('total_amount')})", MEAN, 'mean')},
  {r('sum(total_amount)', 4, 'sum_total')}, {r(f"sum({TOP.format('total_amount')})", 4, 'sum')},
  sum(volume)::BIGINT AS volume_total, sum({TOP.format('volume')})::BIGINT AS volume
-FROM split WHERE dataset = 'test' GROUP BY 1""")
+FROM {{0}}split WHERE dataset = 'test' GROUP BY 1"""
+HISTORY_DIGITS = {"mean_total": MEAN, "mean": MEAN, "sum_total": 4, "sum": 4}
+
+
+@query("zone_historical_volumes", using("split") + HISTORY_SQL.format(""))
 def _zone_historical_volumes(spark, sf_dir):
     volumes = outcomes.zone_historical_volumes(split_rides(spark, sf_dir))
-    return rounded(volumes, mean_total=6, mean=6, sum_total=4, sum=4)
+    return rounded(volumes, **HISTORY_DIGITS)
 
 
 @query("hash_sample", using("rides") + f"""

@@ -277,6 +277,29 @@ def _metric_extent(spark, sf_dir):
     return rounded(demo.metric_extent(normalised, "count_log10"), min_value=8, max_value=8)
 
 
+step("focus", """
+SELECT c.*, rides_z, coalesce(CASE WHEN count > 0 THEN log10(count) END, 0) AS x,
+ ntile(10) OVER (PARTITION BY value ORDER BY rides_z DESC NULLS LAST, c.zone) AS decile
+FROM counts c JOIN rides_z v ON c.zone = v.zone WHERE factor = 'ethnc_grp'""", "counts", "rides_z")
+step("focus_z", f"""
+SELECT *, {zscore_sql('pow(10, x)', 'avg(pow(10, x)) OVER w', 'stddev(pow(10, x)) OVER w')} AS z
+FROM focus WHERE decile <= 8 WINDOW w AS (PARTITION BY zone)""", "focus")
+
+
+@query("focus_percent", using("focus_z") + f"""
+SELECT zone, value, count, {r(cdf_sql(ppf_sql('p')) + ' * 100', 5, 'percent')}
+FROM (SELECT *, {delta_sql('z', 'rides_z')} AS p FROM focus_z)
+WHERE value IN (SELECT value FROM focus_z GROUP BY 1 ORDER BY sum(pow(10, x)) DESC, value LIMIT 4)""")
+def _focus_percent(spark, sf_dir):
+    """Ethnicity against the predicted rides, in the 80 % of zones with most rides."""
+    rides_z = outcomes.ride_zscore(zone_volumes(spark, sf_dir))
+    focus = demo.zone_effect_focus(
+        counts(spark, sf_dir), rides_z, "ethnc_grp", demo.ZONE_EFFECTS["Top 80% Effected Zones"]
+    )
+    shown = demo.focus_percent(demo.factor_shape_join(focus, geometries(spark, sf_dir)))
+    return rounded(shown.select("zone", "value", "count", "percent"), percent=5)
+
+
 VOLUME_DIGITS = {"mean_total": 6, "mean": 6, "sum_total": 2, "sum_top": 2, "sum": 2}
 VOLUME_SQL = ", ".join(r(c, d) for c, d in VOLUME_DIGITS.items())
 
