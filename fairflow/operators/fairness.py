@@ -254,20 +254,21 @@ def fair_fit(df: DataFrame, label: str, score: str, group: str, constraint: str
 
 
 def fair_adapt(df: DataFrame, params: DataFrame, score: str, group: str, keys: Sequence[str],
-               seed: int = 42, out: str = "adapted_prob", threshold: float | Column | None = None) -> DataFrame:
+               seed: int = 42, out: str = "adapted_prob", threshold: float | Column | None = None,
+               method: str = "md5") -> DataFrame:
     """Replace scores by the group's base rate with the fitted chance.
 
-    The two fitted rows enter the plan as a scalar subquery, so scoring is a projection.
+    The two fitted rows enter the plan as a scalar subquery, so scoring is a projection.  Rows
+    of the group that is left alone draw no number.
     ``threshold`` adds ``adapted_predict``.  A group unknown to the fit is an error.
     """
     row = F.struct("group", "base_rate", "mix_rate")
     pair = params.agg(F.struct(F.min(row).alias("a"), F.max(row).alias("b"))).scalar()
-    draw = uniform(keys, seed)
+    draw = uniform(keys, seed, method)
 
     def mixed(side: str) -> Column:
-        return F.when(draw < F.col(f"_pair.{side}.mix_rate"), F.col(f"_pair.{side}.base_rate")).otherwise(
-            F.col(score)
-        )
+        rate = F.col(f"_pair.{side}.mix_rate")
+        return F.when((rate > 0) & (draw < rate), F.col(f"_pair.{side}.base_rate")).otherwise(F.col(score))
 
     unknown = F.raise_error(F.concat(
         F.lit("protected group not seen in the fit: "), F.coalesce(F.col(group).cast("string"), F.lit("NULL"))
@@ -302,7 +303,7 @@ def fair_score(df: DataFrame, label: str, prob: str, group: str, constraint: str
 
 def apply_random_mapping(df: DataFrame, mapping: DataFrame, on: Sequence[str],
                          to: Sequence[str], keys: Sequence[str], seed: int = 1,
-                         prob: str = "prob") -> DataFrame:
+                         prob: str = "prob", method: str = "md5") -> DataFrame:
     """Replace ``on``-rows by randomly picked target values.
 
     ``mapping`` holds ``on`` columns, ``to`` columns named ``new_<column>``, and a probability.
@@ -319,7 +320,7 @@ def apply_random_mapping(df: DataFrame, mapping: DataFrame, on: Sequence[str],
     matches = F.lit(True)
     for c in on:
         matches = matches & F.col(c).eqNullSafe(F.col(f"_on_{c}"))
-    drawn = df.withColumn("_draw", uniform(keys, seed)).join(size_checked(choices), matches, "left")
+    drawn = df.withColumn("_draw", uniform(keys, seed, method)).join(size_checked(choices), matches, "left")
     picked = drawn.withColumn(
         "_pick", F.get(F.filter("_choices", lambda c: F.col("_draw") < c["_upper"]), 0)
     )

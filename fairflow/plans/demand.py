@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.calendar import daypart, time_range, weekpart
 from ..functions.stats import quantile_band
 from ..operators import outcomes, rides, sampling
+from ..session import stage
 from ..sources.fixtures import source
 from .registry import (
     band_sql, daypart_sql, query, r, rounded, step, uniform_sql, using, zscore_sql,
@@ -391,7 +392,8 @@ SELECT ride_id, is_top, CASE WHEN row_number() OVER (PARTITION BY is_top ORDER B
  <= round(count(*) OVER (PARTITION BY is_top) * 0.2e0) THEN 'test' ELSE 'train' END AS dataset
 FROM (SELECT ride_id, is_top, {uniform_sql(['ride_id'], 15)} AS u FROM labelled)""")
 def _stratified_split(spark, sf_dir):
-    df = labelled_rides(spark, sf_dir).select("ride_id", "is_top")
+    """The split reads its input three times, so the labels are staged."""
+    df = stage(labelled_rides(spark, sf_dir).select("ride_id", "is_top"))
     return sampling.stratified_split(df, "is_top", ["ride_id"], exact=True)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import fairness as fair, metrics
+from ..session import stage
 from ..sources.fixtures import SCORED_KEY, source
 from . import learning  # noqa: F401  registers the prediction step
 from .registry import query, r, rounded, step, uniform_sql, using
@@ -225,30 +226,36 @@ def _fair_score(spark, sf_dir):
 
 # --- randomised mapping ------------------------------------------------------------------
 
-def mapping_text(scored: str) -> str:
+COMBOS = f"SELECT {GROUP}, l_returnflag, label, count(*) AS n FROM {{0}} GROUP BY {GROUP}, l_returnflag, label"
+
+
+def mapping_text(combos: str) -> str:
     """A mapping that lifts the base rate of one group to that of the other, and moves a tenth of
-    the other rows to another flag.  The same text runs in both engines."""
+    the other rows to another flag.  The same text runs in both engines, over the counted
+    combinations."""
     f, o = (
-        f"(SELECT avg(CASE WHEN needs_mitigation = '{g}' THEN label * 1e0 END) FROM {scored})" for g in "FO"
+        f"(SELECT sum(label * n) * 1e0 / sum(n) FROM {combos} WHERE {GROUP} = '{g}')" for g in "FO"
     )
     lift = f"round(({f} - {o}) / (1 - {o}), 6)"
-    lifted = "needs_mitigation = 'O' AND label = 0"
-    combos = f"(SELECT DISTINCT needs_mitigation, l_returnflag, label FROM {scored}) c"
+    lifted = f"{GROUP} = 'O' AND label = 0"
+    source_row = f"{GROUP}, l_returnflag, label"
     return f"""
-SELECT c.*, l_returnflag AS new_l_returnflag, 1 AS new_label, {lift} AS prob FROM {combos} WHERE {lifted}
-UNION ALL SELECT c.*, l_returnflag, 0, 1 - {lift} FROM {combos} WHERE {lifted}
-UNION ALL SELECT c.*, l_returnflag, label, 0.9e0 FROM {combos} WHERE NOT ({lifted})
-UNION ALL SELECT c.*, 'S', label, 0.1e0 FROM {combos} WHERE NOT ({lifted})"""
+SELECT {source_row}, l_returnflag AS new_l_returnflag, 1 AS new_label, {lift} AS prob FROM {combos} WHERE {lifted}
+UNION ALL SELECT {source_row}, l_returnflag, 0, 1 - {lift} FROM {combos} WHERE {lifted}
+UNION ALL SELECT {source_row}, l_returnflag, label, 0.9e0 FROM {combos} WHERE NOT ({lifted})
+UNION ALL SELECT {source_row}, 'S', label, 0.1e0 FROM {combos} WHERE NOT ({lifted})"""
 
 
 def mapped(spark, sf_dir):
     scored = source(spark, sf_dir, "scored")
-    mapping = spark.sql(mapping_text("{scored}"), scored=scored.select(GROUP, "l_returnflag", "label"))
+    combos = stage(spark.sql(COMBOS.format("{scored}"), scored=scored))
+    mapping = spark.sql(mapping_text("{combos}"), combos=combos)
     on = [GROUP, "l_returnflag", "label"]
     return fair.apply_random_mapping(scored, mapping, on, ["l_returnflag", "label"], SCORED_KEY)
 
 
-step("mapping", mapping_text("scored"), "scored")
+step("combos", COMBOS.format("scored"), "scored")
+step("mapping", mapping_text("combos"), "combos")
 step("bounds", """
 SELECT *, coalesce(lag(upper) OVER (PARTITION BY needs_mitigation, l_returnflag, label ORDER BY upper), 0) AS lower
 FROM (SELECT *, sum(prob) OVER (PARTITION BY needs_mitigation, l_returnflag, label ORDER BY new_l_returnflag, new_label) AS upper

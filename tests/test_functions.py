@@ -65,6 +65,16 @@ def test_uniform_matches_md5_and_ignores_partitioning(spark):
     assert abs(sum(got.values()) / len(got) - 0.5) < 0.03
 
 
+def test_fast_uniform(spark):
+    draw = hashing.uniform(["id"], 7, "xxhash64")
+    got = sorted(r[0] for r in spark.range(4000).repartition(5).select(draw).collect())
+    assert got == sorted(r[0] for r in spark.range(4000).select(draw).collect())
+    assert 0 <= got[0] and got[-1] < 1 and len(set(got)) == 4000
+    assert max(abs(u - i / 4000) for i, u in enumerate(got)) < 0.03
+    with pytest.raises(ValueError):
+        hashing.uniform(["id"], 7, "crc32")
+
+
 def test_daypart_and_weekpart(spark):
     hours = [(h,) for h in range(24)]
     got = values(spark, hours, "h int", calendar.daypart(F.col("h")))

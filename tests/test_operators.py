@@ -100,6 +100,22 @@ def test_exact_stratified_split_meets_the_share(spark):
     assert rows(split.filter("dataset = 'test'").groupBy("y").count(), "y", "count") == [(0, 194), (1, 6)]
 
 
+def test_exact_split_equals_a_full_ranking(spark):
+    """A hot class, a tiny one, one too small for a test row, and rows without a class."""
+    from pyspark.sql import Window
+    from fairflow.functions.hashing import uniform
+
+    label = F.when(F.col("id") < 2, "one").when(F.col("id") < 40, "few").when(F.col("id") < 300, None).otherwise("hot")
+    df = spark.range(6000).select("id", label.alias("y")).repartition(11)
+    ranked = Window.partitionBy("y").orderBy("u", "id")
+    want = df.withColumn("u", uniform(["id"], 15)).withColumn("n", F.row_number().over(ranked)).withColumn(
+        "dataset", F.when(F.col("n") <= F.round(F.count(F.lit(1)).over(Window.partitionBy("y")) * 0.2), "test")
+        .otherwise("train"))
+    got = sampling.stratified_split(df, "y", ["id"], test=0.2, exact=True)
+    assert got.columns == ["id", "y", "dataset"]
+    assert rows(got, "id", "dataset") == rows(want, "id", "dataset")
+
+
 def test_balance_bounds_the_classes(spark):
     df = spark.range(5000).select("id", F.when(F.col("id") < 100, 1).otherwise(0).alias("y"))
     kept = dict(rows(sampling.stratified_balance(df, "y", ["id"], 10).groupBy("y").count(), "y", "count"))
