@@ -10,6 +10,7 @@ from ..functions.stats import delta_zscore, normal_cdf, quantile_band, unlog10,
 from ..functions.text import slug
 from ..session import size_checked
 from .ranking import ntile_by
+from .sampling import hash_sample
 
 # Display order, factor column and display name; zone effects by name.
 FACTOR_NAMES = (
@@ -118,6 +119,19 @@ def aux_weights(deciles: DataFrame) -> DataFrame:
     }).withColumn("sample_weight", 0.5 + F.col("needs_mitigation") * F.col("z_percent")).drop("_z")
 
 
+def attach_weights(df: DataFrame, weights: DataFrame, factor: str, zone: str = "zone",
+                   keys: Sequence[str] = (), fraction: float = 1.0, seed: int = 42) -> DataFrame:
+    """Predictions with the mark and weight of their zone for one factor; missing numbers become 0.
+
+    ``fraction`` below 1 samples the predictions by their ``keys`` first.  The weights hold one
+    row per zone; they are staged and measured, so the predictions are shuffled only when there
+    are very many zones.
+    """
+    sampled = df if fraction >= 1 else hash_sample(df, keys, fraction, seed)
+    chosen = weights.filter(F.col("factor") == factor).withColumnRenamed("zone", zone)
+    return sampled.join(size_checked(chosen), zone).fillna(0)
+
+
 def factor_names(df: DataFrame, mapping: DataFrame) -> DataFrame:
     """Add priority and display name of the factor, in display order."""
     return df.join(mapping, "factor").orderBy("priority")

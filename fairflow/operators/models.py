@@ -84,9 +84,10 @@ def feature_pipeline(categorical: Sequence[str], numeric: Sequence[str], label:
     return Pipeline(stages=stages)
 
 
-def grid_search(pipeline: Pipeline, classifier: Estimator, grid: Mapping[str, Sequence], df: DataFrame,
+def grid_search(pipeline: Pipeline, classifier: Estimator, df: DataFrame,
+                grid: Mapping[str, Sequence] | None = None,
                 folds: int = 3, seed: int = 42, parallelism: int = 2):
-    """Cross-validated search by area under the ROC curve.
+    """Cross-validated search by area under the ROC curve; by default over tree counts.
 
     Returns the pipeline with the best parameters set, those parameters, and the mean
     metric of every grid point.  With one fold the search is skipped and the classifier
@@ -95,7 +96,7 @@ def grid_search(pipeline: Pipeline, classifier: Estimator, grid: Mapping[str, Se
     if folds <= 1:
         return pipeline, {}, []
     builder = ParamGridBuilder()
-    for name, values in grid.items():
+    for name, values in (grid or {"numTrees": TREE_COUNTS}).items():
         builder = builder.addGrid(classifier.getParam(name), list(values))
     points = builder.build()
     # Only ranks matter to the metric, so the threshold stage is left out of the search.

@@ -69,13 +69,11 @@ def scored_sides(spark: SparkSession, sf_dir: str, factor: str = FACTOR) -> tupl
     train = split.filter("dataset = 'train'")
     pipeline, _ = forest_pipeline(train)
     model = pipeline.fit(train)
-    marks = demo.aux_weights(deciles(spark, sf_dir)).filter(F.col("factor") == factor).select(
-        F.col("zone").alias("pickup_zone"), GROUP, "sample_weight"
-    )
     scored = model.transform(split.filter("dataset <> 'train'")).select(
         "ride_id", "dataset", "pickup_zone", "total_amount", "volume", TRUTH, SCORE, PRED
     )
-    marked = stage(scored.join(size_checked(marks), "pickup_zone"))
+    weights = demo.aux_weights(deciles(spark, sf_dir))
+    marked = stage(demo.attach_weights(scored, weights, factor, "pickup_zone"))
     return (marked.filter("dataset = 'validate'"), marked.filter("dataset = 'test'"),
             model.stages[-1].getTunedThreshold())
 

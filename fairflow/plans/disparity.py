@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.text import slug
 from ..operators import demographics as demo, outcomes
 from ..session import size_checked
-from ..sources.fixtures import source
+from ..sources.fixtures import SCORED_KEY, source
 from ..sources.ingest import inline_dimension
 from .registry import (
-    band_sql, cdf_sql, delta_sql, ppf_sql, pred_at, query, r, rounded, step, using, zscore_sql,
+    band_sql, cdf_sql, delta_sql, ppf_sql, pred_at, query, r, rounded, step, uniform_sql, using,
+    zscore_sql,
 )
 
 FACTORS = ("gndr", "hshld_incme_grp", "gnrt", "edctn", "ethnc_grp")
@@ -116,15 +117,21 @@ def _aux_weights(spark, sf_dir):
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, s.zone, label, a.needs_mitigation,
  {r('sample_weight', 8)} FROM scored s JOIN aux a ON s.zone = a.zone AND factor = 'ethnc_grp'""")
 def _aux_weight_join(spark, sf_dir):
-    """Predictions with the weight of their zone; the weights are staged and size-checked, so the
-    predictions are not shuffled while the zones are few."""
-    aux = demo.aux_weights(deciles(spark, sf_dir)).filter("factor = 'ethnc_grp'")
+    """Predictions with the weight of their zone."""
     scored = source(spark, sf_dir, "scored").drop("needs_mitigation", "weight", "score")
-    joined = scored.join(
-        size_checked(aux.select("zone", "needs_mitigation", "sample_weight")), "zone"
-    ).fillna(0)
-    keep = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "zone", "label"]
-    return rounded(joined.select(*keep, "needs_mitigation", "sample_weight"), sample_weight=8)
+    joined = demo.attach_weights(scored, demo.aux_weights(deciles(spark, sf_dir)), "ethnc_grp")
+    return rounded(joined.select(*SCORED_KEY, "zone", "label", "needs_mitigation", "sample_weight"), sample_weight=8)
+
+
+@query("aux_weight_sample", using("scored", "aux") + f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, a.needs_mitigation
+FROM scored s JOIN aux a ON s.zone = a.zone AND factor = 'gnrt' WHERE {uniform_sql(SCORED_KEY, 42)} < 0.2e0""")
+def _aux_weight_sample(spark, sf_dir):
+    """The same for a fifth of the predictions, as the adjustment is fitted on."""
+    scored = source(spark, sf_dir, "scored").select(*SCORED_KEY, "zone")
+    weights = demo.aux_weights(deciles(spark, sf_dir))
+    sample = demo.attach_weights(scored, weights, "gnrt", keys=SCORED_KEY, fraction=0.2)
+    return sample.select(*SCORED_KEY, "needs_mitigation")
 
 
 def _slug_sql():

@@ -245,7 +245,7 @@ def _score_projection(spark, sf_dir):
 def _grid_search(spark, sf_dir):
     train, _, _ = _sides(spark, sf_dir)
     pipeline, forest = forest_pipeline(train)
-    _, best, points = models.grid_search(pipeline, forest, {"numTrees": [5, TREES]}, train)
+    _, best, points = models.grid_search(pipeline, forest, train, {"numTrees": [5, TREES]})
     rows = [(p["numTrees"], p["auc"], p["numTrees"] == best["numTrees"]) for p in points]
     return spark.createDataFrame(rows, "num_trees int, auc double, chosen boolean")
 

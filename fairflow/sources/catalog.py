@@ -1,4 +1,4 @@
-"""Named Parquet tables below one root folder."""
+"""Named tables below one root folder."""
 
 from __future__ import annotations
 
@@ -9,44 +9,52 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 class Catalog:
-    """Maps table names to Parquet folders.
+    """Maps table names to folders of files.
 
     ``paths`` overrides the location of single tables; every other name lives at
-    ``root/name``.
+    ``root/name``.  ``fmt`` is any file source of the session: ``parquet`` and ``orc`` are
+    built in, ``delta`` works where its package is installed.
     """
 
     def __init__(self, spark: SparkSession, root: str, paths: dict[str, str] | None = None,
-                 suffix: str = ""):
+                 suffix: str = "", fmt: str = "parquet"):
         self.spark = spark
         self.root = root.rstrip("/")
         self.paths = dict(paths or {})
         self.suffix = suffix
+        self.fmt = fmt
+
+    def _read(self, name: str) -> DataFrame:
+        return self.spark.read.format(self.fmt).load(self.path(name))
 
     def path(self, name: str) -> str:
         return self.paths.get(name, f"{self.root}/{name}{self.suffix}")
 
     def table(self, name: str, cols: Sequence[str] | None = None) -> DataFrame:
         """Load a table; with ``cols`` only those columns are read from the files."""
-        df = self.spark.read.parquet(self.path(name))
+        df = self._read(name)
         return df if cols is None else df.select(*cols)
 
     def exists(self, name: str) -> bool:
         try:
-            self.spark.read.parquet(self.path(name))
+            self._read(name)
         except AnalysisException as error:
             # A written table without rows or an absent folder; anything else is a real fault.
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_MISSING_DELTA_TABLE"):
                 return False
             raise
         return True
 
     def overwrite(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
         """Replace a table, schema included, and return the written rows (which cuts the lineage)."""
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(name))
+        writer = df.write.format(self.fmt).mode("overwrite")
+        if self.fmt == "delta":
+            writer = writer.option("overwriteSchema", "true")
+        writer.partitionBy(*partition_by).save(self.path(name))
         return self.table(name)
 
     def append(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("append").parquet(self.path(name))
+        df.write.format(self.fmt).mode("append").save(self.path(name))
         return self.table(name)
 
     def get_or_create(self, name: str, builder: Callable[[], DataFrame]) -> DataFrame:

@@ -262,9 +262,9 @@ def test_grid_search_is_skipped_for_one_fold(spark, sample):
     _, df = sample
     forest = models.random_forest("y", 3, maxDepth=2)
     pipeline = models.feature_pipeline([], ["s"], "y", forest)
-    same, best, points = models.grid_search(pipeline, forest, {"numTrees": [2, 3]}, df, folds=1)
+    same, best, points = models.grid_search(pipeline, forest, df, {"numTrees": [2, 3]}, folds=1)
     assert same is pipeline and best == {} and points == []
-    tuned, best, points = models.grid_search(pipeline, forest, {"numTrees": [2, 3]}, df, folds=2)
+    tuned, best, points = models.grid_search(pipeline, forest, df, {"numTrees": [2, 3]}, folds=2)
     assert best["numTrees"] in (2, 3) and len(points) == 2
     assert tuned.fit(df).stages[-2].getNumTrees == best["numTrees"]
 

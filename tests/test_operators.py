@@ -320,6 +320,13 @@ def test_catalog(spark, tmp_path):
     assert split.filter("part = 1").count() == 2
 
 
+def test_catalog_of_another_format(spark, tmp_path):
+    catalog = Catalog(spark, str(tmp_path), {"moved": str(tmp_path / "elsewhere")}, fmt="orc")
+    assert not catalog.exists("moved")
+    assert catalog.overwrite(spark.range(7), "moved").count() == 7
+    assert (tmp_path / "elsewhere").exists() and spark.read.orc(str(tmp_path / "elsewhere")).count() == 7
+
+
 def test_projection_prunes_the_scan(spark, sf_dir):
     df = Catalog(spark, sf_dir, suffix=".parquet").table("lineitem", ["l_orderkey", "l_tax"])
     assert "ReadSchema: struct<l_orderkey:bigint,l_tax:double>" in df._jdf.queryExecution().toString()
