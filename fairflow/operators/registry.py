@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
+from ..sources.catalog import Catalog
+
 RUN_SCHEMA = (
     "run_id string, model_name string, production int, date string, ts timestamp_ntz,"
     " metrics map<string,double>, params map<string,string>"
@@ -23,6 +25,11 @@ def run_record(spark: SparkSession, run_id: str, model_name: str, metrics: Mappi
     return spark.createDataFrame([row], RUN_SCHEMA)
 
 
+def record(catalog: Catalog, run: DataFrame, name: str = "runs") -> DataFrame:
+    """Append a run to the runs table, which is created by the first one."""
+    return catalog.append(run, name)
+
+
 def _metric(runs: DataFrame, name: str):
     return F.col(name) if name in runs.columns else F.col("metrics").getItem(name)
 

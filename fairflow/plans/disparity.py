@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import slug
 from ..operators import demographics as demo, outcomes
-from ..session import size_checked
 from ..sources.fixtures import SCORED_KEY, source
 from ..sources.ingest import inline_dimension
 from .registry import (
@@ -367,9 +366,7 @@ FROM (SELECT v.zone, rides, rides_z, factor, quantile, cnt_zscore, the_geom AS g
  JOIN zones z ON v.zone = z.zone)""")
 def _disparity_star_join(spark, sf_dir):
     disparity = demo.zone_disparity(deciles(spark, sf_dir), ["zone", "factor"], out="cnt_zscore")
-    joined = outcomes.disparity_star_join(
-        zone_volumes(spark, sf_dir), size_checked(disparity), geometries(spark, sf_dir)
-    )
+    joined = outcomes.disparity_star_join(zone_volumes(spark, sf_dir), disparity, geometries(spark, sf_dir))
     return rounded(joined, rides_z=8, cnt_zscore=8, disparity_z=6)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import geo
+from ..operators import demographics, geo
 from ..session import size_checked
 from ..sources.fixtures import source
 from .registry import query, r, rounded, step, using
@@ -164,3 +164,29 @@ def _zone_ride_counts(spark, sf_dir):
     counted = zoned.groupBy("zone").agg(F.count("zone").alias("count"))
     joined = counted.join(zones.select("zone", F.col("the_geom").alias("geometry")), "zone")
     return rounded(joined.withColumn("count_log10", F.log10("count")), count_log10=8)
+
+
+step("home", f"""
+SELECT person_id, e.zone FROM (SELECT person_id, longitude AS x, latitude AS y FROM persons) JOIN edge e ON true
+GROUP BY person_id, e.zone, x, y HAVING {INSIDE}""", "persons", "edge")
+
+
+def located_persons(spark, sf_dir):
+    """Persons with the zone they live in and its borough; those outside all zones and the
+    coordinates themselves are dropped."""
+    persons = source(spark, sf_dir, "persons").drop("zone", "borough")
+    shapes = size_checked(index(spark, sf_dir))
+    located = geo.point_in_polygon(persons, "latitude", "longitude", shapes, RES)
+    return demographics.person_zone_borough(located, source(spark, sf_dir, "zones"), ["longitude", "latitude"])
+
+
+query("located_persons", using("home", "zones") + """
+SELECT p.* EXCLUDE (zone, borough, longitude, latitude), z.zone, z.borough FROM persons p
+JOIN home h ON p.person_id = h.person_id JOIN zones z ON h.zone = z.zone""")(located_persons)
+
+
+@query("located_factor_counts", using("home") + " UNION ALL ".join(
+    f"SELECT h.zone, {f} AS value, count({f}) AS count, '{f}' AS factor FROM persons p JOIN home h"
+    f" ON p.person_id = h.person_id GROUP BY h.zone, {f}" for f in ("gnrt", "gndr")))
+def _located_factor_counts(spark, sf_dir):
+    return demographics.factor_counts(located_persons(spark, sf_dir), ["zone"], ["gnrt", "gndr"])

@@ -54,6 +54,22 @@ def _normalise_columns(spark, sf_dir):
     return ingest.normalise_columns(raw, {"ZCTA5CE20": "zip"})
 
 
+@query("import_shapes", using("zones") + """
+SELECT CAST(zone_id AS VARCHAR) AS zip, zone AS name, the_geom, n_regionkey, n_name
+FROM zones LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 2) ON zone_id = n_nationkey""")
+def _import_shapes(spark, sf_dir):
+    """Shapes written as CSV come back as a table with attributes by key; some keys are unknown."""
+    path = scratch_path(spark, "shapes")
+    source(spark, sf_dir, "zones").select(
+        F.col("zone_id").alias("_c0"), F.col("zone_id").alias("ZCTA5CE20"), F.col("zone").alias("NAME20"), "the_geom"
+    ).write.option("header", True).csv(path)
+    return ingest.import_shapes(
+        _scratch(spark), "shapes", path, "the_geom", "_c0 int, ZCTA5CE20 string, NAME20 string, the_geom string",
+        "ZCTA5CE20", source(spark, sf_dir, "nation").filter("n_regionkey <> 2"), "n_nationkey",
+        ["n_regionkey", "n_name"],
+    )
+
+
 @query("overwrite_roundtrip", "SELECT s_suppkey, s_name, s_acctbal * 2 AS doubled FROM supplier")
 def _overwrite_roundtrip(spark, sf_dir):
     """The second write replaces rows and schema of the first."""

@@ -9,6 +9,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.text import json_map
+from .catalog import Catalog
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
@@ -57,6 +58,25 @@ def json_map_extract(df: DataFrame, col: str, keys: Iterable[str]) -> DataFrame:
     return parsed.withColumns({k: F.col("_map").getItem(k) for k in keys}).drop("_map", col)
 
 
+def import_shapes(catalog: Catalog, name: str, path: str, geometry: str,
+                  schema: T.StructType | str | None = None, key: str | None = None,
+                  lookup: DataFrame | None = None, lookup_key: str = "zip",
+                  cols: Sequence[str] = ()) -> DataFrame:
+    """CSV of shapes to a table: geometry kept as text, names normalised, attributes looked up.
+
+    ``key`` names the column that becomes ``zip``; without it nothing is looked up.  The
+    written table is returned, so later steps start from files.
+    """
+    shapes = read_csv(catalog.spark, path, schema, text=[geometry])
+    shapes = normalise_columns(shapes, {} if key is None else {key: "zip"})
+    if key is not None and lookup is not None:
+        text_key = lookup.withColumn(lookup_key, F.col(lookup_key).cast("string"))
+        shapes = dimension_lookup(
+            shapes.withColumn("zip", F.col("zip").cast("string")), text_key, {"zip": lookup_key}, cols
+        )
+    return catalog.overwrite(shapes, name)
+
+
 def feature_set(df: DataFrame, cols: Sequence[str] | None = None,
                 private: Sequence[str] = ()) -> DataFrame:
     """Column projection of a feature table; ``private`` columns never pass through."""

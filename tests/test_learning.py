@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from fairflow.operators import fairness as fair, metrics, models, registry
 from fairflow.operators.threshold import TunedThreshold, TunedThresholdModel
+from fairflow.sources.catalog import Catalog
 from fairflow.sources.ingest import align_columns
 
 SCHEMA = "id long, y int, s double, g string, w double"
@@ -283,6 +284,14 @@ def test_imputing_and_scaling(spark):
     assert {r["c_scaled"] for r in scaled} == {None}
 
 
+def test_runs_table_grows(spark, tmp_path):
+    catalog = Catalog(spark, str(tmp_path))
+    for i, auc in enumerate((0.6, 0.8)):
+        run = registry.run_record(spark, f"r{i}", "m", {"auc": auc}, {"k": i}, dt.datetime(2024, 1, 1))
+        runs = registry.record(catalog, run)
+    assert runs.count() == 2 and registry.require_model(catalog.table("runs"), "m")["run_id"] == "r1"
+
+
 def test_lookup_prefers_production_then_metric(spark):
     ts = dt.datetime(2024, 1, 1)
     record = lambda i, name, auc, production: registry.run_record(spark, i, name, {"auc": auc}, {}, ts, production)
