@@ -158,17 +158,23 @@ def shape_index(df: DataFrame, key: str, wkt: str, res: int) -> DataFrame:
     ``shapes`` lists each shape near the cell with ``base``, the number (modulo 2) of its edges
     that lie to the right over the full height of the cell and so count for every point in it,
     and ``edges``, the few that have to be tested.
+
+    Edges are first sent to the grid rows they touch, so the rows of a shape with very many
+    edges are worked on apart, and each row only sees its own edges.  A cell left or right of
+    all of them lies outside.  A cell's list grows with the shapes that meet it: choose a
+    resolution whose cells are smaller than the shapes.
     """
-    rows = _with_extent(_parsed(df, [key], wkt)).select(
-        key, "_edges", "_xmin", "_xmax",
-        _span(_row_of(F.col("_ymin") - TOUCH, res), _row_of(F.col("_ymax") + TOUCH, res)).alias("cy"),
+    left_end, right_end = F.least("x1", "x2"), F.greatest("x1", "x2")
+    edges = _parsed(df, [key], wkt).select(key, "_shape", F.inline("_edges")).filter(F.col("y1") != F.col("y2"))
+    spread = edges.select(
+        "*",
+        _span(_row_of(F.least("y1", "y2") - TOUCH, res), _row_of(F.greatest("y1", "y2") + TOUCH, res)).alias("cy"),
+    )
+    rows = spread.groupBy(key, "_shape", "cy").agg(
+        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_band"),
+        F.min(left_end).alias("_xmin"), F.max(right_end).alias("_xmax"),
     ).withColumns({"_low": _lat_at(F.col("cy"), res), "_high": _lat_at(F.col("cy") + 1, res)})
-    touching = rows.withColumn("_band", F.filter("_edges", lambda e: (
-        (e["y1"] != e["y2"])
-        & (F.greatest(e["y1"], e["y2"]) >= F.col("_low") - TOUCH)
-        & (F.least(e["y1"], e["y2"]) <= F.col("_high") + TOUCH)
-    )))
-    cells = touching.select(
+    cells = rows.select(
         key, "cy", "_low", "_high", "_band",
         _span(_column_of(F.col("_xmin") - TOUCH, res), _column_of(F.col("_xmax") + TOUCH, res)).alias("cx"),
     ).withColumns({"_left": _lon_at(F.col("cx"), res), "_right": _lon_at(F.col("cx") + 1, res)})
