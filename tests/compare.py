@@ -54,7 +54,7 @@ def session():
     from fairflow.session import build_session
 
     spark = build_session("compare", "local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
+        "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
     })
     spark.sparkContext.setLogLevel("ERROR")
     return spark
