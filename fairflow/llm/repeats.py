@@ -110,12 +110,12 @@ def _text_of(places: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.searchsorted(first, places, "right") - 1
 
 
-COUNTED = "batch long, marks binary, ids binary, keys binary, first binary"
+COUNTED = "batch long, marks binary, hot binary, ids binary, keys binary, first binary"
 
 
-def count(sent: DataFrame, smaller_id: bool) -> DataFrame:
+def count(sent: DataFrame, smaller_id: bool, hot: int | None = None) -> DataFrame:
     """Per batch and bucket the positions whose hash occurs again: anywhere (``smaller_id`` false), or
-    in a document with a smaller id."""
+    in a document with a smaller id; and those whose hash occurs more than ``hot`` times."""
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.select(["batch", "lead", "hashes", "at", "ids", "keys", "first"]).to_pylist()
@@ -141,41 +141,55 @@ def count(sent: DataFrame, smaller_id: bool) -> DataFrame:
             again = ~new
             again[:-1] |= ~new[1:]
             marked[order] = again
-        out: dict[str, list] = {k: [] for k in ("batch", "marks", "ids", "keys", "first")}
+        frequent = None
+        if hot is not None:
+            times = np.diff(np.flatnonzero(new), append=len(order))
+            frequent = np.empty(len(order), bool)
+            frequent[order] = np.repeat(times > hot, times)
+        out: dict[str, list] = {k: [] for k in ("batch", "marks", "hot", "ids", "keys", "first")}
         for r, p, end, n in zip(rows, places, ends, sizes):
             mine = p[marked[end - n:end]]
             if len(mine) or r["lead"]:
                 out["batch"].append(r["batch"])
                 out["marks"].append(pack(mine))
+                out["hot"].append(None if hot is None else pack(p[frequent[end - n:end]]))
                 for k in ("ids", "keys", "first"):
                     out[k].append(r[k] if r["lead"] else None)
         return pa.table({"batch": pa.array(out["batch"], pa.int64()),
-                         **{k: pa.array(out[k], pa.binary()) for k in ("marks", "ids", "keys", "first")}})
+                         **{k: pa.array(out[k], pa.binary()) for k in ("marks", "hot", "ids", "keys", "first")}})
 
     return sent.groupBy("bucket").applyInArrow(run, COUNTED)
 
 
-MARKED = "_id long, _row long, marks binary"
+MARKED = "_id long, _row long, marks binary, hot binary"
 
 
 def gather(counted: DataFrame) -> DataFrame:
-    """One row per document with marked positions: packed ascending places within the text."""
+    """One row per document with marked positions: packed ascending places within the text, and those
+    of them that are hot."""
 
     def run(table: pa.Table) -> pa.Table:
-        rows = table.select(["marks", "ids", "keys", "first"]).to_pylist()
-        marks = np.sort(np.concatenate([unpack(r["marks"]) for r in rows]))
+        rows = table.select(["marks", "hot", "ids", "keys", "first"]).to_pylist()
         lead = next(r for r in rows if r["ids"] is not None)
         ids, keys = (unpack(lead[k]).view(np.int64) for k in ("ids", "keys"))
         first = unpack(lead["first"])
-        text = _text_of(marks, first)
-        found, begin = np.unique(text, return_index=True)
-        packed = [pack_sorted(x - first[t]) for t, x in zip(found, np.split(marks, begin[1:]))] if len(found) else []
+
+        def by_text(column: str) -> dict[int, bytes]:
+            held = [unpack(r[column]) for r in rows if r[column] is not None]
+            places = np.sort(np.concatenate(held)) if held else np.empty(0, np.uint64)
+            found, begin = np.unique(_text_of(places, first), return_index=True)
+            parts = np.split(places, begin[1:]) if len(found) else []
+            return {int(t): pack_sorted(x - first[t]) for t, x in zip(found, parts)}
+
+        marks, hot = by_text("marks"), by_text("hot")
+        found = np.fromiter(marks, np.int64, len(marks))
         return pa.table({"_id": pa.array(ids[found], pa.int64()), "_row": pa.array(keys[found], pa.int64()),
-                         "marks": pa.array(packed, pa.binary())})
+                         "marks": pa.array(list(marks.values()), pa.binary()),
+                         "hot": pa.array([hot.get(int(t)) for t in found], pa.binary())})
 
     found = counted.groupBy("batch").applyInArrow(run, MARKED)
     # Repeated rows of one id and text have the same marks: any of them serves.
-    return found.groupBy("_id", "_row").agg(F.max("marks").alias("marks"))
+    return found.groupBy("_id", "_row").agg(F.max("marks").alias("marks"), F.max("hot").alias("hot"))
 
 
 def split(rows: DataFrame, marked: DataFrame) -> tuple[DataFrame, DataFrame]:
