@@ -44,3 +44,32 @@ def suffix(docs, length=200):
         kept = bytes(x for x, g in zip(b, gone) if not g)
         out.append((i, len(b), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest()))
     return out
+
+
+ALNUM = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def lower(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+def decontamination(docs, items, window=13):
+    """rows (id, n_words, n_hit, n_items, sha of the item ids, contaminated), in input order"""
+    phrases = collections.defaultdict(set)
+    for name, text in items:
+        w = ALNUM.findall(lower(text))
+        for k in range(max(1, len(w) - window + 1) if w else 0):
+            phrases[tuple(w[k:k + window])].add(name)
+    lengths = {len(p) for p in phrases}
+    out = []
+    for i, text in docs:
+        w, hit, found = ALNUM.findall(lower(text)), set(), set()
+        for n in lengths:
+            for k in range(len(w) - n + 1):
+                names = phrases.get(tuple(w[k:k + n]))
+                if names:
+                    hit.update(range(k, k + n))
+                    found |= {str(x) for x in names if x is not None}
+        sha = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        out.append((i, len(w), len(hit), len(found), sha, bool(hit) and 20 * len(hit) >= len(w)))
+    return out
