@@ -49,9 +49,10 @@ def bucket_bits(rows: DataFrame, bytes_per_bucket: int) -> int:
 SENT = "bucket int, batch long, lead boolean, hashes binary, at binary, ids binary, keys binary, first binary"
 
 
-def send(rows: DataFrame, positions: Positions, bits: int, batch_size: int) -> DataFrame:
+def send(rows: DataFrame, positions: Positions, bits: int, batch_size: int, owners: bool) -> DataFrame:
     """One row per batch of documents and bucket.  ``positions`` gives, for a block of texts, the hash
-    and the place of each counted position, and where each text's places begin."""
+    and the place of each counted position, and where each text's places begin.  The batch's table of
+    documents goes with its first row; ``owners`` sends ids and beginnings with every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -86,8 +87,9 @@ def send(rows: DataFrame, positions: Positions, bits: int, batch_size: int) -> D
                 yield pa.RecordBatch.from_arrays([
                     pa.array(out["bucket"], pa.int32()), pa.array([number] * n, pa.int64()),
                     pa.array([i == 0 for i in range(n)]), pa.array(out["hashes"], pa.binary()),
-                    pa.array(out["at"], pa.binary()), pa.array([ids] * n, pa.binary()),
-                    pa.array([keys] * n, pa.binary()), pa.array([begin] * n, pa.binary()),
+                    pa.array(out["at"], pa.binary()),
+                    *(pa.array([x] + [x if owners and x is not keys else None] * (n - 1), pa.binary())
+                      for x in (ids, keys, begin)),
                 ], ["bucket", "batch", "lead", "hashes", "at", "ids", "keys", "first"])
 
         for batch in batches:

@@ -29,7 +29,7 @@ from .register import query
 
 WINDOW = 13
 BATCH_WINDOWS = 1 << 20
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 16 << 20
 
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, n_spans long, kept string"
 
@@ -46,7 +46,7 @@ def _positions(length: int):
 def repeated_windows(rows: DataFrame, length: int = WINDOW) -> DataFrame:
     """Per document with repeated windows, the packed numbers of their first words."""
     bits = repeats.bucket_bits(rows, BUCKET_BYTES)
-    sent = repeats.send(rows, _positions(length), bits, BATCH_WINDOWS)
+    sent = repeats.send(rows, _positions(length), bits, BATCH_WINDOWS, owners=True)
     return repeats.gather(repeats.count(sent, smaller_id=True))
 
 
