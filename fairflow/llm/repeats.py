@@ -40,9 +40,12 @@ def keyed(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     })
 
 
-def bucket_bits(rows: DataFrame, bytes_per_bucket: int) -> int:
+def text_bytes(rows: DataFrame) -> int:
+    return rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
+def bucket_bits(total: int, bytes_per_bucket: int) -> int:
     """Leading hash bits that make buckets of about the given bytes of text."""
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     return max(0, (max(1, -(-total // bytes_per_bucket)) - 1).bit_length())
 
 

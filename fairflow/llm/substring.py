@@ -45,7 +45,7 @@ def _positions(length: int):
 
 def repeated_windows(rows: DataFrame, length: int = WINDOW) -> DataFrame:
     """Per document with repeated windows, the packed numbers of their first words."""
-    bits = repeats.bucket_bits(rows, BUCKET_BYTES)
+    bits = repeats.bucket_bits(repeats.text_bytes(rows), BUCKET_BYTES)
     sent = repeats.send(rows, _positions(length), bits, BATCH_WINDOWS, owners=True)
     return repeats.gather(repeats.count(sent, smaller_id=True))
 
