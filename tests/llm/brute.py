@@ -73,3 +73,35 @@ def decontamination(docs, items, window=13):
         sha = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
         out.append((i, len(w), len(hit), len(found), sha, bool(hit) and 20 * len(hit) >= len(w)))
     return out
+
+
+def shingles(text, n=2):
+    w = WORD.findall(lower(text))
+    return frozenset(tuple(w[k:k + n]) for k in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])
+
+
+def near(docs, percent=80, n=2):
+    """rows (id, size of the set, component id, kept), in input order"""
+    sets = [shingles(t, n) for _, t in docs]
+    ids = [float("inf") if i is None else i for i, _ in docs]
+    parent = list(range(len(docs)))
+
+    def root(v):
+        while parent[v] != v:
+            parent[v] = v = parent[parent[v]]
+        return v
+
+    for a in range(len(docs)):
+        for b in range(a):
+            if sets[a] and sets[b] and min(len(sets[a]), len(sets[b])) * 100 >= percent * max(len(sets[a]), len(sets[b])):
+                both = len(sets[a] & sets[b])
+                if both * 100 >= percent * (len(sets[a]) + len(sets[b]) - both):
+                    parent[root(a)] = root(b)
+    least = {}
+    for k in range(len(docs)):
+        least[root(k)] = min(least.get(root(k), float("inf")), ids[k])
+    out = []
+    for k, (i, _) in enumerate(docs):
+        c = least[root(k)]
+        out.append((i, len(sets[k]), None if c == float("inf") else c, ids[k] == c))
+    return out
