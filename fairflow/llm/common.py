@@ -42,7 +42,7 @@ def powers(n: int, base: int = BASE) -> np.ndarray:
         have[0] = 1
         np.multiply.accumulate(have, out=have)
         if size > 1 << 23:
-            return have
+            return have[:n]
         _POWERS[base] = have
     return have[:n]
 
