@@ -105,3 +105,14 @@ def near(docs, percent=80, n=2):
         c = least[root(k)]
         out.append((i, len(sets[k]), None if c == float("inf") else c, ids[k] == c))
     return out
+
+
+def counts(text):
+    """(n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words)"""
+    t = text or ""
+    w = WORD.findall(t)
+    lines = [x for x in t.split("\n") if WORD.search(x)]
+    grams = [tuple(w[k:k + 3]) for k in range(len(w) - 2)]
+    times = collections.Counter(grams)
+    hit = {k + j for k, g in enumerate(grams) if times[g] > 1 for j in range(3)}
+    return (len(w), sum(map(len, w)), sum(t.count(c) for c in "#*$%&|<>"), len(lines), len(lines) - len(set(lines)), len(hit))
