@@ -197,6 +197,33 @@ def gather(counted: DataFrame) -> DataFrame:
     return found.groupBy("_id", "_row").agg(F.max("marks").alias("marks"), F.max("hot").alias("hot"))
 
 
+RUNS = "batch long, starts binary, lengths binary, ids binary, keys binary, first binary"
+MARKED_RUNS = "_id long, _row long, starts binary, lengths binary"
+
+
+def gather_runs(found: DataFrame) -> DataFrame:
+    """As ``gather`` for runs of neighbouring positions, which a few bytes describe however long: one
+    row per document, packed ascending starts and lengths."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.select(["starts", "lengths", "ids", "keys", "first"]).to_pylist()
+        lead = next(r for r in rows if r["ids"] is not None)
+        ids, keys = (unpack(lead[k]).view(np.int64) for k in ("ids", "keys"))
+        first = unpack(lead["first"])
+        starts, lengths = (np.concatenate([unpack(r[k]) for r in rows]) for k in ("starts", "lengths"))
+        order = np.argsort(starts)
+        starts, lengths = starts[order], lengths[order]
+        text, begin = np.unique(_text_of(starts, first), return_index=True)
+        parts = list(zip(text, np.split(starts, begin[1:]), np.split(lengths, begin[1:]))) if len(text) else []
+        return pa.table({
+            "_id": pa.array(ids[text], pa.int64()), "_row": pa.array(keys[text], pa.int64()),
+            "starts": pa.array([pack_sorted(s - first[t]) for t, s, _ in parts], pa.binary()),
+            "lengths": pa.array([pack(n) for _, _, n in parts], pa.binary())})
+
+    return (found.groupBy("batch").applyInArrow(run, MARKED_RUNS)
+            .groupBy("_id", "_row").agg(F.max(F.struct("starts", "lengths")).alias("marks")))
+
+
 def split(rows: DataFrame, marked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows that may have marks, and rows that have none, told apart without a shuffle of the texts.
 
@@ -214,4 +241,5 @@ def with_marks(rows: DataFrame, marked: DataFrame) -> DataFrame:
     some, none = split(rows, marked)
     joined = some.join(marked.hint("merge"), ["_id", "_row"], "left")
     columns = ["doc_id", "_id", "_row", "text", "marks"]
-    return joined.select(*columns).unionByName(none.withColumn("marks", F.lit(None).cast("binary")).select(*columns))
+    nothing = F.lit(None).cast(marked.schema["marks"].dataType)
+    return joined.select(*columns).unionByName(none.withColumn("marks", nothing).select(*columns))
