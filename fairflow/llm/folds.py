@@ -18,7 +18,8 @@ def sample_per_class(rows: DataFrame, label_col: str, id_col: str, most: int) ->
     Labels are counted first, so that a task keeps little more than is wanted of a frequent one."""
     counts = rows.groupBy(label_col).agg(F.count(F.lit(1)).alias("_rows"))
     chance = F.pmod(F.xxhash64(F.col(id_col), F.lit(17)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    thinned = (rows.join(counts, label_col).withColumn("_chance", chance)
+    # One row per class of a classifier.
+    thinned = (rows.join(F.broadcast(counts), label_col).withColumn("_chance", chance)
                .filter(F.col("_chance") * F.col("_rows") < 2 * most + 50))
     order = Window.partitionBy(label_col).orderBy("_chance", id_col)
     return thinned.withColumn("_turn", F.row_number().over(order)).filter(F.col("_turn") <= most).drop(
