@@ -53,26 +53,31 @@ def check_groups(df: DataFrame, group: str | Sequence[str], label: str, pos_labe
 
 
 def group_rates(df: DataFrame, group: str | Sequence[str], label: str, score: str | None = None,
-                pred: str | None = None, weight: str | None = None) -> DataFrame:
+                pred: str | None = None, weight: str | None = None, pos_label=1) -> DataFrame:
     """All rates per group in one pass; several group columns give their intersections.
 
     Generalised rates need ``score``, confusion rates and the selection rate need ``pred``.
-    A rate without a denominator is 0.
+    A rate without a denominator is 0.  A row without a label, or without the score or the
+    prediction asked for, is known nothing about and counts in no rate; ``rows`` counts all.
     """
     keys = [group] if isinstance(group, str) else list(group)
-    w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
-    positive = F.col(label) == 1
+    known = F.col(label).isNotNull()
+    for c in (score, pred):
+        if c is not None:
+            known = known & F.col(c).isNotNull()
+    w = F.when(known, F.lit(1.0) if weight is None else F.col(weight).cast("double")).otherwise(0.0)
+    positive = F.col(label) == F.lit(pos_label)
 
     def total(condition: Column | None, value: Column = w) -> Column:
         return F.sum(value if condition is None else F.when(condition, value).otherwise(0.0))
 
     sums = {"_w": total(None), "_pos": total(positive), "rows": F.count(F.lit(1))}
     if score is not None:
-        p = F.col(score)
+        p = F.coalesce(F.col(score), F.lit(0.0))
         sums["_gfp"] = F.sum(F.when(positive, 0.0).otherwise(w * p))
         sums["_gfn"] = total(positive, w * (1 - p))
     if pred is not None:
-        called = F.col(pred) == 1
+        called = F.col(pred) == F.lit(pos_label)
         sums["_called"], sums["_tp"] = total(called), total(positive & called)
     summed = df.groupBy(*keys).agg(*[c.alias(name) for name, c in sums.items()])
 
@@ -91,12 +96,25 @@ def group_rates(df: DataFrame, group: str | Sequence[str], label: str, score: st
     return summed.select(*keys, "rows", *[c.alias(name) for name, c in rates.items()])
 
 
-def privilege_rates(df: DataFrame, group: str, priv, label: str, score: str | None = None,
-                    pred: str | None = None, weight: str | None = None) -> DataFrame:
+def is_privileged(group: str | Sequence[str], priv) -> Column:
+    """Whether a row is of the privileged group: one column and its value, or several columns and
+    as many values."""
+    if isinstance(group, str):
+        group, priv = [group], [priv]
+    if len(group) != len(priv):
+        raise ValueError(f"{len(group)} protected columns, {len(priv)} values")
+    same = F.lit(True)
+    for c, value in zip(group, priv):
+        same = same & F.coalesce(F.col(c) == F.lit(value), F.lit(False))
+    return same
+
+
+def privilege_rates(df: DataFrame, group: str | Sequence[str], priv, label: str, score: str | None = None,
+                    pred: str | None = None, weight: str | None = None, pos_label=1) -> DataFrame:
     """Rates of the privileged group and of all others together: one row of structs
     ``priv`` and ``unpriv``."""
-    flagged = df.withColumn("privileged", F.coalesce(F.col(group) == F.lit(priv), F.lit(False)))
-    rates = group_rates(flagged, "privileged", label, score, pred, weight)
+    flagged = df.withColumn("privileged", is_privileged(group, priv))
+    rates = group_rates(flagged, "privileged", label, score, pred, weight, pos_label)
     names = [c for c in rates.columns if c in RATES]
     packed = F.struct(*names)
     return rates.agg(
@@ -109,14 +127,14 @@ def _gap(name: str) -> Column:
     return F.col(f"unpriv.{name}") - F.col(f"priv.{name}")
 
 
-def metric_difference(df: DataFrame, metrics: Sequence[str], group: str, priv, label: str,
+def metric_difference(df: DataFrame, metrics: Sequence[str], group: str | Sequence[str], priv, label: str,
                       score: str | None = None, pred: str | None = None,
-                      weight: str | None = None) -> DataFrame:
+                      weight: str | None = None, pos_label=1) -> DataFrame:
     """``metric, unprivileged, privileged, difference`` for each named rate."""
     unknown = [m for m in metrics if m not in RATES]
     if unknown:
         raise ValueError(f"unknown metrics {unknown}: choose from {list(RATES)}")
-    both = privilege_rates(df, group, priv, label, score, pred, weight)
+    both = privilege_rates(df, group, priv, label, score, pred, weight, pos_label)
     rows = [
         F.struct(
             F.lit(m).alias("metric"), F.col(f"unpriv.{m}").alias("unprivileged"),
@@ -127,48 +145,48 @@ def metric_difference(df: DataFrame, metrics: Sequence[str], group: str, priv, l
     return both.select(F.inline(F.array(*rows)))
 
 
-def statistical_parity(df: DataFrame, group: str, priv, label: str, pred: str | None = None,
-                       weight: str | None = None) -> DataFrame:
+def statistical_parity(df: DataFrame, group: str | Sequence[str], priv, label: str, pred: str | None = None,
+                       weight: str | None = None, pos_label=1) -> DataFrame:
     """Difference in selection rates, or in base rates without predictions, and its size."""
-    both = privilege_rates(df, group, priv, label, pred=pred, weight=weight)
+    both = privilege_rates(df, group, priv, label, pred=pred, weight=weight, pos_label=pos_label)
     gap = _gap("base_rate" if pred is None else "selection_rate")
     return both.select(
         gap.alias("statistical_parity_difference"), F.abs(gap).alias("discrimination")
     )
 
 
-def mean_difference(df: DataFrame, group: str, priv, label: str, weight: str | None = None) -> DataFrame:
+def mean_difference(df: DataFrame, group: str | Sequence[str], priv, label: str, weight: str | None = None, pos_label=1) -> DataFrame:
     """Difference in mean outcomes of a labelled dataset."""
-    both = privilege_rates(df, group, priv, label, weight=weight)
+    both = privilege_rates(df, group, priv, label, weight=weight, pos_label=pos_label)
     return both.select(_gap("base_rate").alias("mean_difference"))
 
 
-def equal_opportunity(df: DataFrame, group: str, priv, label: str, pred: str,
-                      weight: str | None = None) -> DataFrame:
-    both = privilege_rates(df, group, priv, label, pred=pred, weight=weight)
+def equal_opportunity(df: DataFrame, group: str | Sequence[str], priv, label: str, pred: str,
+                      weight: str | None = None, pos_label=1) -> DataFrame:
+    both = privilege_rates(df, group, priv, label, pred=pred, weight=weight, pos_label=pos_label)
     return both.select(_gap("tpr").alias("equal_opportunity_difference"))
 
 
-def average_odds(df: DataFrame, group: str, priv, label: str, pred: str,
-                 weight: str | None = None) -> DataFrame:
-    both = privilege_rates(df, group, priv, label, pred=pred, weight=weight)
+def average_odds(df: DataFrame, group: str | Sequence[str], priv, label: str, pred: str,
+                 weight: str | None = None, pos_label=1) -> DataFrame:
+    both = privilege_rates(df, group, priv, label, pred=pred, weight=weight, pos_label=pos_label)
     return both.select(((_gap("fpr") + _gap("tpr")) / 2).alias("average_odds_difference"))
 
 
-def disparate_impact(df: DataFrame, group: str, priv, label: str, pred: str | None = None,
-                     weight: str | None = None) -> DataFrame:
+def disparate_impact(df: DataFrame, group: str | Sequence[str], priv, label: str, pred: str | None = None,
+                     weight: str | None = None, pos_label=1) -> DataFrame:
     """Ratio of the rates of favourable outcomes, and its distance from 1."""
     rate = "base_rate" if pred is None else "selection_rate"
-    both = privilege_rates(df, group, priv, label, pred=pred, weight=weight)
+    both = privilege_rates(df, group, priv, label, pred=pred, weight=weight, pos_label=pos_label)
     impact = ratio(F.col(f"unpriv.{rate}"), F.col(f"priv.{rate}"))
     return both.select(
         impact.alias("disparate_impact"), F.abs(1 - impact).alias("disparate_impact_gap")
     )
 
 
-def generalized_rate_gaps(df: DataFrame, group: str, priv, label: str, score: str,
-                          weight: str | None = None) -> DataFrame:
-    both = privilege_rates(df, group, priv, label, score=score, weight=weight)
+def generalized_rate_gaps(df: DataFrame, group: str | Sequence[str], priv, label: str, score: str,
+                          weight: str | None = None, pos_label=1) -> DataFrame:
+    both = privilege_rates(df, group, priv, label, score=score, weight=weight, pos_label=pos_label)
     return both.select(
         _gap("generalized_fpr").alias("gfpr_difference"),
         _gap("generalized_fnr").alias("gfnr_difference"),
@@ -179,7 +197,7 @@ def fairness_sweep(df: DataFrame, group: str, priv, label: str, score: str,
                    thresholds: Sequence[float], weight: str | None = None,
                    strict: bool = True) -> DataFrame:
     """Balanced accuracy and group gaps at every threshold, from one scan."""
-    flagged = df.withColumn("privileged", F.coalesce(F.col(group) == F.lit(priv), F.lit(False)))
+    flagged = df.withColumn("privileged", is_privileged(group, priv))
     sweep = threshold_sweep(flagged, label, score, thresholds, ["privileged"], weight, strict)
 
     def side(name: str, privileged: bool) -> Column:
@@ -263,7 +281,9 @@ def fair_adapt(df: DataFrame, params: DataFrame, score: str, group: str, keys: S
     ``threshold`` adds ``adapted_predict``.  A group unknown to the fit is an error.
     """
     row = F.struct("group", "base_rate", "mix_rate")
-    pair = params.agg(F.struct(F.min(row).alias("a"), F.max(row).alias("b"))).scalar()
+    message = F.concat(F.lit("expected 2 fitted groups, got "), F.count(F.lit(1)).cast("string"))
+    both = F.struct(F.min(row).alias("a"), F.max(row).alias("b"))
+    pair = params.agg(F.when(F.count(F.lit(1)) == 2, both).otherwise(F.raise_error(message))).scalar()
     draw = uniform(keys, seed, method)
 
     def mixed(side: str) -> Column:
@@ -292,13 +312,15 @@ def fair_predict(df: DataFrame, prob: str = "adapted_prob", out: str = "predicte
 
 def fair_score(df: DataFrame, label: str, prob: str, group: str, constraint: str = "weighted",
                weight: str | None = None) -> DataFrame:
-    """Size of the cost gap between two groups, for adapted or raw scores."""
+    """Size of the cost gap between two groups, for adapted or raw scores.  Any other number of
+    groups fails when the plan runs."""
     rates = group_rates(df, group, label, score=prob, weight=weight)
     cost = _cost(constraint, F.col("generalized_fpr"), F.col("generalized_fnr"), F.col("base_rate"))
     pair = F.struct(F.col(group).alias("group"), cost.alias("cost"))
-    return rates.agg(F.min(pair).alias("a"), F.max(pair).alias("b")).select(
-        F.abs(F.col("a.cost") - F.col("b.cost")).alias("cost_gap")
-    )
+    both = rates.agg(F.count(F.lit(1)).alias("n"), F.min(pair).alias("a"), F.max(pair).alias("b"))
+    message = F.concat(F.lit("expected 2 protected groups, got "), F.col("n").cast("string"))
+    gap = F.when(F.col("n") == 2, F.abs(F.col("a.cost") - F.col("b.cost"))).otherwise(F.raise_error(message).cast("double"))
+    return both.select(gap.alias("cost_gap"))
 
 
 def apply_random_mapping(df: DataFrame, mapping: DataFrame, on: Sequence[str],

@@ -26,10 +26,10 @@ def _weight(weight: str | None) -> Column:
 
 
 def class_sums(label: str, weight: str | None = None) -> tuple[Column, Column]:
-    """Weight of the positive and of the negative rows; rows without a label count as negative."""
+    """Weight of the positive and of the negative rows; rows without a label are neither."""
     w = _weight(weight)
-    positive = F.col(label) == 1
-    return F.sum(F.when(positive, w).otherwise(0)), F.sum(F.when(positive, 0).otherwise(w))
+    return (F.coalesce(F.sum(F.when(F.col(label) == 1, w)), F.lit(0)),
+            F.coalesce(F.sum(F.when(F.col(label) != 1, w)), F.lit(0)))
 
 
 def score_steps(df: DataFrame, label: str, score: str, weight: str | None = None) -> DataFrame:

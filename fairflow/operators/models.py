@@ -10,10 +10,11 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import predict_batch_udf, vector_to_array
+from pyspark.ml.functions import predict_batch_udf
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..session import stage
 from .metrics import accuracy_at_threshold, class_balance, classification_report, roc_auc
 from .registry import run_record
 from .threshold import TunedThreshold
@@ -99,9 +100,9 @@ def grid_search(pipeline: Pipeline, classifier: Estimator, df: DataFrame,
     for name, values in (grid or {"numTrees": TREE_COUNTS}).items():
         builder = builder.addGrid(classifier.getParam(name), list(values))
     points = builder.build()
-    # Only ranks matter to the metric, so the threshold stage is left out of the search.
+    # Only ranks matter to the metric, so threshold stages are left out of the search.
     search = CrossValidator(
-        estimator=Pipeline(stages=pipeline.getStages()[:-1]), estimatorParamMaps=points,
+        estimator=Pipeline(stages=[s for s in pipeline.getStages() if not isinstance(s, TunedThreshold)]), estimatorParamMaps=points,
         evaluator=BinaryClassificationEvaluator(
             labelCol=classifier.getLabelCol(), rawPredictionCol=classifier.getRawPredictionCol(),
             metricName="areaUnderROC",
@@ -127,7 +128,8 @@ def train_and_record(train: DataFrame, test: DataFrame, pipeline: Pipeline, labe
     model = pipeline.fit(train)
     cut = model.stages[-1].getTunedThreshold()
     score, pred = f"{label}_probability", f"{label}_predict"
-    scored = {"train": model.transform(train), "test": model.transform(test)}
+    # Each side goes through the model once; the metrics read three narrow columns.
+    scored = {side: stage(model.transform(df).select(label, score, pred)) for side, df in (("train", train), ("test", test))}
     report = classification_report(scored["test"], label, pred)
     balance = class_balance(train, label).first()
     metrics = {
@@ -215,6 +217,3 @@ def embedding_columns(df: DataFrame, col: str, out: str = "features") -> DataFra
 
     return df.withColumn(out, array_to_vector(F.col(col).cast("array<double>")))
 
-
-def positive_probability(df: DataFrame, col: str, out: str) -> DataFrame:
-    return df.withColumn(out, F.element_at(vector_to_array(F.col(col)), -1))

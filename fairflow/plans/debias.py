@@ -7,6 +7,8 @@ fitted on the validation days and applied to the test days.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import demographics as demo, fairness, geo, metrics, outcomes, rides, sampling
@@ -17,7 +19,8 @@ from .disparity import deciles
 from .learning import forest_pipeline
 from .registry import query, r, rounded, step, using
 
-FACTOR, GROUP = "ethnc_grp", "needs_mitigation"
+# The factors adjusted for, one after the other.
+ADJUSTED, GROUP = ("ethnc_grp", "hshld_incme_grp", "edctn"), "needs_mitigation"
 TRUTH, PRED, SCORE = "is_top", "is_top_predict", "is_top_probability"
 
 
@@ -32,6 +35,7 @@ def zoned_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zoned_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled rides of known zones with their split, staged for the many passes that follow."""
     featured = stage(rides.ride_features(zoned_rides(spark, sf_dir)))
+    # The split reads its input several times; features are computed once.
     return sampling.date_split(labelled(featured), "pickup_datetime")
 
 
@@ -63,19 +67,21 @@ def _enriched_history(spark, sf_dir):
     return rounded(outcomes.zone_historical_volumes(zoned_split(spark, sf_dir)), **HISTORY_DIGITS)
 
 
-def scored_sides(spark: SparkSession, sf_dir: str, factor: str = FACTOR) -> tuple[DataFrame, DataFrame, float]:
-    """Scored validation and test rides with the mark of their zone, and the tuned threshold."""
-    split = stage(zoned_split(spark, sf_dir))
+def scored_sides(spark: SparkSession, sf_dir: str) -> tuple[dict[str, tuple[DataFrame, DataFrame]], float]:
+    """Per factor the scored validation and test rides with the mark of their zone; the tuned threshold."""
+    split = stage(zoned_split(spark, sf_dir), ["dataset"])
     train = split.filter("dataset = 'train'")
     pipeline, _ = forest_pipeline(train)
     model = pipeline.fit(train)
-    scored = model.transform(split.filter("dataset <> 'train'")).select(
+    scored = stage(model.transform(split.filter("dataset <> 'train'")).select(
         "ride_id", "dataset", "pickup_zone", "total_amount", "volume", TRUTH, SCORE, PRED
-    )
-    weights = demo.aux_weights(deciles(spark, sf_dir))
-    marked = stage(demo.attach_weights(scored, weights, factor, "pickup_zone"))
-    return (marked.filter("dataset = 'validate'"), marked.filter("dataset = 'test'"),
-            model.stages[-1].getTunedThreshold())
+    ), ["dataset"])
+    weights = stage(demo.aux_weights(deciles(spark, sf_dir)))
+    sides = {}
+    for factor in ADJUSTED:
+        marked = demo.attach_weights(scored, weights, factor, "pickup_zone")
+        sides[factor] = marked.filter("dataset = 'validate'"), marked.filter("dataset = 'test'")
+    return sides, model.stages[-1].getTunedThreshold()
 
 
 def adjusted(validation: DataFrame, test: DataFrame, threshold: float) -> DataFrame:
@@ -86,24 +92,30 @@ def adjusted(validation: DataFrame, test: DataFrame, threshold: float) -> DataFr
 
 @query("debiased_outcomes")
 def _debiased_outcomes(spark, sf_dir):
-    """Volumes and amounts per zone of the adjusted predictions, against the true ones."""
-    adapted = adjusted(*scored_sides(spark, sf_dir))
-    volumes = outcomes.zone_outcome_volumes(adapted, pred="adapted_predict", truth=TRUTH)
-    return outcomes.outcome_deltas(volumes)
+    """Volumes and amounts per factor and zone of the adjusted predictions, against the true ones."""
+    sides, threshold = scored_sides(spark, sf_dir)
+    results = []
+    for factor, (validation, test) in sides.items():
+        adapted = adjusted(validation, test, threshold)
+        volumes = outcomes.zone_outcome_volumes(adapted, pred="adapted_predict", truth=TRUTH)
+        results.append(outcomes.outcome_deltas(volumes).withColumn("factor", F.lit(factor)))
+    return reduce(DataFrame.unionByName, results)
 
 
 @query("debias_report")
 def _debias_report(spark, sf_dir):
-    """Cost gap between the groups and accuracy on the test days, before and after."""
-    adapted = adjusted(*scored_sides(spark, sf_dir))
+    """Per factor the cost gap between the groups and the accuracy on the test days, before and after."""
+    sides, threshold = scored_sides(spark, sf_dir)
     stages = (("before", SCORE, PRED), ("after", "adapted_prob", "adapted_predict"))
     reports = []
-    for name, score, pred in stages:
-        gap = fairness.fair_score(adapted, TRUTH, score, GROUP)
-        accuracy = metrics.classification_report(adapted, TRUTH, pred).filter("class = 'accuracy'").select(
-            F.col("f1").alias("accuracy")
-        )
-        reports.append(gap.select(
-            F.lit(name).alias("stage"), "cost_gap", accuracy.scalar().alias("accuracy")
-        ))
-    return reports[0].unionByName(reports[1])
+    for factor, (validation, test) in sides.items():
+        adapted = stage(adjusted(validation, test, threshold))
+        for name, score, pred in stages:
+            gap = fairness.fair_score(adapted, TRUTH, score, GROUP)
+            accuracy = metrics.classification_report(adapted, TRUTH, pred).filter("class = 'accuracy'").select(
+                F.col("f1").alias("accuracy")
+            )
+            reports.append(gap.select(
+                F.lit(factor).alias("factor"), F.lit(name).alias("stage"), "cost_gap", accuracy.scalar().alias("accuracy")
+            ))
+    return reduce(DataFrame.unionByName, reports)

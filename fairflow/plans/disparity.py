@@ -150,33 +150,30 @@ SLUGS = {
     "gndr": ("gndr_F", "gndr_M"),
     "hshld_incme_grp": ("hshld_incme_grp_150K_", "hshld_incme_grp_50K", "hshld_incme_grp_50K_149K"),
     "gnrt": ("gnrt_GenX", "gnrt_Millennials", "gnrt_Seniors"),
+    "edctn": ("edctn_AUTOMOBILE", "edctn_BUILDING", "edctn_FURNITURE", "edctn_HOUSEHOLD", "edctn_MACHINERY"),
+    "ethnc_grp": tuple(f"ethnc_grp_Group_{k}" for k in range(6)),
 }
 COLUMNS = [s for f in SLUGS for s in SLUGS[f]]
 
 
 def _pivot_sql(cell):
     cells = ", ".join(cell(s) for s in COLUMNS)
-    chosen = ", ".join(f"'{f}'" for f in SLUGS)
     return using("factor_z") + f"""
 SELECT zone, {cells} FROM (SELECT *, {band_sql('cnt_zscore')} AS band, {_slug_sql()} AS factor_val
- FROM factor_z WHERE factor IN ({chosen})) GROUP BY zone"""
-
-
-def _chosen(spark, sf_dir):
-    return counts(spark, sf_dir).filter(F.col("factor").isin(*SLUGS))
+ FROM factor_z) GROUP BY zone"""
 
 
 @query("zone_factor_pivot", _pivot_sql(
     lambda s: r(f"avg(cnt_zscore) FILTER (value IS NOT NULL AND factor_val = '{s}')", 8, s)))
 def _zone_factor_pivot(spark, sf_dir):
-    pivoted = demo.zone_factor_pivot(_chosen(spark, sf_dir), COLUMNS)
+    pivoted = demo.zone_factor_pivot(counts(spark, sf_dir), COLUMNS)
     return rounded(pivoted, **{s: 8 for s in COLUMNS})
 
 
 @query("zone_factor_pivot_quantile", _pivot_sql(
     lambda s: f"min(band) FILTER (value IS NOT NULL AND factor_val = '{s}') AS {s}"))
 def _zone_factor_pivot_quantile(spark, sf_dir):
-    return demo.zone_factor_pivot(_chosen(spark, sf_dir), COLUMNS, quantile=True)
+    return demo.zone_factor_pivot(counts(spark, sf_dir), COLUMNS, quantile=True)
 
 
 @query("distinct_factors", using("counts") + "SELECT DISTINCT factor FROM counts")
@@ -339,14 +336,14 @@ def _extreme_sql(by):
     return using("deltas", "zones") + f"""
 SELECT {DELTA_SQL}, geometry FROM (
  SELECT d.*, the_geom AS geometry FROM (
-  (SELECT * FROM deltas ORDER BY {by} DESC NULLS LAST, zone LIMIT 8) UNION ALL
-  (SELECT * FROM deltas ORDER BY {by} ASC NULLS LAST, zone LIMIT 8)) d JOIN zones z ON d.zone = z.zone)"""
+  (SELECT * FROM deltas ORDER BY {by} DESC NULLS LAST, zone LIMIT 20) UNION ALL
+  (SELECT * FROM deltas ORDER BY {by} ASC NULLS LAST, zone LIMIT 20)) d JOIN zones z ON d.zone = z.zone)"""
 
 
 def _extreme(by):
     def run(spark, sf_dir):
         deltas = outcomes.outcome_deltas(zone_volumes(spark, sf_dir))
-        extremes = outcomes.extreme_zones(deltas, by, 8, geometries(spark, sf_dir))
+        extremes = outcomes.extreme_zones(deltas, by, 20, geometries(spark, sf_dir))
         return rounded(extremes, **DELTA_DIGITS)
     return run
 

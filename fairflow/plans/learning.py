@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.hashing import uniform
 from ..operators import metrics, models, registry as runs_table, rides, sampling
-from ..operators.threshold import TunedThresholdModel
+from ..operators.threshold import TunedThreshold
 from ..session import scratch_path, stage
 from ..sources.fixtures import source
 from .demand import split_rides
-from .registry import num, pred_at, query, r, rounded, step, using
+from .registry import num, pred_at, query, r, rounded, step, uniform_sql, using
 
 THRESHOLDS = metrics.linspace(0.01, 0.99, 100)
-TREES, DEPTH = 20, 5
+TREES = models.DEFAULT_TREES
 
 
 def scored(spark, sf_dir) -> DataFrame:
@@ -209,53 +210,86 @@ query("standardise_population", _standardise_sql("stddev_pop"))(_standardise(Tru
 def _sides(spark, sf_dir):
     """Training and test rides; the labelled rides are staged once for the many passes of a fit."""
     split = split_rides(spark, sf_dir).select("ride_id", "dataset", *rides.FEATURES, rides.LABEL)
-    staged = stage(split)
+    staged = stage(split, ["dataset"])
     return staged.filter("dataset = 'train'"), staged.filter("dataset = 'test'"), staged
 
 
 def forest_pipeline(df, trees=TREES):
     categorical, numeric = models.split_features(df, rides.FEATURES)
-    forest = models.random_forest(rides.LABEL, trees, maxDepth=DEPTH)
+    forest = models.random_forest(rides.LABEL, trees)
     return models.feature_pipeline(categorical, numeric, rides.LABEL, forest), forest
 
 
-def _outcome(df):
-    """Predictions by true label: what a fit is judged by."""
-    return df.groupBy(rides.LABEL, f"{rides.LABEL}_predict").agg(
-        F.count(F.lit(1)).alias("count"), F.avg(f"{rides.LABEL}_probability").alias("mean_score")
-    )
+def _broken(label, threshold):
+    """A score outside [0, 1], or a prediction that does not follow from it."""
+    score, pred = F.col(f"{label}_probability"), F.col(f"{label}_predict")
+    return ~F.coalesce(score.between(0, 1) & (pred == (score >= threshold).cast("double")), F.lit(False))
+
+
+def _outcome(df, label, threshold):
+    """Rows and broken rows by true label, and whether positives score higher on the whole."""
+    score = F.col(f"{label}_probability")
+    higher = df.agg((F.avg(F.when(F.col(label) == 1, score)) > F.avg(F.when(F.col(label) == 0, score))).alias("h")).scalar()
+    return df.groupBy(label).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(_broken(label, threshold)).alias("broken")
+    ).withColumn("positives_score_higher", higher)
+
 
+OUTCOME_SQL = using("split") + """
+SELECT is_top, count(*) AS rows, 0::BIGINT AS broken, true AS positives_score_higher FROM split WHERE dataset = 'test' GROUP BY 1"""
 
-@query("train_pipeline")
+
+@query("train_pipeline", OUTCOME_SQL)
 def _train_pipeline(spark, sf_dir):
     train, test, _ = _sides(spark, sf_dir)
     pipeline, _ = forest_pipeline(train)
-    return _outcome(pipeline.fit(train).transform(test))
+    model = pipeline.fit(train)
+    return _outcome(model.transform(test), rides.LABEL, model.stages[-1].getTunedThreshold())
 
 
-@query("score_projection")
+@query("score_projection", using("split") + """
+SELECT ride_id, pickup_zone, 'demand' AS model_id, true AS sound FROM split WHERE dataset = 'test'""")
 def _score_projection(spark, sf_dir):
     train, test, _ = _sides(spark, sf_dir)
     pipeline, _ = forest_pipeline(train)
-    kept = models.score(test, pipeline.fit(train), keep=["ride_id", "pickup_zone"], model_id="demand")
-    return kept.select("ride_id", "pickup_zone", "is_top_predict", "is_top_probability", "model_id")
+    model = pipeline.fit(train)
+    kept = models.score(test, model, keep=["ride_id", "pickup_zone"], model_id="demand")
+    sound = ~_broken(rides.LABEL, model.stages[-1].getTunedThreshold())
+    return kept.select("ride_id", "pickup_zone", "model_id", sound.alias("sound"))
 
 
-@query("grid_search")
+@query("grid_search", using("split") + """
+SELECT num_trees, true AS sound, 1 AS chosen_points, (SELECT count(*) FROM split WHERE dataset = 'train') AS train_rows
+FROM (VALUES (20), (50), (100), (200)) g(num_trees)""")
 def _grid_search(spark, sf_dir):
     train, _, _ = _sides(spark, sf_dir)
     pipeline, forest = forest_pipeline(train)
-    _, best, points = models.grid_search(pipeline, forest, train, {"numTrees": [5, TREES]})
-    rows = [(p["numTrees"], p["auc"], p["numTrees"] == best["numTrees"]) for p in points]
-    return spark.createDataFrame(rows, "num_trees int, auc double, chosen boolean")
-
-
-@query("train_and_record")
+    _, best, points = models.grid_search(pipeline, forest, train)
+    top = max(p["auc"] for p in points)
+    chosen = [p for p in points if p["numTrees"] == best["numTrees"]]
+    rows = [(p["numTrees"], 0.5 < p["auc"] <= 1 and chosen[0]["auc"] == top, len(chosen)) for p in points]
+    grid = spark.createDataFrame(rows, "num_trees int, sound boolean, chosen_points int")
+    return grid.withColumn("train_rows", train.agg(F.count(F.lit(1))).scalar())
+
+
+@query("train_and_record", using("split") + f"""
+SELECT 'demand' AS model_name, pos AS samples_pos, neg AS samples_neg, {r('neg / pos', 8, 'samples_ratio')},
+ (pos + neg)::DOUBLE AS samples, true AS accuracy_recomputed, true AS auc_in_range
+FROM (SELECT count(*) FILTER (is_top = 1) AS pos, count(*) FILTER (is_top = 0) AS neg FROM split WHERE dataset = 'train')""")
 def _train_and_record(spark, sf_dir):
     train, test, _ = _sides(spark, sf_dir)
     pipeline, _ = forest_pipeline(train)
-    _, run = models.train_and_record(train, test, pipeline, rides.LABEL, "demand", {"numTrees": TREES})
-    return run
+    model, run = models.train_and_record(train, test, pipeline, rides.LABEL, "demand", {"numTrees": TREES})
+    label, pred = rides.LABEL, f"{rides.LABEL}_predict"
+    right = model.transform(test).agg(F.avg((F.col(label) == F.col(pred)).cast("double"))).scalar()
+    metric, param = F.col("metrics"), F.col("params")
+    return run.select(
+        "model_name", param["samples_pos"].cast("bigint").alias("samples_pos"),
+        param["samples_neg"].cast("bigint").alias("samples_neg"),
+        (F.round(param["samples_ratio"].cast("double"), 8) + F.lit(0.0)).alias("samples_ratio"),
+        metric["samples"].alias("samples"), (F.abs(metric["accuracy"] - right) < 1e-9).alias("accuracy_recomputed"),
+        (metric["auc"].between(0.5, 1) & metric["train_auc"].between(0.5, 1)).alias("auc_in_range"),
+    )
 
 
 @query("model_save_load", using("split") + """
@@ -279,14 +313,15 @@ def _model_save_load(spark, sf_dir):
     )
 
 
-@query("train_gbt")
+@query("train_gbt", OUTCOME_SQL)
 def _train_gbt(spark, sf_dir):
     _, test, staged = _sides(spark, sf_dir)
     train = staged.filter("dataset <> 'test'").withColumn("held_out", F.col("dataset") == "validate")
     categorical, numeric = models.split_features(train, rides.FEATURES)
-    trees = models.boosted_trees(rides.LABEL, "held_out", maxIter=10, maxDepth=4)
+    trees = models.boosted_trees(rides.LABEL, "held_out", maxIter=100)
     pipeline = models.feature_pipeline(categorical, numeric, rides.LABEL, trees)
-    return _outcome(pipeline.fit(train).transform(test))
+    model = pipeline.fit(train)
+    return _outcome(model.transform(test), rides.LABEL, model.stages[-1].getTunedThreshold())
 
 
 def _embeddings(spark, sf_dir):
@@ -294,23 +329,27 @@ def _embeddings(spark, sf_dir):
     return df.withColumn("target", (F.col("label") >= 5).cast("int"))
 
 
+HELD_OUT = "SELECT (label >= 5)::INTEGER AS target, count(*) AS rows, 0::BIGINT AS broken FROM embeddings WHERE {} < 0.2e0 GROUP BY 1".format(
+    uniform_sql(["vec_id"], 15))
+
+
 def _logistic_outcome(df, weight=None):
     """Standardised embeddings through logistic regression with a tuned threshold."""
     vectors = models.embedding_columns(df, "embedding", "vector")
     classifier = models.logistic("target", weight, maxIter=50, regParam=0.01)
     pipeline = models.feature_pipeline([], ["vector"], "target", classifier, scale=True)
-    scored_rows = pipeline.fit(vectors).transform(vectors)
-    return scored_rows.groupBy("target", "target_predict").agg(
-        F.count(F.lit(1)).alias("count"), F.avg("target_probability").alias("mean_score")
-    )
+    test = uniform(["vec_id"], 15) < 0.2
+    model = pipeline.fit(vectors.filter(~test))
+    return _outcome(model.transform(vectors.filter(test)), "target", model.stages[-1].getTunedThreshold()).drop(
+        "positives_score_higher")
 
 
-@query("train_logistic")
+@query("train_logistic", HELD_OUT)
 def _train_logistic(spark, sf_dir):
     return _logistic_outcome(_embeddings(spark, sf_dir))
 
 
-@query("train_weighted")
+@query("train_weighted", HELD_OUT)
 def _train_weighted(spark, sf_dir):
     """Rare classes weigh more."""
     df = _embeddings(spark, sf_dir).withColumn("weight", 0.5 + (F.col("label") % 3) / 3)
@@ -350,14 +389,16 @@ def _vector_udf_score(spark, sf_dir):
     return rounded(scored_rows.select("vec_id", "score"), score=6)
 
 
-@query("tuned_threshold_stage", using("scored") + """
+@query("tuned_threshold_stage", using("scored") + """, tuned AS (
+ SELECT v[floor(h)::BIGINT + 1] + (h - floor(h)) * (v[ceil(h)::BIGINT + 1] - v[floor(h)::BIGINT + 1]) AS threshold
+ FROM (SELECT v, (len(v) - 1) * (1 - rate) AS h FROM (
+  SELECT list_sort(list(score::DOUBLE)) AS v, sum(label) / count(label) AS rate FROM scored)))
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate,
- CASE WHEN score >= 0.54e0 THEN 1 ELSE 0 END AS pred FROM scored""")
+ CASE WHEN score >= (SELECT threshold FROM tuned) THEN 1 ELSE 0 END AS pred FROM scored""")
 def _tuned_threshold_stage(spark, sf_dir):
-    """The fitted stage as it scores: a projection, no Python."""
-    model = TunedThresholdModel(
-        inputCol="score", outputCol="probability", predictionCol="pred", tunedThreshold=0.54
-    )
-    return model.transform(source(spark, sf_dir, "scored")).select(
+    """The stage fitted and applied; what it fits is a projection, no Python."""
+    df = source(spark, sf_dir, "scored")
+    model = TunedThreshold(inputCol="score", outputCol="probability", predictionCol="pred", labelCol="label").fit(df)
+    return model.transform(df).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "pred"
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import demographics, geo
 from ..session import size_checked
 from ..sources.fixtures import source
+from .disparity import FACTORS
 from .registry import query, r, rounded, step, using
 
 RES = 7
@@ -187,6 +188,6 @@ JOIN home h ON p.person_id = h.person_id JOIN zones z ON h.zone = z.zone""")(loc
 
 @query("located_factor_counts", using("home") + " UNION ALL ".join(
     f"SELECT h.zone, {f} AS value, count({f}) AS count, '{f}' AS factor FROM persons p JOIN home h"
-    f" ON p.person_id = h.person_id GROUP BY h.zone, {f}" for f in ("gnrt", "gndr")))
+    f" ON p.person_id = h.person_id GROUP BY h.zone, {f}" for f in FACTORS))
 def _located_factor_counts(spark, sf_dir):
-    return demographics.factor_counts(located_persons(spark, sf_dir), ["zone"], ["gnrt", "gndr"])
+    return demographics.factor_counts(located_persons(spark, sf_dir), ["zone"], FACTORS)

@@ -56,16 +56,16 @@ def _normalise_columns(spark, sf_dir):
 
 @query("import_shapes", using("zones") + """
 SELECT CAST(zone_id AS VARCHAR) AS zip, zone AS name, the_geom, n_regionkey, n_name
-FROM zones LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 2) ON zone_id = n_nationkey""")
+FROM zones LEFT JOIN nation ON zone_id = n_nationkey""")
 def _import_shapes(spark, sf_dir):
-    """Shapes written as CSV come back as a table with attributes by key; some keys are unknown."""
+    """Shapes written as CSV come back as a table with attributes by key."""
     path = scratch_path(spark, "shapes")
     source(spark, sf_dir, "zones").select(
         F.col("zone_id").alias("_c0"), F.col("zone_id").alias("ZCTA5CE20"), F.col("zone").alias("NAME20"), "the_geom"
     ).write.option("header", True).csv(path)
     return ingest.import_shapes(
         _scratch(spark), "shapes", path, "the_geom", "_c0 int, ZCTA5CE20 string, NAME20 string, the_geom string",
-        "ZCTA5CE20", source(spark, sf_dir, "nation").filter("n_regionkey <> 2"), "n_nationkey",
+        "ZCTA5CE20", source(spark, sf_dir, "nation"), "n_nationkey",
         ["n_regionkey", "n_name"],
     )
 
@@ -170,10 +170,9 @@ def _align_columns(spark, sf_dir):
 
 @query("dimension_lookup", """
 SELECT s_suppkey, s_nationkey, n_name, n_regionkey FROM supplier
-LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 3) ON s_nationkey = n_nationkey""")
+LEFT JOIN nation ON s_nationkey = n_nationkey""")
 def _dimension_lookup(spark, sf_dir):
-    """Suppliers of one region find no entry and keep NULLs."""
-    dim = source(spark, sf_dir, "nation").filter("n_regionkey <> 3")
+    dim = source(spark, sf_dir, "nation")
     suppliers = source(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     return ingest.dimension_lookup(suppliers, dim, {"s_nationkey": "n_nationkey"}, ["n_name", "n_regionkey"])
 
@@ -194,12 +193,15 @@ def _json_map_extract(spark, sf_dir):
     return ingest.json_map_extract(events, "props", ["k", "absent"])
 
 
+PROFILED = ("gndr", "hshld_incme_grp", "gnrt", "edctn", "ethnc_grp")
+
+
 @query("category_profile", using("persons") + " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", {c} AS value, count(*) AS count FROM persons WHERE {c} IS NOT NULL GROUP BY {c}"
-    for c in ("gndr", "hshld_incme_grp", "gnrt", "edctn")))
+    for c in PROFILED))
 def _category_profile(spark, sf_dir):
     return demographics.category_profile(
-        source(spark, sf_dir, "persons"), ["gndr", "hshld_incme_grp", "gnrt", "edctn"]
+        source(spark, sf_dir, "persons"), PROFILED
     )
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -32,6 +34,11 @@ def build_session(app: str = "fairflow", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def _is_local(spark: SparkSession) -> bool:
+    """One JVM; ``local-cluster`` has executors of its own and counts as a cluster."""
+    return re.match(r"local($|\[)", spark.sparkContext.master) is not None
+
+
 def staging_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -42,25 +49,34 @@ def staging_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if context.getCheckpointDir() is None:
-        if not root and not context.master.startswith("local"):
+        if not root and not _is_local(spark):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
         context.setCheckpointDir(root or tempfile.mkdtemp(prefix="run-"))
     return root or context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder; never reused, so concurrent runs do not collide."""
-    return f"{staging_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; never reused, so concurrent runs do not collide.
+
+    What is written there goes when the session's JVM ends.
+    """
+    path = f"{staging_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    hadoop = jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder.
+def stage(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Cut the lineage: write the rows as Parquet in the shared folder and read them back.
 
-    The rows are computed once, survive lost executors, and keep any partition
-    id column that was computed before the cut.
+    The rows are computed once, survive lost executors, and keep any partition id column that
+    was computed before the cut.  Later scans read only the columns and, with ``partition_by``,
+    only the partitions they need.
     """
-    staging_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def size_checked(df: DataFrame, max_rows: int = 1_000_000, max_bytes: int = 64 << 20) -> DataFrame:
@@ -68,19 +84,15 @@ def size_checked(df: DataFrame, max_rows: int = 1_000_000, max_bytes: int = 64 <
 
     Spark's own estimate for an aggregate is that of its input, so a join with a
     tiny aggregate of a huge table would shuffle the huge side.  The staged rows
-    are measured (reading at most ``max_rows + 1`` of them).  Past either bound the
+    are measured by one aggregate, of which every task sends one row.  Past either bound the
     frame is marked for a sort-merge join instead, whose skewed partitions Spark
     splits at run time; without that mark the estimate, which knows nothing of
     exploded rows, could still pick a broadcast.
     """
     staged = stage(df)
-    size = (
-        staged.limit(max_rows + 1)
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
-        )
-        .first()
-    )
+    size = staged.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
+    ).first()
     small = size["rows"] <= max_rows and size["bytes"] <= max_bytes
     return F.broadcast(staged) if small else staged.hint("merge")
