@@ -239,7 +239,28 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, text_col: str = "t
     ])
 
 
-@query("op6_decontamination")
+def _words_sql(column: str) -> str:
+    lowered = f"translate(coalesce({column}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"regexp_extract_all({lowered}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+SQL = f"""
+WITH d AS (SELECT doc_id, {_words_sql('text')} AS w FROM documents),
+items AS (SELECT item_id, w, least({WINDOW}, len(w)) AS n FROM (SELECT item_id, {_words_sql('text')} AS w FROM benchmark) WHERE len(w) > 0),
+phrases AS (SELECT DISTINCT item_id, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS g
+ FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM items)),
+windows AS (SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS g
+ FROM (SELECT doc_id, w, n, unnest(range(1, greatest(len(w) - n + 2, 1))) AS i FROM d, (SELECT DISTINCT n FROM items))),
+found AS (SELECT doc_id, i, w.n, item_id FROM windows w JOIN phrases p ON w.n = p.n AND w.g = p.g),
+hit AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM found, range(0, {WINDOW}) t(k) WHERE k < n GROUP BY 1),
+listed AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+ FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+ sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)"""
+
+
+@query("op6_decontamination", sql=SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")

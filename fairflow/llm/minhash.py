@@ -266,7 +266,23 @@ def keep_one(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return kept.select(*[F.col("row").getField(c).alias(c) for c in documents.columns])
 
 
-@query("op8_minhash_dedup")
+SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS MATERIALIZED (SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS g
+ FROM (SELECT doc_id, w, unnest(range(1, CASE WHEN len(w) = 1 THEN 2 ELSE greatest(len(w), 1) END)) AS i FROM d)),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sets GROUP BY 1),
+links AS MATERIALIZED (SELECT x, y FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM sets a JOIN sets b
+  ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2) JOIN sizes s ON x = s.doc_id JOIN sizes t ON y = t.doc_id
+ WHERE 100 * shared >= {PERCENT} * (s.n + t.n - shared)),
+reach(doc_id, other) AS (SELECT x, y FROM links UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON r.other = l.x),
+least AS (SELECT doc_id, min(other) AS other FROM reach GROUP BY 1)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(l.other, d.doc_id)) AS component_id,
+ coalesce(l.other >= d.doc_id, true) AS kept
+FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN least l USING (doc_id)"""
+
+
+@query("op8_minhash_dedup", sql=SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return near_duplicates(documents).select(

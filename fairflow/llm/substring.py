@@ -93,7 +93,22 @@ def remove_repeated(documents: DataFrame, length: int = WINDOW, id_col: str = "d
     return repeats.with_marks(rows, marked).select("doc_id", "text", "marks").mapInArrow(cut, RESULT)
 
 
-@query("op10_substring_dedup")
+SQL = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+words AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM d),
+windows AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + {WINDOW - 1}), ' ') AS g
+ FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {WINDOW - 2}, 1))) AS i FROM d)),
+firsts AS (SELECT g, min(doc_id) AS least FROM windows GROUP BY g),
+gone AS (SELECT DISTINCT doc_id, i + k AS p FROM windows JOIN firsts USING (g), range(0, {WINDOW}) t(k) WHERE least < doc_id),
+removed AS (SELECT doc_id, count(*) AS n, count(*) FILTER (fresh) AS spans
+ FROM (SELECT doc_id, coalesce(p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <> 1, true) AS fresh FROM gone) GROUP BY 1),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY 1)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256,
+ coalesce(spans, 0)::BIGINT AS n_spans
+FROM d LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
+@query("op10_substring_dedup", sql=SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return remove_repeated(documents, keep_text=False).drop("kept")
