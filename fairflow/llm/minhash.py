@@ -39,7 +39,7 @@ from .staging import staged
 
 SHINGLE, PERCENT = 2, 80
 BANDS, ROWS = 28, 5
-BLOCK = 512
+BLOCK = 64
 UNIVERSE = 4096
 
 _SHIFT = np.uint64(0xD1B54A32D192ED03)
