@@ -26,7 +26,8 @@ HEADLINE = (
     "point_zone_join", "point_in_polygon", "ride_zones_exact", "shape_cells",
     "zone_outcome_volumes", "tuned_threshold", "roc_auc", "pr_curve", "classification_report",
     "threshold_sweep", "fairness_sweep", "intersectional_rates", "fair_fit", "fair_adapt",
-    "apply_random_mapping", "vector_udf_score", "train_pipeline",
+    "apply_random_mapping", "vector_udf_score", "train_pipeline", "grid_search", "train_and_record",
+    "debiased_outcomes",
 )
 
 

@@ -230,8 +230,17 @@ def _cost(constraint: str, fpr: Column, fnr: Column, base_rate: Column) -> Colum
     return fpr if constraint == "fpr" else fnr
 
 
-def fair_fit(df: DataFrame, label: str, score: str, group: str, constraint: str = "weighted",
-             weight: str | None = None) -> DataFrame:
+def _two_groups(df: DataFrame, group: str | Sequence[str], priv) -> tuple[DataFrame, str]:
+    """With ``priv`` the two groups are the privileged rows and all others."""
+    if priv is None:
+        if not isinstance(group, str):
+            raise ValueError("several protected columns need the privileged values")
+        return df, group
+    return df.withColumn("_privileged", is_privileged(group, priv)), "_privileged"
+
+
+def fair_fit(df: DataFrame, label: str, score: str, group: str | Sequence[str], constraint: str = "weighted",
+             weight: str | None = None, priv=None, pos_label=1) -> DataFrame:
     """Mixing rates that equalise a cost between two groups (Pleiss et al. 2017).
 
     Two rows ``group, base_rate, cost, trivial_cost, mix_rate``: the chance of replacing a
@@ -243,7 +252,8 @@ def fair_fit(df: DataFrame, label: str, score: str, group: str, constraint: str
     # A constant score br costs br per negative and 1 - br per positive; no such rows, no cost.
     constant_fpr = F.when(br < 1, br).otherwise(0.0)
     constant_fnr = F.when(br > 0, 1 - br).otherwise(0.0)
-    rates = group_rates(df, group, label, score=score, weight=weight)
+    df, group = _two_groups(df, group, priv)
+    rates = group_rates(df, group, label, score=score, weight=weight, pos_label=pos_label)
     costs = rates.select(
         F.struct(
             F.col(group).alias("group"), br.alias("base_rate"),
@@ -271,15 +281,17 @@ def fair_fit(df: DataFrame, label: str, score: str, group: str, constraint: str
     return pair.select(F.inline(checked))
 
 
-def fair_adapt(df: DataFrame, params: DataFrame, score: str, group: str, keys: Sequence[str],
+def fair_adapt(df: DataFrame, params: DataFrame, score: str, group: str | Sequence[str], keys: Sequence[str],
                seed: int = 42, out: str = "adapted_prob", threshold: float | Column | None = None,
-               method: str = "md5") -> DataFrame:
+               method: str = "md5", priv=None) -> DataFrame:
     """Replace scores by the group's base rate with the fitted chance.
 
     The two fitted rows enter the plan as a scalar subquery, so scoring is a projection.  Rows
     of the group that is left alone draw no number.
     ``threshold`` adds ``adapted_predict``.  A group unknown to the fit is an error.
     """
+    columns = df.columns
+    df, group = _two_groups(df, group, priv)
     row = F.struct("group", "base_rate", "mix_rate")
     message = F.concat(F.lit("expected 2 fitted groups, got "), F.count(F.lit(1)).cast("string"))
     both = F.struct(F.min(row).alias("a"), F.max(row).alias("b"))
@@ -298,7 +310,7 @@ def fair_adapt(df: DataFrame, params: DataFrame, score: str, group: str, keys: S
         F.when(F.col(group) == F.col("_pair.a.group"), mixed("a"))
         .when(F.col(group) == F.col("_pair.b.group"), mixed("b"))
         .otherwise(unknown),
-    ).drop("_pair")
+    ).select(*[c for c in columns if c != out], out)
     if threshold is None:
         return adapted
     cut = threshold if isinstance(threshold, Column) else F.lit(threshold)
@@ -310,11 +322,12 @@ def fair_predict(df: DataFrame, prob: str = "adapted_prob", out: str = "predicte
     return df.withColumn(out, F.when(F.col(prob) > 0.5, 1).otherwise(0))
 
 
-def fair_score(df: DataFrame, label: str, prob: str, group: str, constraint: str = "weighted",
-               weight: str | None = None) -> DataFrame:
+def fair_score(df: DataFrame, label: str, prob: str, group: str | Sequence[str], constraint: str = "weighted",
+               weight: str | None = None, priv=None, pos_label=1) -> DataFrame:
     """Size of the cost gap between two groups, for adapted or raw scores.  Any other number of
     groups fails when the plan runs."""
-    rates = group_rates(df, group, label, score=prob, weight=weight)
+    df, group = _two_groups(df, group, priv)
+    rates = group_rates(df, group, label, score=prob, weight=weight, pos_label=pos_label)
     cost = _cost(constraint, F.col("generalized_fpr"), F.col("generalized_fnr"), F.col("base_rate"))
     pair = F.struct(F.col(group).alias("group"), cost.alias("cost"))
     both = rates.agg(F.count(F.lit(1)).alias("n"), F.min(pair).alias("a"), F.max(pair).alias("b"))

@@ -11,16 +11,17 @@ from ..sources.catalog import Catalog
 
 RUN_SCHEMA = (
     "run_id string, model_name string, production int, date string, ts timestamp_ntz,"
-    " metrics map<string,double>, params map<string,string>"
+    " metrics map<string,double>, params map<string,string>, tags map<string,string>"
 )
 
 
 def run_record(spark: SparkSession, run_id: str, model_name: str, metrics: Mapping[str, float],
-               params: Mapping[str, object], ts: dt.datetime, production: int = 0) -> DataFrame:
+               params: Mapping[str, object], ts: dt.datetime, production: int = 0,
+               tags: Mapping[str, object] | None = None) -> DataFrame:
     row = (
         run_id, model_name, production, ts.strftime("%Y%m%d"), ts,
         {k: float(v) for k, v in metrics.items() if v is not None},
-        {k: str(v) for k, v in params.items()},
+        {k: str(v) for k, v in params.items()}, {k: str(v) for k, v in (tags or {}).items()},
     )
     return spark.createDataFrame([row], RUN_SCHEMA)
 
@@ -34,12 +35,19 @@ def _metric(runs: DataFrame, name: str):
     return F.col(name) if name in runs.columns else F.col("metrics").getItem(name)
 
 
-def model_lookup(runs: DataFrame, name: str | None = None, metric: str = "auc") -> DataFrame:
+def _tagged(runs: DataFrame, tags: Mapping[str, object] | None) -> DataFrame:
+    for tag, value in (tags or {}).items():
+        runs = runs.filter(F.col("tags").getItem(tag) == str(value))
+    return runs
+
+
+def model_lookup(runs: DataFrame, name: str | None = None, metric: str = "auc",
+                 tags: Mapping[str, object] | None = None) -> DataFrame:
     """The best run: production runs first, then the others, by falling metric.
 
-    Tags compare as text.  The result is empty when nothing matches; ``require_model`` raises.
+    Any ``tags`` must be there; tags compare as text.  The result is empty when nothing matches; ``require_model`` raises.
     """
-    found = runs.filter(F.col("production").cast("string").isin("1", "0"))
+    found = _tagged(runs, tags).filter(F.col("production").cast("string").isin("1", "0"))
     if name is not None:
         found = found.filter(F.col("model_name").cast("string") == str(name))
     return found.orderBy(
@@ -48,8 +56,9 @@ def model_lookup(runs: DataFrame, name: str | None = None, metric: str = "auc")
     ).limit(1)
 
 
-def require_model(runs: DataFrame, name: str | None = None, metric: str = "auc") -> Row:
-    row = model_lookup(runs, name, metric).first()
+def require_model(runs: DataFrame, name: str | None = None, metric: str = "auc",
+                  tags: Mapping[str, object] | None = None) -> Row:
+    row = model_lookup(runs, name, metric, tags).first()
     if row is None:
         raise LookupError(f"no run of model {name!r} in the registry")
     return row
@@ -58,16 +67,36 @@ def require_model(runs: DataFrame, name: str | None = None, metric: str = "auc")
 def model_compare(runs: DataFrame, names: Sequence[str], metrics: Sequence[str] = ("auc", "accuracy"),
                   metric: str = "auc") -> DataFrame:
     """The metrics of the best run of each model, in one pass over the runs."""
-    order = F.struct(
-        F.col("production").cast("int"), _metric(runs, metric),
-        # The smallest run id wins a tie, as in model_lookup.
-    )
     eligible = runs.filter(
         F.col("model_name").isin(*names) & F.col("production").cast("string").isin("1", "0")
     )
-    best = eligible.groupBy("model_name").agg(F.max(order).alias("_best"))
-    tied = eligible.withColumn("_rank", order).join(best, "model_name").filter(
-        F.col("_rank") == F.col("_best")
-    )
-    picked = F.struct("run_id", *[_metric(runs, m).alias(m) for m in metrics])
-    return tied.groupBy("model_name").agg(F.min(picked).alias("_run")).select("model_name", "_run.*")
+    # The smallest run id wins a tie, as in model_lookup; a missing metric comes last.
+    worst = F.coalesce(-_metric(runs, metric), F.lit(float("inf")))
+    order = F.struct((-F.col("production").cast("int")).alias("_p"), worst.alias("_m"), "run_id",
+                     *[_metric(runs, m).alias(m) for m in metrics])
+    return eligible.groupBy("model_name").agg(F.min(order).alias("_best")).select(
+        "model_name", "_best.run_id", *[F.col(f"_best.{m}").alias(m) for m in metrics])
+
+
+FIT_COLUMNS = ("base_rate", "cost", "trivial_cost", "mix_rate")
+
+
+def adaptation_record(fit: DataFrame, run_id: str, factor: str, threshold: float, ts: dt.datetime,
+                      tags: Mapping[str, object] | None = None, production: int = 0) -> DataFrame:
+    """A fitted score adjustment (two rows) as a run named ``mitigate_<factor>``."""
+    rows = sorted(fit.collect(), key=lambda row: str(row["group"]))
+    params: dict[str, object] = {"decision_threshold": threshold}
+    for k, row in enumerate(rows):
+        params[f"group_{k}"] = row["group"]
+        params.update({f"{c}_{k}": row[c] for c in FIT_COLUMNS})
+    gap = abs(rows[0]["cost"] - rows[1]["cost"])
+    return run_record(fit.sparkSession, run_id, f"mitigate_{factor}", {"cost_gap": gap}, params, ts, production,
+                      {"factor": factor, **(tags or {})})
+
+
+def adaptation_of(spark: SparkSession, run: Row, group_type: str = "string") -> tuple[DataFrame, float]:
+    """The fitted rows of a recorded adjustment and its decision threshold."""
+    params = run["params"]
+    rows = [(params[f"group_{k}"], *[float(params[f"{c}_{k}"]) for c in FIT_COLUMNS]) for k in range(2)]
+    fit = spark.createDataFrame(rows, "group string, " + ", ".join(f"{c} double" for c in FIT_COLUMNS))
+    return fit.withColumn("group", F.col("group").cast(group_type)), float(params["decision_threshold"])

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
-from ..operators import fairness as fair, metrics
-from ..session import stage
+from ..operators import fairness as fair, metrics, registry as runs_table
+from ..session import scratch_path, stage
+from ..sources.catalog import Catalog
 from ..sources.fixtures import SCORED_KEY, source
 from . import learning  # noqa: F401  registers the prediction step
 from .registry import query, r, rounded, step, uniform_sql, using
@@ -98,6 +101,33 @@ def _metric_difference(spark, sf_dir):
     return rounded(difference, unprivileged=8, privileged=8, difference=8)
 
 
+BOTH, BOTH_PRIV = (GROUP, "l_returnflag"), (PRIV, "A")
+step("cross_side_sums", _sums(
+    "privileged", f"(SELECT *, {GROUP} = '{PRIV}' AND l_returnflag = 'A' AS privileged FROM predicted)"), "predicted")
+step("cross_side_rate", _all_rates("cross_side_sums"), "cross_side_sums")
+step("cross_sides", "SELECT u.*, " + ", ".join(f"p.{m} AS priv_{m}" for m in fair.RATES) + """
+FROM (SELECT * FROM cross_side_rate WHERE NOT privileged) u, (SELECT * FROM cross_side_rate WHERE privileged) p""", "cross_side_rate")
+
+
+@query("metric_difference_cross", using("cross_sides") + " UNION ALL ".join(
+    f"SELECT '{m}' AS metric, {r(m, 8, 'unprivileged')}, {r(f'priv_{m}', 8, 'privileged')},"
+    f" {r(f'{m} - priv_{m}', 8, 'difference')} FROM cross_sides" for m in fair.RATES))
+def _metric_difference_cross(spark, sf_dir):
+    """Privileged is one combination of two columns."""
+    difference = fair.metric_difference(
+        predicted(spark, sf_dir), fair.RATES, BOTH, BOTH_PRIV, "label", "score", "pred", "weight"
+    )
+    return rounded(difference, unprivileged=8, privileged=8, difference=8)
+
+
+@query("statistical_parity_cross", using("cross_sides") + f"""
+SELECT {r('selection_rate - priv_selection_rate', 8, 'statistical_parity_difference')},
+ {r('abs(selection_rate - priv_selection_rate)', 8, 'discrimination')} FROM cross_sides""")
+def _statistical_parity_cross(spark, sf_dir):
+    gap = fair.statistical_parity(predicted(spark, sf_dir), BOTH, BOTH_PRIV, "label", "pred", "weight")
+    return rounded(gap, statistical_parity_difference=8, discrimination=8)
+
+
 def _gap_query(name, run, **columns):
     """A one-row query whose columns are expressions over both sides."""
     def checked(spark, sf_dir):
@@ -214,6 +244,20 @@ def _fair_predict(spark, sf_dir):
     return fair.fair_predict(adapted(spark, sf_dir)).select(*SCORED_KEY, "predicted")
 
 
+@query("adapt_from_registry", using("adapted") + f"""
+SELECT {KEY_SQL}, {r('adapted_prob', 8)}, CASE WHEN adapted_prob >= 0.54e0 THEN 1 ELSE 0 END AS adapted_predict FROM adapted""")
+def _adapt_from_registry(spark, sf_dir):
+    """The fit is recorded with its threshold and tags, looked up by them, and applied."""
+    catalog, when = Catalog(spark, scratch_path(spark, "runs")), dt.datetime(2024, 1, 1)
+    other = fitted(spark, sf_dir, "fnr")
+    runs_table.record(catalog, runs_table.adaptation_record(other, "a", GROUP, 0.5, when, {"cost": "fnr"}))
+    runs = runs_table.record(catalog, runs_table.adaptation_record(fitted(spark, sf_dir), "b", GROUP, 0.54, when, {"cost": "weighted"}))
+    run = runs_table.require_model(runs, f"mitigate_{GROUP}", "cost_gap", {"factor": GROUP, "cost": "weighted"})
+    fit, threshold = runs_table.adaptation_of(spark, run)
+    df = fair.fair_adapt(source(spark, sf_dir, "scored"), fit, "score", GROUP, SCORED_KEY, threshold=threshold)
+    return rounded(df.select(*SCORED_KEY, "adapted_prob", "adapted_predict"), adapted_prob=8)
+
+
 step("adapted_sums", _sums(GROUP, "(SELECT *, 0 AS pred FROM adapted)", "adapted_prob"), "adapted")
 
 

@@ -304,3 +304,36 @@ def test_lookup_prefers_production_then_metric(spark):
         registry.require_model(runs, "missing")
     best = registry.model_compare(runs, ["m", "n"], metrics=["auc"])
     assert {r["model_name"]: r["run_id"] for r in best.collect()} == {"m": "r3", "n": "r5"}
+
+
+def test_unknown_labels_and_scores_count_in_no_rate(spark):
+    df = spark.createDataFrame([("a", 0, 0.5), ("a", 0, None), ("a", 1, 0.9), ("a", None, 0.1), ("b", 1, 0.2)],
+                               "g string, y int, s double")
+    got = {r.g: r for r in fair.group_rates(df, "g", "y", score="s").collect()}
+    assert (got["a"].generalized_fpr, got["a"].rows) == (0.5, 4)
+    assert abs(got["a"].generalized_fnr - 0.1) < 1e-12 and got["a"].base_rate == 0.5
+    assert metrics.roc_auc(df, "y", "s").first().auc == 0.5
+
+
+@pytest.mark.parametrize("groups", [1, 3])
+def test_other_numbers_of_groups_fail(spark, groups):
+    df = spark.createDataFrame([(f"g{k % groups}", k % 2, 0.3) for k in range(12)], "g string, y int, s double")
+    with pytest.raises(Exception, match="expected 2 protected groups"):
+        fair.fair_score(df, "y", "s", "g").collect()
+    params = df.groupBy(F.col("g").alias("group")).agg(F.lit(0.5).alias("base_rate"), F.lit(0.1).alias("mix_rate"))
+    with pytest.raises(Exception, match="expected 2 fitted groups"):
+        fair.fair_adapt(df, params, "s", "g", ["y"]).collect()
+
+
+def test_several_protected_columns_and_positive_label(spark):
+    rows = [("a", k % 2, "yes" if k % 3 else "no", k / 12) for k in range(12)]
+    df = spark.createDataFrame(rows, "g string, h int, y string, s double")
+    one = df.withColumn("p", (F.col("g") == "a") & (F.col("h") == 1)).withColumn("z", (F.col("y") == "yes").cast("int"))
+    both = fair.generalized_rate_gaps(df, ["g", "h"], ("a", 1), "y", "s", pos_label="yes").first()
+    assert tuple(both) == tuple(fair.generalized_rate_gaps(one, "p", True, "z", "s").first())
+    fit = fair.fair_fit(df, "y", "s", ["g", "h"], priv=("a", 1), pos_label="yes")
+    assert {r.group for r in fit.collect()} == {True, False}
+    adapted = fair.fair_adapt(df, fit, "s", ["g", "h"], ["s"], priv=("a", 1))
+    assert adapted.columns == [*df.columns, "adapted_prob"] and adapted.count() == 12
+    with pytest.raises(ValueError, match="values"):
+        fair.is_privileged(["g", "h"], ("a",))

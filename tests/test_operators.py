@@ -354,3 +354,20 @@ def test_inline_checks_fail_when_the_plan_runs(spark):
     df = spark.createDataFrame([(1, 0.5, "a"), (0, 0.5, "b"), (0, 0.2, "c")], "y int, s double, g string")
     with pytest.raises(PySparkException, match="expected 2 protected groups"):
         fairness.fair_fit(df, "y", "s", "g").collect()
+
+
+def test_staged_tables_are_columnar_and_pruned(spark):
+    from fairflow.session import stage
+
+    df = spark.range(100).selectExpr("id", "id * 2 AS twice", "CASE WHEN id % 2 = 0 THEN 'a' END AS part")
+    staged = stage(df, ["part"])
+    assert staged.columns == df.columns and rows(staged, "id", "twice", "part") == rows(df, "id", "twice", "part")
+    plan = staged.filter("part = 'a'").select("id")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<id:bigint>" in plan and "PartitionFilters: [isnotnull(part" in plan
+    assert "ExistingRDD" not in plan
+
+
+def test_size_is_measured_without_gathering_rows(spark):
+    df = spark.range(1000).repartition(4)
+    checked = size_checked(df)
+    assert checked.count() == 1000 and "ExistingRDD" not in checked._jdf.queryExecution().toString()
