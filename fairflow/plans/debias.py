@@ -90,8 +90,10 @@ def adjusted(validation: DataFrame, test: DataFrame, threshold: float) -> DataFr
     return fairness.fair_adapt(test, params, SCORE, GROUP, ["ride_id"], threshold=threshold)
 
 
-@query("debiased_outcomes")
-def _debiased_outcomes(spark, sf_dir):
+CHOSEN = ", ".join(f"'{f}'" for f in ADJUSTED)
+
+
+def debiased_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Volumes and amounts per factor and zone of the adjusted predictions, against the true ones."""
     sides, threshold = scored_sides(spark, sf_dir)
     results = []
@@ -102,10 +104,47 @@ def _debiased_outcomes(spark, sf_dir):
     return reduce(DataFrame.unionByName, results)
 
 
-@query("debias_report")
-def _debias_report(spark, sf_dir):
+@query("debiased_outcomes", using("z_split", "aux") + f"""
+SELECT factor, pickup_zone AS zone, {r('coalesce(sum(total_amount), 0)', 4, 'sum_total')},
+ {r('coalesce(sum(total_amount) FILTER (is_top = 1), 0)', 4, 'sum_top')}, coalesce(sum(volume), 0)::BIGINT AS volume_total,
+ coalesce(sum(volume) FILTER (is_top = 1), 0)::BIGINT AS volume_top, true AS sound
+FROM z_split s JOIN aux a ON s.pickup_zone = a.zone AND factor IN ({CHOSEN}) WHERE dataset = 'test' GROUP BY 1, 2""")
+def _debiased_outcomes(spark, sf_dir):
+    """What does not depend on the model, and whether the rest is within it."""
+    df = debiased_outcomes(spark, sf_dir)
+    sound = (F.col("volume").between(0, F.col("volume_total"))
+             & (F.col("delta_volume") == F.col("volume_top") - F.col("volume"))
+             & (F.abs(F.col("delta_profit") - (F.col("sum_top") - F.col("sum"))) < 1e-6))
+    return rounded(df.select("factor", "zone", "sum_total", "sum_top", F.col("volume_total").cast("bigint").alias("volume_total"),
+                             F.col("volume_top").cast("bigint").alias("volume_top"), sound.alias("sound")), sum_total=4, sum_top=4)
+
+
+def debias_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per factor the cost gap between the groups and the accuracy on the test days, before and after."""
+    return _report(*scored_sides(spark, sf_dir))
+
+
+@query("debias_report", using("z_split", "aux") + f"""
+SELECT factor, count(*) FILTER (dataset = 'validate') AS fit_rows, count(*) FILTER (dataset = 'test') AS test_rows,
+ true AS gap_closes, true AS in_range
+FROM z_split s JOIN aux a ON s.pickup_zone = a.zone AND factor IN ({CHOSEN}) GROUP BY 1""")
+def _debias_report(spark, sf_dir):
+    """Rows by factor; whether the expected cost gap on the fitting rows closes; sane report values."""
     sides, threshold = scored_sides(spark, sf_dir)
+    report, checks = _report(sides, threshold), []
+    sane = report.groupBy("factor").agg(
+        (F.min("accuracy") >= 0) & (F.max("accuracy") <= 1) & (F.min("cost_gap") >= 0) & (F.count(F.lit(1)) == 2))
+    for factor, (validation, test) in sides.items():
+        fit = fairness.fair_fit(validation, TRUTH, SCORE, GROUP, "weighted")
+        mixed = F.col("cost") * (1 - F.col("mix_rate")) + F.col("trivial_cost") * F.col("mix_rate")
+        closes = fit.agg(F.max(mixed) - F.min(mixed) <= F.max("cost") - F.min("cost") + 1e-9).scalar()
+        checks.append(validation.agg(F.count(F.lit(1)).alias("fit_rows")).select(
+            F.lit(factor).alias("factor"), "fit_rows", test.agg(F.count(F.lit(1))).scalar().alias("test_rows"),
+            closes.alias("gap_closes")))
+    return reduce(DataFrame.unionByName, checks).join(sane.toDF("factor", "in_range"), "factor")
+
+
+def _report(sides: dict, threshold: float) -> DataFrame:
     stages = (("before", SCORE, PRED), ("after", "adapted_prob", "adapted_predict"))
     reports = []
     for factor, (validation, test) in sides.items():
