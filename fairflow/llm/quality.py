@@ -201,6 +201,51 @@ def quality_filter(documents: DataFrame, text_col: str = "text", lang_col: str =
     return judged.select(*[F.col("row").getField(c).alias(c) for c in documents.columns])
 
 
-@query("op9_quality_rules")
+def _level_sql(name: str, by: str) -> str:
+    """Quartiles of merged sketches."""
+    keys = f"{by}, measure" if by else "measure"
+    return f"""{name} AS (SELECT {keys}, max(total) AS rows, min(point) FILTER (4 * upto >= total) AS q1,
+ min(point) FILTER (4 * upto >= 3 * total) AS q3 FROM (SELECT *, sum(n) OVER (PARTITION BY {keys} ORDER BY point) AS upto,
+ sum(n) OVER (PARTITION BY {keys}) AS total FROM (SELECT {keys}, point, sum(n) AS n FROM sketch GROUP BY ALL)) GROUP BY ALL)"""
+
+
+def _sql() -> str:
+    passes, values = [], []
+    for m, (expression, floor, both) in MEASURES.items():
+        sql = expression.replace(" div ", " // ")
+        values.append(f"SELECT doc_id, lang, source, '{m}' AS measure, {sql} AS v FROM good")
+        low = f" AND v >= q1 - {FENCE} * greatest(q3 - q1, {floor})" if both else ""
+        passes.append(f"WHEN '{m}' THEN v <= q3 + {FENCE} * greatest(q3 - q1, {floor}){low}")
+    return f"""
+WITH d AS MATERIALIZED (SELECT doc_id, lang, source, coalesce(text, '') AS t,
+ regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+grams AS (SELECT doc_id, i, w[i:i + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 1))) AS i FROM d)),
+again AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS times FROM grams),
+ range(0, 3) r(k) WHERE times > 1 GROUP BY 1),
+lines AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n_dup
+ FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]') GROUP BY 1),
+counts AS MATERIALIZED (SELECT doc_id, lang, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+ (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, coalesce(n_lines, 0)::BIGINT AS n_lines,
+ coalesce(n_dup, 0)::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+ FROM d LEFT JOIN again USING (doc_id) LEFT JOIN lines USING (doc_id)),
+judged AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts),
+good AS (SELECT * FROM judged WHERE NOT base_failed),
+measured AS MATERIALIZED ({" UNION ALL ".join(values)}),
+sketch AS MATERIALIZED (SELECT lang, source, measure, CASE WHEN v < 128 THEN v
+ ELSE (v >> (len(bin(v)) - 7)::INTEGER) << (len(bin(v)) - 7)::INTEGER END AS point, count(*) AS n FROM measured GROUP BY ALL),
+{_level_sql("own", "lang, source")},
+{_level_sql("language", "lang")},
+{_level_sql("everything", "")},
+fences AS (SELECT o.lang, o.source, o.measure,
+ CASE WHEN o.rows >= {MIN_ROWS} THEN o.q1 WHEN l.rows >= {MIN_ROWS} THEN l.q1 ELSE e.q1 END AS q1,
+ CASE WHEN o.rows >= {MIN_ROWS} THEN o.q3 WHEN l.rows >= {MIN_ROWS} THEN l.q3 ELSE e.q3 END AS q3
+ FROM own o JOIN language l ON o.lang IS NOT DISTINCT FROM l.lang AND o.measure = l.measure JOIN everything e ON o.measure = e.measure),
+passed AS (SELECT m.doc_id, bool_and(CASE m.measure {" ".join(passes)} END) AS ok FROM measured m JOIN fences f
+ ON m.lang IS NOT DISTINCT FROM f.lang AND m.source IS NOT DISTINCT FROM f.source AND m.measure = f.measure GROUP BY 1)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, coalesce(ok, false) AS kept
+FROM judged LEFT JOIN passed USING (doc_id)"""
+
+
+@query("op9_quality_rules", sql=_sql())
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(spark.read.parquet(f"{sf_dir}/documents.parquet"))
