@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from .common import SPACES, byte_values, covered, mix, prefix_hashes, range_hashes, text_blocks, window_hashes, windows_inside, word_hashes, word_spans
 from .register import query
@@ -103,7 +103,8 @@ def count_texts(documents: DataFrame, text_col: str, carried: list[str]) -> Data
                     + [pa.array(x, pa.int64()) for x in count_block(data, offsets)],
                     ["row", *[c.split()[0] for c in COUNTS.split(", ")]])
 
-    return held.mapInArrow(run, f"row {held.schema['row'].dataType.simpleString()}, {COUNTS}")
+    counts = [T.StructField(c.split()[0], T.LongType()) for c in COUNTS.split(", ")]
+    return held.mapInArrow(run, T.StructType([held.schema["row"], *counts]))
 
 
 def sketch_point(value: str) -> Column:

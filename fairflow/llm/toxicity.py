@@ -29,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .common import ALNUM, LOWER, byte_values, mix, prefix_hashes, range_hashes, text_blocks, word_spans
 from .folds import held_out, sample_per_class
@@ -279,7 +279,7 @@ def score(documents: DataFrame, model: Model | None, text_col: str = "text") ->
                 s = np.zeros(b - a) if model is None else model.score(evidence(model.lexicon, data, offsets))
                 yield pa.RecordBatch.from_arrays([batch.column("row").slice(a, b - a), pa.array(s)], ["row", "score"])
 
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, score double")
+    return rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())]))
 
 
 def reject(documents: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:

@@ -76,7 +76,7 @@ def test_edges(make):
     rows += [rows[-1], (40, " ".join(f"###{j}" for j in range(80)), "en", "a")]
     df = make(rows)
     assert got(quality.quality(df)) == want(rows)
-    clash = df.selectExpr("*", "1 AS kept", "2 AS n_words", "'x' AS row", "4 AS measure")
+    clash = df.selectExpr("*", "1 AS kept", "5 AS `odd, name`", "2 AS n_words", "'x' AS row", "4 AS measure")
     kept = quality.quality_filter(clash)
     assert kept.columns == clash.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted(int(x[1:].split(",")[0]) for x in want(rows) if x.endswith("True)"))

@@ -49,7 +49,7 @@ def test_edges(spark, make):
     rows = [(k, f"word{k} some text here " + ("awful" if k % 3 == 0 else "fine") + f" more{k}", "en", "s") for k in range(300)]
     rows += [(400, None, None, None), (401, "", None, None), (402, "awful " * 20000, None, None), (None, "fine", None, None),
              (3, rows[3][1], "en", "s")]
-    df = make(rows).selectExpr("*", "1 AS row", "2 AS score", "3 AS label")
+    df = make(rows).selectExpr("*", "1 AS row", "5 AS `odd, name`", "2 AS score", "3 AS label")
     labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(300)] + [(None, 1), (5, None), (999, 1), (6, 0)],
                                    "doc_id long, toxic int")
     model = t.train(df, labels)
