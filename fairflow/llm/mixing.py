@@ -7,7 +7,9 @@ dimension after the other, every category's weighted tokens are brought to its t
 
 A target is a share per category, or a power: the categories' own shares raised to it and normalised
 (1 keeps a dimension as it is, 0 evens it out).  Shares are normalised over the categories present;
-a category that a given target does not name gets no share and is not sampled.
+a category that a given target does not name gets no share and is not sampled, unless the target has
+the key ``REST``: then each of the others, NULL included, asks for its own share of all tokens, times the
+value of that key, next to the named shares.
 
 Defined results.  NULL categories are categories of their own, named by the key None; an empty or NULL
 text has no tokens and its cell's weight.  Cells without tokens do not move the fit.  Repeated rows are
@@ -32,8 +34,11 @@ SEED = 11
 WORD = "[^\\x20\\x09-\\x0D]+"
 DIMENSIONS = ("source", "lang", "topic")
 
+#: In a target: the categories that it does not name.
+REST = object()
+
 #: The mixture of the registered query and of the pipeline.
-TARGETS = {"source": 0.5, "lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}, "topic": 0.7}
+TARGETS = {"source": 0.5, "lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15, REST: 1.0}, "topic": 0.7}
 
 
 def topic_of(text: Column) -> Column:
@@ -46,12 +51,13 @@ def topic_of(text: Column) -> Column:
 
 
 def _raw_share(dimension: str, target: float | Mapping) -> Column:
-    """What a category asks for, before normalising; needs its ``tokens``."""
+    """What a category asks for, before normalising; needs its ``tokens`` and those of all, ``_whole``."""
     if not isinstance(target, Mapping):
         return F.when(F.col("tokens") > 0, F.pow(F.col("tokens").cast("double"), F.lit(float(target)))).otherwise(0.0)
     named = reduce(lambda c, kv: c.when(F.col(dimension).eqNullSafe(F.lit(kv[0])), F.lit(float(kv[1]))),
-                   target.items(), F.when(F.lit(False), 0.0))
-    return F.coalesce(named, F.lit(0.0))
+                   [kv for kv in target.items() if kv[0] is not REST], F.when(F.lit(False), 0.0))
+    rest = F.try_divide(F.lit(float(target.get(REST, 0.0))) * F.col("tokens"), F.col("_whole"))
+    return F.coalesce(named, rest, F.lit(0.0))
 
 
 def rake(cells: DataFrame, targets: Mapping[str, float | Mapping], rounds: int = ROUNDS) -> DataFrame:
@@ -60,7 +66,8 @@ def rake(cells: DataFrame, targets: Mapping[str, float | Mapping], rounds: int =
     current = cells.withColumn("weight", F.lit(1.0))
     whole = cells.agg(F.sum("tokens").cast("double").alias("_whole"))
     for dimension, target in targets.items():
-        per = cells.groupBy(dimension).agg(F.sum("tokens").alias("tokens")).select(dimension, _raw_share(dimension, target).alias("raw"))
+        per = cells.groupBy(dimension).agg(F.sum("tokens").alias("tokens")).crossJoin(F.broadcast(whole)).select(
+            dimension, _raw_share(dimension, target).alias("raw"))
         share = per.crossJoin(F.broadcast(per.agg(F.sum("raw").alias("sum")))).select(
             F.struct(dimension).alias("_category"), F.try_divide("raw", "sum").alias(f"_share_{dimension}"))
         current = current.withColumn("_category", F.struct(dimension)).join(share, "_category").drop("_category")

@@ -42,3 +42,14 @@ def test_edges(make):
     assert mixing.mix(make([])).count() == 0
     assert sorted(map(str, found)) == sorted(map(str, mixing.mix(df.repartition(7), targets={
         "source": 0.5, "lang": {"en": 1.0, "de": 1.0, None: 2.0}}, keep=0.7).collect()))
+
+
+def test_languages_without_a_target_are_sampled(spark):
+    docs = spark.range(9000).selectExpr("id AS doc_id", "'a b c d' AS text", "'s' AS source",
+                                        "CASE id % 10 WHEN 0 THEN NULL WHEN 1 THEN 'it' ELSE 'en' END AS lang")
+    cells = mixing.with_probability(docs).groupBy("cell.lang").agg(F.first("weight")).collect()
+    assert {r[0]: r[1] for r in cells} == pytest.approx({"en": 0.55 / 0.75 / 0.8, None: 0.1 / 0.75 / 0.1, "it": 0.1 / 0.75 / 0.1})
+    n = {r.lang: r["count"] for r in mixing.mix(docs).groupBy("lang").count().collect()}
+    assert set(n) == {"en", "it", None} and abs(n[None] / 900 - 0.5 * 0.1 / 0.75 / 0.1) < 0.06
+    unnamed = docs.filter("lang IS NULL")
+    assert abs(mixing.mix(unnamed).count() / 900 - 0.5) < 0.06
