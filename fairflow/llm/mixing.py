@@ -2,8 +2,14 @@
 
 Tokens (words) are summed per cell of source, language and topic.  The cells' weights are raked: one
 dimension after the other, every category's weighted tokens are brought to its target share, for
-``ROUNDS`` rounds.  A document is then sampled with probability ``keep`` times the weight of its cell
-(one at most), by a hash of its id and text, so a retried task draws the same and no row is collected.
+``ROUNDS`` rounds.  A document is then sampled with probability ``keep`` times the weight of its cell,
+by a hash of its id and text, so a retried task draws the same and no row is collected.
+
+No document is drawn more than once, so no weight may pass 1 / keep.  ``keep`` is lowered until every
+category has tokens enough for its share of the sample, and ``BOUNDED_ROUNDS`` more rounds of the fit hold
+every weight to that bound, so that other cells of a category make good what a full cell lacks.  Where
+targets ask more of the same cells than these hold, what is lacking stays so.  ``mode="strict"`` cuts
+probabilities at one instead and makes nothing good.
 
 A target is a share per category, or a power: the categories' own shares raised to it and normalised
 (1 keeps a dimension as it is, 0 evens it out).  Shares are normalised over the categories present;
@@ -28,6 +34,7 @@ from .register import query
 from .staging import staged
 
 ROUNDS = 12
+BOUNDED_ROUNDS = 24
 STAGED_ROUNDS = 3
 KEEP = 0.5
 SEED = 11
@@ -60,33 +67,50 @@ def _raw_share(dimension: str, target: float | Mapping) -> Column:
     return F.coalesce(named, rest, F.lit(0.0))
 
 
-def rake(cells: DataFrame, targets: Mapping[str, float | Mapping], rounds: int = ROUNDS) -> DataFrame:
-    """The cells with a ``weight``.  A step is one sum over the cells of each category."""
+def _fit(current: DataFrame, targets: Mapping[str, float | Mapping], rounds: int, most: Column | None = None) -> DataFrame:
+    """Rounds of raking; ``most`` bounds the weights."""
+    for turn in range(rounds):
+        for dimension in targets:
+            mass = F.sum(F.col("tokens") * F.col("weight")).over(Window.partitionBy(dimension))
+            want = F.col(f"_share_{dimension}")
+            factor = F.when(mass > 0, want * F.col("_whole") / mass).otherwise(F.when(want > 0, 1.0).otherwise(0.0))
+            weight = F.col("weight") * factor
+            current = current.withColumn("weight", weight if most is None else F.least(weight, most))
+        if (turn + 1) % STAGED_ROUNDS == 0:
+            current = staged(current)
+    return current
+
+
+def rake(cells: DataFrame, targets: Mapping[str, float | Mapping], rounds: int = ROUNDS, keep: float | None = None) -> DataFrame:
+    """The cells with a ``weight``.  A step is one sum over the cells of each category.  With ``keep``
+    weights are bounded, and the keep that every category can meet is added."""
     cells = staged(cells)
     current = cells.withColumn("weight", F.lit(1.0))
     whole = cells.agg(F.sum("tokens").cast("double").alias("_whole"))
+    limits = [F.lit(keep)]
     for dimension, target in targets.items():
         per = cells.groupBy(dimension).agg(F.sum("tokens").alias("tokens")).crossJoin(F.broadcast(whole)).select(
-            dimension, _raw_share(dimension, target).alias("raw"))
+            dimension, "tokens", "_whole", _raw_share(dimension, target).alias("raw"))
         share = per.crossJoin(F.broadcast(per.agg(F.sum("raw").alias("sum")))).select(
-            F.struct(dimension).alias("_category"), F.try_divide("raw", "sum").alias(f"_share_{dimension}"))
+            F.struct(dimension).alias("_category"), F.try_divide("raw", "sum").alias(f"_share_{dimension}"),
+            F.when(F.col("tokens") > 0, F.try_divide("tokens", F.try_divide("raw", "sum") * F.col("_whole"))).alias(f"_keep_{dimension}"))
         current = current.withColumn("_category", F.struct(dimension)).join(share, "_category").drop("_category")
+        limits.append(F.min(f"_keep_{dimension}"))
     current = staged(current.crossJoin(F.broadcast(whole)))
-    for turn in range(rounds):
-        for dimension in targets:
-            mass = F.sum(F.col("tokens") * F.col("weight")).over(Window.partitionBy(dimension))
-            want = F.col(f"_share_{dimension}")
-            factor = F.when(mass > 0, want * F.col("_whole") / mass).otherwise(F.when(want > 0, 1.0).otherwise(0.0))
-            current = current.withColumn("weight", F.col("weight") * factor)
-        if (turn + 1) % STAGED_ROUNDS == 0:
-            current = staged(current)
-    return current.select(*cells.columns, "weight")
+    if keep is None:
+        return _fit(current, targets, rounds).select(*cells.columns, "weight")
+    current = current.crossJoin(F.broadcast(current.agg(F.least(*limits).alias("keep"))))
+    most = 1 / F.col("keep")
+    fitted = _fit(current, targets, rounds).withColumn("weight", F.least("weight", most))
+    return _fit(fitted, targets, BOUNDED_ROUNDS, most).select(*cells.columns, "weight", "keep")
 
 
 def with_probability(documents: DataFrame, targets: Mapping[str, float | Mapping] = TARGETS, keep: float = KEEP,
                      text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
-                     topic: Column | None = None) -> DataFrame:
+                     topic: Column | None = None, mode: str = "bounded") -> DataFrame:
     """``row`` (the document as a struct), ``cell`` (source, lang, topic), tokens, weight, probability."""
+    if mode not in ("bounded", "strict"):
+        raise ValueError(f"mode {mode!r}")
     text = F.col("row").getField(text_col)
     rows = documents.select(
         F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"),
@@ -95,8 +119,9 @@ def with_probability(documents: DataFrame, targets: Mapping[str, float | Mapping
                  ).alias("cell"),
     ).withColumn("tokens", F.coalesce(F.size(F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))), F.lit(0)).cast("long"))
     cells = rows.groupBy("cell").agg(F.sum("tokens").alias("tokens")).select("cell.*", "tokens")
-    weights = rake(cells, targets).select(F.struct(*DIMENSIONS).alias("cell"), "weight")
-    return rows.join(weights, "cell").withColumn("probability", F.least(F.lit(1.0), keep * F.col("weight")))
+    fitted = rake(cells, targets, keep=keep) if mode == "bounded" else rake(cells, targets).withColumn("keep", F.lit(keep))
+    weights = fitted.select(F.struct(*DIMENSIONS).alias("cell"), "weight", "keep")
+    return rows.join(weights, "cell").withColumn("probability", F.least(F.lit(1.0), F.col("keep") * F.col("weight"))).drop("keep")
 
 
 def drawn(id_col: Column, text: Column, seed: int = SEED) -> Column:
@@ -149,7 +174,7 @@ WHERE CAST('0x' || substr(md5(concat_ws(':', CAST(d.doc_id AS VARCHAR), md5(d.t)
 @query("op4_mixing", sql=_sql())
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source", "lang")
-    held = with_probability(documents)
+    held = with_probability(documents, mode="strict")  # as its SQL
     return held.filter(drawn(F.col("row.doc_id"), F.col("row.text")) < F.col("probability")).select(
         "row.doc_id", "cell.*", "tokens", (F.round("weight", 6) + F.lit(0.0)).alias("weight"),
         (F.round("probability", 6) + F.lit(0.0)).alias("probability"))

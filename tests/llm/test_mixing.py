@@ -53,3 +53,15 @@ def test_languages_without_a_target_are_sampled(spark):
     assert set(n) == {"en", "it", None} and abs(n[None] / 900 - 0.5 * 0.1 / 0.75 / 0.1) < 0.06
     unnamed = docs.filter("lang IS NULL")
     assert abs(mixing.mix(unnamed).count() / 900 - 0.5) < 0.06
+
+
+def test_sample_meets_the_margins_of_the_whole_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    held = mixing.with_probability(docs).select("cell.*", "tokens", "weight", "probability").cache()
+    whole, drawn = held.agg(F.sum("tokens"), F.sum(F.col("tokens") * F.col("probability"))).first()
+    assert held.filter("probability > 1 OR probability <= 0").count() == 0 and drawn / whole > 0.3
+    for c in mixing.DIMENSIONS:
+        rows = held.groupBy(c).agg(F.sum("tokens").alias("own"), F.sum(F.col("tokens") * F.col("probability")).alias("got")).collect()
+        target = mixing.TARGETS[c]
+        raw = {r[c]: target[r[c]] if c == "lang" else r.own ** target for r in rows}
+        assert {r[c]: r.got / drawn for r in rows} == pytest.approx({k: v / sum(raw.values()) for k, v in raw.items()}, rel=0.01)
