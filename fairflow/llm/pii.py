@@ -4,11 +4,16 @@ One pattern finds candidates; each kind has its check, and what passes is replac
 permutation within its format, so equal values have equal pseudonyms in all documents and different
 values different ones:
 
-* card     - 13 to 19 digits that pass the Luhn test: the digits between the first and the check digit
-             are permuted, the check digit is made anew;
-* iban     - passes the mod-97 test: the account part is permuted symbol by symbol, the check anew;
+* card     - 13 to 19 digits that pass the Luhn test, in one piece or in groups of 4-4-4-4, with 1 to 3 more,
+             4-6-5 or 4-6-4: the digits between the first and the check digit are permuted, the check
+             digit is made anew.  A group after 4-4-4-4 belongs to the card if all pass, else the 16 are tried;
+* iban     - passes the mod-97 test, in one piece or, for the countries of ``IBAN_LENGTHS``, in groups of
+             four: the account part is permuted symbol by symbol, the check anew;
 * ssn      - a valid area, group and serial number go to valid ones;
-* phone    - country code and the first digits of area and exchange stay, the other eight are permuted;
+* phone    - 3-3-4 digits, with a country code or without: the code and the first digits of area and exchange
+             stay, the other eight are permuted.  After + and a country code also pairs (1-2-2-2-2), three
+             groups (2 to 4, 3 or 4, 3 or 4), an area of 1 to 5 digits and 4 to 8 more, or 8 to 15 digits in one
+             piece: the code and a digit stay (three digits of one piece), the others are permuted;
 * ipv4     - four numbers up to 255, as one 32-bit number;
 * date     - a day from 1800-01-01 to 2199-12-31 (146,097 days, 189 * 773) goes to another such day in
              the same layout (yyyy-mm-dd, dd/mm/yyyy or, where that is no day, mm/dd/yyyy, dd.mm.yyyy);
@@ -30,19 +35,37 @@ from .register import query
 
 ROUNDS = 8
 
+#: Symbols of an IBAN by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+GROUPED_IBAN = "|".join(
+    f"(?:{countries.replace(' ', '|')})\\d{{2}}(?:[ -][A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (f"[ -][A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+    for n, countries in IBAN_LENGTHS.items())
+
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){1,9}",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])(?=[A-Z]{2}\d{2})(?:[A-Z]{2}\d{2}[A-Z0-9]{11,30}|" + GROUPED_IBAN + ")(?![A-Za-z0-9])",
     "date": r"(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d/-])",
     "ipv4": r"(?<!\d)(?<!\d\.)\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)",
-    "card": r"(?<!\d)(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)",
+    "card": r"(?<!\d)(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}(?:[ -]\d{1,3}(?!\d|[ ./-]\d))?|"
+            r"\d{4}[ -]\d{6}[ -]\d{4,5})(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?:\+\d{1,3}[ .-]?|(?<![\d-]))(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)",
+    "phone": r"(?:\+\d{1,3}[ .-]?|(?<![\d-]))(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)"
+             r"|\+\d{1,3}[ .-]\d(?:[ .-]\d{2}){4}(?!\d|[./-]\d)"
+             r"|\+\d{1,3}[ .-](?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d|[./-]\d)"
+             r"|\+\d{1,3}[ .-](?:\(\d{1,5}\)[ .-]?|\d{1,5}[ .-])\d{4,8}(?!\d)"
+             r"|\+\d{8,15}(?!\d)",
 }
 ANY = "|".join(PATTERNS.values())
 KINDS = list(PATTERNS)
 PHONE_PARTS = r"^(\+\d{1,3}[ .-]?)?(\(?)(\d)(\d\d)(\)?[ .-]?)(\d)(\d\d)([ .-])(\d{4})$"
 
+CARD_AND_GROUP = r"^\d{4}(?:[ -]\d{4}){3}[ -]\d{1,3}$"
+
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 
 
@@ -106,11 +129,11 @@ def _luhn_sum(digits: Column) -> Column:
     return F.aggregate(worth, F.lit(0), lambda s, x: s + x)
 
 
-def _fill(layout: Column, digits: Column) -> Column:
-    """The layout with its digits replaced in order."""
+def _fill(layout: Column, new: Column, separators: str = r"\D") -> Column:
+    """The layout with its digits, or all that is no separator, replaced in order."""
     symbols = F.filter(F.split(layout, ""), lambda c: c != "")
-    return F.array_join(F.transform(symbols, lambda c, i: F.when(
-        c.rlike(r"\d"), F.substring(digits, F.length(_digits(F.substring(layout, F.lit(1), i + 1))), F.lit(1))).otherwise(c)), "")
+    return F.array_join(F.transform(symbols, lambda c, i: F.when(~c.rlike(separators), F.substring(
+        new, F.length(F.regexp_replace(F.substring(layout, F.lit(1), i + 1), separators, "")), F.lit(1))).otherwise(c)), "")
 
 
 def _mod97(text: Column) -> Column:
@@ -132,19 +155,26 @@ def _day(text: Column) -> tuple[Column, Column]:
 
 
 def _card(v: Column, key: str) -> Column:
-    digits = _digits(v)
-    n = F.length(digits)
-    body = F.concat(F.substring(digits, 1, 1), feistel_text(F.substring(digits, F.lit(2), n - 2), key, "card"))
-    check = F.pmod(F.lit(10) - _luhn_sum(F.concat(body, F.lit("0"))) % 10, F.lit(10))
-    return F.when(_luhn_sum(digits) % 10 == 0, _fill(v, F.concat(body, check.cast("string"))))
+    whole = _digits(v)
+    tried = F.when((_luhn_sum(whole) % 10 != 0) & v.rlike(CARD_AND_GROUP), F.substring(whole, 1, 16)).otherwise(whole)
+
+    def made(digits: Column) -> Column:
+        n = F.length(digits)
+        body = F.concat(F.substring(digits, 1, 1), feistel_text(F.substring(digits, F.lit(2), n - 2), key, "card"))
+        check = F.pmod(F.lit(10) - _luhn_sum(F.concat(body, F.lit("0"))) % 10, F.lit(10))
+        rest = F.substring(whole, n + 1, F.length(whole))
+        return F.when(_luhn_sum(digits) % 10 == 0, _fill(v, F.concat(body, check.cast("string"), rest)))
+    return F.transform(F.array(tried), made)[0]
 
 
 def _iban(v: Column, key: str) -> Column:
-    country, account = F.substring(v, 1, 2), F.substring(v, F.lit(5), F.length(v))
-    valid = _mod97(F.concat(account, F.substring(v, 1, 4))) == 1
-    new = feistel_text(account, key, "iban")
-    check = F.lit(98) - _mod97(F.concat(new, country, F.lit("00")))
-    return F.when(valid, F.concat(country, F.lpad(check.cast("string"), 2, "0"), new))
+    def made(packed: Column) -> Column:
+        country, account = F.substring(packed, 1, 2), F.substring(packed, F.lit(5), F.length(packed))
+        valid = _mod97(F.concat(account, F.substring(packed, 1, 4))) == 1
+        new = feistel_text(account, key, "iban")
+        check = F.lit(98) - _mod97(F.concat(new, country, F.lit("00")))
+        return F.when(valid, _fill(v, F.concat(country, F.lpad(check.cast("string"), 2, "0"), new), "[ -]"))
+    return F.transform(F.array(F.regexp_replace(v, "[ -]", "")), made)[0]
 
 
 def _ssn(v: Column, key: str) -> Column:
@@ -160,9 +190,14 @@ def _ssn(v: Column, key: str) -> Column:
 def _phone(v: Column, key: str) -> Column:
     part = [F.regexp_extract(v, PHONE_PARTS, k) for k in range(10)]
     new = feistel_text(F.concat(part[4], part[7], part[9]), key, "phone")
-    return F.transform(F.array(new), lambda p: F.concat(
+    shown = F.transform(F.array(new), lambda p: F.concat(
         part[1], part[2], part[3], F.substring(p, 1, 2), part[5], part[6], F.substring(p, 3, 2), part[8],
         F.substring(p, 5, 4)))[0]
+    digits = _digits(v)
+    stay = F.when(v.rlike(r"^\+\d+$"), 3).otherwise(F.length(F.regexp_extract(v, r"^\+(\d+)", 1)) + 1)
+    other = F.concat(F.substring(digits, F.lit(1), stay),
+                     feistel_text(F.substring(digits, stay + 1, F.length(digits)), key, "phone"))
+    return F.when(v.rlike(PHONE_PARTS), shown).otherwise(_fill(v, other))
 
 
 def _ipv4(v: Column, key: str) -> Column:

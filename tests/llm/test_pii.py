@@ -86,3 +86,24 @@ def test_nothing_planted_is_left(spark):
                     found += 1
                     assert value not in r.text
     assert found > 30
+
+
+def test_printed_layouts(spark):
+    def packed(v):
+        return re.sub("[ +-]", "", v)
+
+    ibans = ["DE89 3704 0044 0532 0130 00", "AT61 1904 3002 3457 3201", "GB82-WEST-1234-5698-7654-32"]
+    cards = ["6304 0000 0000 0000 000", "4041 8949 7460 8795"]
+    phones = ["+49 30 901820", "+33 1 42 68 53 00", "+44 20 7946 0958", "+34 912 345 678", "+4930901820"]
+    values = ibans + cards + phones
+    made = new_of(spark, values)
+    assert all(a != b and re.sub("[A-Z]", "A", re.sub(r"\d", "0", a)) == re.sub("[A-Z]", "A", re.sub(r"\d", "0", b))
+               for a, b in zip(values, made)), list(zip(values, made))
+    assert all(mod97(packed(v)) for v in made[:3]) and all(luhn(packed(v)) for v in made[3:5])
+    # One piece or groups, whatever follows.
+    assert new_of(spark, [packed(v) for v in ibans + cards]) == [packed(v) for v in made[:5]]
+    after = ["AT61 1904 3002 3457 3201 EUR", "4041 8949 7460 8795 12 x", "+49 30 901820 2024-02-29", "4041 8949 7460 8795 456-555-2186"]
+    date_, phone = new_of(spark, ["2024-02-29", "456-555-2186"])
+    assert new_of(spark, after) == [made[1] + " EUR", made[4] + " 12 x", f"{made[5]} {date_}", f"{made[4]} {phone}"]
+    wrong = ["DE89 3704 0044 0532 0130 01", "6304 0000 0000 0001 001", "+1 2", "a + 12 34"]
+    assert new_of(spark, wrong) == wrong
