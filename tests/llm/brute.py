@@ -116,3 +116,30 @@ def counts(text):
     times = collections.Counter(grams)
     hit = {k + j for k, g in enumerate(grams) if times[g] > 1 for j in range(3)}
     return (len(w), sum(map(len, w)), sum(t.count(c) for c in "#*$%&|<>"), len(lines), len(lines) - len(set(lines)), len(hit))
+
+
+def whitening(rows, components=4, weights="one", scale=256):
+    """(id, vector) rows -> {(id, component): rows of n, deviation, whitened, explained}"""
+    import math
+
+    import numpy as np
+
+    whole = [(i, v) for i, v in rows if v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    usual = collections.Counter(len(v) for _, v in whole)
+    d = min(usual, key=lambda k: (-usual[k], k))
+    x = [(i, tuple(math.floor(c * scale) for c in v)) for i, v in whole if len(v) == d]
+    times = collections.Counter(v for _, v in x)
+    fit = list(times) if weights == "one" else [v for _, v in x]
+    n, sums = len(fit), [sum(c) for c in zip(*fit)]
+    mean = np.array([s / n for s in sums])
+    c = np.array(fit, float) - mean
+    values, columns = np.linalg.eigh(c.T @ c / n)
+    values, columns = values[::-1], columns[:, ::-1]
+    out = collections.defaultdict(list)
+    for i, v in x:
+        deviation = sum((n * a - s) ** 2 for a, s in zip(v, sums))
+        for k in range(min(components, d)):
+            out[i, k + 1].append({
+                "n": n, "deviation": deviation, "explained": values[k] / values.sum(),
+                "whitened": float((np.array(v, float) - mean) @ columns[:, k] / math.sqrt(values[k]))})
+    return dict(out)
