@@ -143,3 +143,40 @@ def whitening(rows, components=4, weights="one", scale=256):
                 "n": n, "deviation": deviation, "explained": values[k] / values.sum(),
                 "whitened": float((np.array(v, float) - mean) @ columns[:, k] / math.sqrt(values[k]))})
     return dict(out)
+
+
+def token_alignment(docs, a_encode, b_encode, a_bytes, b_bytes):
+    """(id, text) rows -> rows as of the query, in input order; whole texts, every pair of tokens tried by its range"""
+    made = []
+    for _, text in docs:
+        a, b = (a_encode(" " + text), b_encode(text)) if text else ([], [])
+        wanted = (" " + (text or "")).encode()
+        if b"".join(a_bytes[k] for k in a) != wanted or b"".join(b_bytes[k] for k in b) != wanted:
+            a, b = [], []
+
+        def spans(ids, table):
+            out, at = [], 0
+            for k in ids:
+                out.append((at, at + len(table[k])))
+                at += len(table[k])
+            return out
+
+        sa, sb = spans(a, a_bytes), spans(b, b_bytes)
+        both = sorted({y for _, y in sa} & {y for _, y in sb})
+        groups, low = [], 0
+        for high in both:
+            groups.append(([k for k, (x, y) in zip(a, sa) if low <= x and y <= high],
+                           [k for k, (x, y) in zip(b, sb) if low <= x and y <= high]))
+            low = high
+        links = [(x, y) for x, (p, q) in zip(a, sa) for y, (r, s) in zip(b, sb) if max(p, r) < min(q, s)]
+        made.append((a, b, groups, links))
+    count = collections.Counter(p for *_, links in made for p in set(links))
+    highest = collections.defaultdict(int)
+    for (a, _), n in count.items():
+        highest[a] = max(highest[a], n)
+    out = []
+    for (i, _), (a, b, groups, links) in zip(docs, made):
+        said = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+        out.append((i, len(a), len(b), len(groups), len(links), sum(count[p] == highest[p[0]] for p in links),
+                    sum(count[p] for p in links), hashlib.sha256(said.encode()).hexdigest() if a else ""))
+    return out
