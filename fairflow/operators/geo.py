@@ -152,49 +152,89 @@ def shape_cells(df: DataFrame, key: str | Sequence[str], wkt: str, res: int,
     return cells.select(*keys, _cell(F.col("cx"), F.col("cy"), res).alias("cell"))
 
 
-def shape_index(df: DataFrame, key: str, wkt: str, res: int) -> DataFrame:
-    """One row per cell with what decides which shapes hold a point of that cell.
+def _cell_number(cx: Column, cy: Column) -> Column:
+    """A cell of one resolution as a bigint, the key of an index."""
+    return cy * F.lit(1 << 32) + cx
 
-    ``shapes`` lists each shape near the cell with ``base``, the number (modulo 2) of its edges
-    that lie to the right over the full height of the cell and so count for every point in it,
-    and ``edges``, the few that have to be tested.
 
-    Edges are first sent to the grid rows they touch, so the rows of a shape with very many
-    edges are worked on apart, and each row only sees its own edges.  A cell left or right of
-    all of them lies outside.  A cell's list grows with the shapes that meet it: choose a
-    resolution whose cells are smaller than the shapes.
+def _walked(edges: DataFrame, res: int) -> DataFrame:
+    """Every edge once per grid row it touches, with the first and last column it meets there."""
+    bottom, top = F.least("y1", "y2"), F.greatest("y1", "y2")
+    rows = edges.select("*", _span(_row_of(bottom - TOUCH, res), _row_of(top + TOUCH, res)).alias("cy")).withColumns({
+        "_low": _lat_at(F.col("cy"), res) - TOUCH, "_high": _lat_at(F.col("cy") + 1, res) + TOUCH,
+    })
+    edge = {c: F.col(c) for c in ("x1", "y1", "x2", "y2")}
+
+    def x_at(lat: Column, flat: str) -> Column:
+        return F.coalesce(_crossing(edge, F.least(F.greatest(lat, bottom), top)), F.col(flat))
+
+    return rows.withColumns({"_a": x_at(F.col("_low"), "x1"), "_b": x_at(F.col("_high"), "x2")}).withColumns({
+        "_first": _column_of(F.least("_a", "_b") - TOUCH, res), "_last": _column_of(F.greatest("_a", "_b") + TOUCH, res),
+    }).drop("_a", "_b")
+
+
+def shape_cells_inside(df: DataFrame, key: str, wkt: str, res: int) -> tuple[DataFrame, DataFrame]:
+    """The cells of a shape's border with what decides there, and the runs of cells wholly inside.
+
+    Each edge is walked through the cells it meets, row by row.  A cell tests the edges that meet it.  Of the
+    edges further right only what the ray's height decides is left: an edge crosses it if one of its ends
+    lies above and the other does not, so an end above the row flips the cells to its left, and an end
+    within the row cancels against that of the next edge, except in the cells that only one of the two
+    meets; there the cell keeps its height.  The flips are a running count along the row.
+
+    Work grows with the edges and the cells they meet.  Rings must be closed, as in any WKT.  Both results have
+    ``key, cy``; border cells ``cx, base, edges, ends``, runs ``first, last``.
     """
-    left_end, right_end = F.least("x1", "x2"), F.greatest("x1", "x2")
-    edges = _parsed(df, [key], wkt).select(key, "_shape", F.inline("_edges")).filter(F.col("y1") != F.col("y2"))
-    spread = edges.select(
-        "*",
-        _span(_row_of(F.least("y1", "y2") - TOUCH, res), _row_of(F.greatest("y1", "y2") + TOUCH, res)).alias("cy"),
-    )
-    rows = spread.groupBy(key, "_shape", "cy").agg(
-        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_band"),
-        F.min(left_end).alias("_xmin"), F.max(right_end).alias("_xmax"),
-    ).withColumns({"_low": _lat_at(F.col("cy"), res), "_high": _lat_at(F.col("cy") + 1, res)})
-    cells = rows.select(
-        key, "cy", "_low", "_high", "_band",
-        _span(_column_of(F.col("_xmin") - TOUCH, res), _column_of(F.col("_xmax") + TOUCH, res)).alias("cx"),
-    ).withColumns({"_left": _lon_at(F.col("cx"), res), "_right": _lon_at(F.col("cx") + 1, res)})
-    ahead = cells.withColumn("_ahead", F.filter(
-        "_band", lambda e: F.greatest(e["x1"], e["x2"]) >= F.col("_left") - TOUCH
-    ))
-
-    def always(e: Column) -> Column:
-        return (
-            (F.least(e["y1"], e["y2"]) < F.col("_low") - TOUCH)
-            & (F.greatest(e["y1"], e["y2"]) > F.col("_high") + TOUCH)
-            & (F.least(e["x1"], e["x2"]) > F.col("_right") + TOUCH)
-        )
+    edges = _parsed(df.select(key, wkt).distinct(), [key], wkt).select(key, "_shape", F.inline("_edges"))
+    walked = _walked(edges, res)
+    place = [key, "_shape", "cy"]
+    above = [F.col(y) > F.col("_high") for y in ("y1", "y2")]
+    edge_type = "struct<x1:double,y1:double,x2:double,y2:double>"
+    met = walked.filter(F.col("y1") != F.col("y2")).select(
+        *place, _span(F.col("_first"), F.col("_last")).alias("cx"), F.col("_first"),
+        F.struct("x1", "y1", "x2", "y2").alias("edge"), (above[0] != above[1]).alias("_flips"),
+    ).select(*place, "cx", "edge", F.lit(None).cast("double").alias("end"),
+             (F.col("_flips") & (F.col("cx") == F.col("_first"))).cast("int").alias("flip"))
+    corners = walked.select(*place, "ring", "_low", "_high", "_first", F.explode(F.array(
+        F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")),
+        F.struct(F.col("x2").alias("x"), F.col("y2").alias("y")))).alias("_v"))
+    corners = corners.filter(F.col("_v.y").between(F.col("_low"), F.col("_high")))
+    starts = corners.groupBy(*place, "ring", F.col("_v.x").alias("x"), F.col("_v.y").alias("y")).agg(
+        F.array_sort(F.collect_list("_first")).alias("_at"))
+    between = F.flatten(F.transform(F.sequence(F.lit(1), F.floor(F.size("_at") / 2).cast("int")), lambda k: F.when(
+        F.get("_at", 2 * k - 2) < F.get("_at", 2 * k - 1),
+        F.sequence(F.get("_at", 2 * k - 2), F.get("_at", 2 * k - 1) - 1)).otherwise(F.array().cast("array<bigint>"))))
+    ends = starts.filter(F.size("_at") > 1).select(
+        *place, F.explode(between).alias("cx"), F.lit(None).cast(edge_type).alias("edge"), F.col("y").alias("end"), F.lit(0).alias("flip"))
+    # Placed by grid row, so that cells and their running count need no exchange of their own.
+    cells = met.unionByName(ends).repartition(*place).groupBy(*place, "cx").agg(
+        F.collect_list("edge").alias("edges"), F.collect_list("end").alias("ends"), F.sum("flip").alias("flips"))
+    leftwards = Window.partitionBy(*place).orderBy(F.col("cx").desc())
+    counted = cells.withColumns({
+        "_right": F.coalesce(F.sum("flips").over(leftwards.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "_next": F.lead("cx").over(leftwards),
+    })
+    border = counted.select(key, "cy", "cx", (F.col("_right") % 2).cast("int").alias("base"), "edges", "ends")
+    runs = counted.filter((F.col("_next") < F.col("cx") - 1) & ((F.col("_right") + F.col("flips")) % 2 == 1)).select(
+        key, "cy", (F.col("_next") + 1).alias("first"), (F.col("cx") - 1).alias("last"))
+    return border, runs
+
 
-    chips = ahead.select(
-        key, _cell(F.col("cx"), F.col("cy"), res).alias("cell"),
-        (F.size(F.filter("_ahead", always)) % 2).alias("base"),
-        F.filter("_ahead", lambda e: ~always(e)).alias("edges"),
-    ).filter((F.col("base") == 1) | (F.size("edges") > 0))
-    return chips.groupBy("cell").agg(F.collect_list(F.struct(key, "base", "edges")).alias("shapes"))
+def shape_index(df: DataFrame, key: str, wkt: str, res: int) -> DataFrame:
+    """One row per cell (a bigint) with what decides which shapes hold a point of that cell.
+
+    ``shapes`` lists each shape near the cell with ``base`` (modulo 2, how often a ray to the right
+    leaves or enters the shape beyond the cell), ``edges`` to test and ``ends``, heights above which one
+    such crossing is gone.  A cell's list grows with the shapes that meet it: choose a
+    resolution whose cells are smaller than the shapes.
+    """
+    border, runs = shape_cells_inside(df, key, wkt, res)
+    kinds = {c: border.schema[c].dataType for c in ("edges", "ends")}
+    inner = runs.select(key, "cy", _span(F.col("first"), F.col("last")).alias("cx"), F.lit(1).alias("base"),
+                        *[F.array().cast(k).alias(c) for c, k in kinds.items()])
+    decisive = border.filter((F.col("base") == 1) | (F.size("edges") > 0) | (F.size("ends") > 0))
+    return decisive.unionByName(inner).groupBy(_cell_number(F.col("cx"), F.col("cy")).alias("cell")).agg(
+        F.collect_list(F.struct(key, "base", "edges", "ends")).alias("shapes"))
 
 
 def point_zone_join(points: DataFrame, lat: str, lon: str, cells: DataFrame, res: int,
@@ -224,11 +264,11 @@ def point_in_polygon(points: DataFrame, lat: str, lon: str, index: DataFrame, re
         def crosses(e: Column) -> Column:
             return ((e["y1"] > py) != (e["y2"] > py)) & (px < _crossing(e, py))
 
-        hits = F.size(F.filter(shape["edges"], crosses))
+        hits = F.size(F.filter(shape["edges"], crosses)) + F.size(F.filter(shape["ends"], lambda y: y > py))
         return (shape["base"] + hits) % 2 == 1
 
     named = index.select(F.col("cell").alias("_cell"), F.col("shapes").alias("_shapes"))
-    encoded = point_cell(points, lat, lon, res, "_point_cell")
+    encoded = points.withColumn("_point_cell", _cell_number(_column_of(px, res), _row_of(py, res)))
     joined = encoded.join(named, F.col("_point_cell") == F.col("_cell"), "left")
     matching = F.transform(F.filter("_shapes", holds), lambda s: s[key])
     return joined.select(*points.columns, F.explode_outer(matching).alias(out))
