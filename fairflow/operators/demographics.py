@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.stats import delta_zscore, normal_cdf, quantile_band, unlog10, zscore
 from ..functions.text import slug
-from ..session import size_checked
+from ..session import MAX_BYTES, MAX_ROWS, join_checked, size_checked
 from .ranking import ntile_by
 from .sampling import hash_sample
 
@@ -120,16 +120,17 @@ def aux_weights(deciles: DataFrame) -> DataFrame:
 
 
 def attach_weights(df: DataFrame, weights: DataFrame, factor: str, zone: str = "zone",
-                   keys: Sequence[str] = (), fraction: float = 1.0, seed: int = 42) -> DataFrame:
+                   keys: Sequence[str] = (), fraction: float = 1.0, seed: int = 42,
+                   max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> DataFrame:
     """Predictions with the mark and weight of their zone for one factor; missing numbers become 0.
 
     ``fraction`` below 1 samples the predictions by their ``keys`` first.  The weights hold one
     row per zone; they are staged and measured, so the predictions are shuffled only when there
-    are very many zones.
+    are more zones than the bounds allow, and then without those of zones that have no weight.
     """
     sampled = df if fraction >= 1 else hash_sample(df, keys, fraction, seed)
     chosen = weights.filter(F.col("factor") == factor).withColumnRenamed("zone", zone)
-    return sampled.join(size_checked(chosen), zone).fillna(0)
+    return join_checked(sampled, chosen, [zone], "inner", max_rows, max_bytes).fillna(0)
 
 
 def factor_names(df: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.calendar import day_of, daypart, ntz, seconds_between, weekpart
 from ..functions.stats import quantile_band, zscore
-from ..session import size_checked
+from ..session import MAX_BYTES, MAX_ROWS, join_checked
 
 DEMAND_KEYS = ("pickup_zone", "pickup_daypart", "date_trunc")
 
@@ -161,15 +161,16 @@ def demand_label(daily: DataFrame, max_band: int = 3, mode: str = "intended",
     )
 
 
-def label_joinback(rides: DataFrame, daily: DataFrame,
-                   keys: Sequence[str] = DEMAND_KEYS) -> DataFrame:
+def label_joinback(rides: DataFrame, daily: DataFrame, keys: Sequence[str] = DEMAND_KEYS,
+                   columns: Sequence[str] | None = None, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> DataFrame:
     """Attach the daily statistics and labels to every ride of the same zone, part and day.
 
-    The daily table is staged and measured: while it is small the rides are not shuffled at
-    all.  Beyond that, a zone with a third of all rides still spreads over its days and
+    The daily table (of ``columns``, if given, only those) is staged and measured by its footers: within the bounds
+    the rides are not shuffled at all.  Beyond, a zone with a third of all rides still spreads over its days and
     dayparts, and what remains uneven is split by AQE.
     """
-    return rides.join(size_checked(daily), list(keys), "left")
+    side = daily if columns is None else daily.select(*keys, *columns)
+    return join_checked(rides, side, keys, "left", max_rows, max_bytes)
 
 
 def label_histograms(df: DataFrame, label: str = LABEL, mode: str = "intended") -> DataFrame:

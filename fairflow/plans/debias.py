@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import demographics as demo, fairness, geo, metrics, outcomes, rides, sampling
-from ..session import size_checked, stage
+from ..session import size_checked, stage, staging_scope
 from . import spatial
 from .demand import HISTORY_DIGITS, HISTORY_SQL, clean_rides, demand_steps, labelled
 from .disparity import deciles
@@ -95,13 +95,17 @@ CHOSEN = ", ".join(f"'{f}'" for f in ADJUSTED)
 
 def debiased_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Volumes and amounts per factor and zone of the adjusted predictions, against the true ones."""
-    sides, threshold = scored_sides(spark, sf_dir)
-    results = []
-    for factor, (validation, test) in sides.items():
-        adapted = adjusted(validation, test, threshold)
-        volumes = outcomes.zone_outcome_volumes(adapted, pred="adapted_predict", truth=TRUTH)
-        results.append(outcomes.outcome_deltas(volumes).withColumn("factor", F.lit(factor)))
-    return reduce(DataFrame.unionByName, results)
+    with staging_scope(spark) as scope:
+        sides, threshold = scored_sides(spark, sf_dir)
+        scope.drop(*[df for side in sides.values() for df in side])
+        results = []
+        for factor, (validation, test) in sides.items():
+            adapted = adjusted(validation, test, threshold)
+            volumes = outcomes.zone_outcome_volumes(adapted, pred="adapted_predict", truth=TRUTH)
+            results.append(outcomes.outcome_deltas(volumes).withColumn("factor", F.lit(factor)))
+        result = reduce(DataFrame.unionByName, results)
+        scope.drop(result)
+    return result
 
 
 @query("debiased_outcomes", using("z_split", "aux") + f"""

@@ -12,6 +12,7 @@ from ..session import scratch_path
 from ..sources import ingest
 from ..sources.catalog import Catalog
 from ..sources.fixtures import source
+from ..sources.scores import ScoreStore
 from .registry import query, r, rounded, using
 
 PART = T.StructType([
@@ -208,7 +209,7 @@ def _category_profile(spark, sf_dir):
 @query("score_reattach", using("rides") + f"""
 SELECT ride_id, pickup_datetime, {r('trip_distance / 25', 8, 'score')} FROM rides""")
 def _score_reattach(spark, sf_dir):
-    """Scores computed apart come back by the row's own id, not a generated one."""
+    """Scores computed by one job are stored by the row's own id, not a generated one, and come back in another."""
     rides = source(spark, sf_dir, "rides")
-    scores = rides.select("ride_id", ratio(F.col("trip_distance"), F.lit(25.0)).alias("score"))
-    return rounded(rides.select("ride_id", "pickup_datetime").join(scores, "ride_id"), score=8)
+    store = ScoreStore.write(rides.select("ride_id", ratio(F.col("trip_distance"), F.lit(25.0)).alias("score")), "ride_id")
+    return rounded(store.attach(rides.select("ride_id", "pickup_datetime")), score=8)

@@ -7,13 +7,16 @@ from collections.abc import Callable, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from . import versions
+
 
 class Catalog:
     """Maps table names to folders of files.
 
     ``paths`` overrides the location of single tables; every other name lives at
     ``root/name``.  ``fmt`` is any file source of the session: ``parquet`` and ``orc`` are
-    built in, ``delta`` works where its package is installed.
+    built in, ``delta`` works where its package is installed and keeps versions itself; for the others
+    see `versions`.
     """
 
     def __init__(self, spark: SparkSession, root: str, paths: dict[str, str] | None = None,
@@ -25,7 +28,11 @@ class Catalog:
         self.fmt = fmt
 
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.format(self.fmt).load(self.path(name))
+        return self.spark.read.format(self.fmt).load(self.location(name))
+
+    def location(self, name: str) -> str:
+        """The folder of the present version of a table."""
+        return self.path(name) if self.fmt == "delta" else versions.resolve(self.spark, self.path(name))
 
     def path(self, name: str) -> str:
         return self.paths.get(name, f"{self.root}/{name}{self.suffix}")
@@ -46,15 +53,18 @@ class Catalog:
         return True
 
     def overwrite(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Replace a table, schema included, and return the written rows (which cuts the lineage)."""
-        writer = df.write.format(self.fmt).mode("overwrite")
+        """Replace a table, schema included, and return the written rows (which cuts the lineage).
+
+        Readers see the old rows until the new ones are complete; a write that fails leaves the old ones.
+        """
         if self.fmt == "delta":
-            writer = writer.option("overwriteSchema", "true")
-        writer.partitionBy(*partition_by).save(self.path(name))
+            df.write.format(self.fmt).mode("overwrite").option("overwriteSchema", "true").partitionBy(*partition_by).save(self.path(name))
+        else:
+            versions.replace(df, self.path(name), self.fmt, partition_by)
         return self.table(name)
 
-    def append(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.format(self.fmt).mode("append").save(self.path(name))
+    def append(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+        df.write.format(self.fmt).mode("append").partitionBy(*partition_by).save(self.location(name))
         return self.table(name)
 
     def get_or_create(self, name: str, builder: Callable[[], DataFrame]) -> DataFrame:
