@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.hashing import uniform
 from ..functions.stats import ratio
-from ..session import size_checked
+from ..session import MAX_BYTES, MAX_ROWS, size_checked
 from .metrics import threshold_sweep
 
 RATES = (
@@ -195,10 +195,13 @@ def generalized_rate_gaps(df: DataFrame, group: str | Sequence[str], priv, label
 
 def fairness_sweep(df: DataFrame, group: str, priv, label: str, score: str,
                    thresholds: Sequence[float], weight: str | None = None,
-                   strict: bool = True) -> DataFrame:
-    """Balanced accuracy and group gaps at every threshold, from one scan."""
+                   strict: bool = True, pos_label=1) -> DataFrame:
+    """Balanced accuracy and group gaps at every threshold, from one scan.
+
+    ``pos_label`` is the favourable label and ``score`` its chance, as in the other gaps.
+    """
     flagged = df.withColumn("privileged", is_privileged(group, priv))
-    sweep = threshold_sweep(flagged, label, score, thresholds, ["privileged"], weight, strict)
+    sweep = threshold_sweep(flagged, label, score, thresholds, ["privileged"], weight, strict, pos_label)
 
     def side(name: str, privileged: bool) -> Column:
         mine = F.col("privileged") if privileged else ~F.col("privileged")
@@ -338,13 +341,14 @@ def fair_score(df: DataFrame, label: str, prob: str, group: str | Sequence[str],
 
 def apply_random_mapping(df: DataFrame, mapping: DataFrame, on: Sequence[str],
                          to: Sequence[str], keys: Sequence[str], seed: int = 1,
-                         prob: str = "prob", method: str = "md5") -> DataFrame:
+                         prob: str = "prob", method: str = "md5", max_rows: int = MAX_ROWS,
+                         max_bytes: int = MAX_BYTES) -> DataFrame:
     """Replace ``on``-rows by randomly picked target values.
 
     ``mapping`` holds ``on`` columns, ``to`` columns named ``new_<column>``, and a probability.
     The targets of one source combination become one array with cumulative bounds, so each
     row joins exactly one mapping row and no candidate pairs are formed.  Rows without a
-    mapping, or beyond its total probability, stay as they are.
+    mapping, or beyond its total probability, stay as they are.  Within the bounds the mapping is broadcast.
     """
     targets = [f"new_{c}" for c in to]
     upto = Window.partitionBy(*on).orderBy(*targets).rowsBetween(Window.unboundedPreceding, 0)
@@ -355,7 +359,8 @@ def apply_random_mapping(df: DataFrame, mapping: DataFrame, on: Sequence[str],
     matches = F.lit(True)
     for c in on:
         matches = matches & F.col(c).eqNullSafe(F.col(f"_on_{c}"))
-    drawn = df.withColumn("_draw", uniform(keys, seed, method)).join(size_checked(choices), matches, "left")
+    drawn = df.withColumn("_draw", uniform(keys, seed, method)).join(
+        size_checked(choices, max_rows, max_bytes), matches, "left")
     picked = drawn.withColumn(
         "_pick", F.get(F.filter("_choices", lambda c: F.col("_draw") < c["_upper"]), 0)
     )

@@ -1,7 +1,7 @@
 """Binary classification metrics as aggregates.
 
-Curves and percentiles first reduce the rows to distinct scores; the running totals
-over those are range partitioned, so no step depends on one task or the driver.
+Curves and percentiles reduce the rows to distinct scores with running totals, cell by cell
+between cut points of the scores, so no step depends on one task or the driver.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.stats import ratio
-from .ranking import running_totals
+from .ranking import step_totals
 
 
 def linspace(start: float, stop: float, n: int) -> list[float]:
@@ -25,21 +25,25 @@ def _weight(weight: str | None) -> Column:
     return F.lit(1) if weight is None else F.col(weight)
 
 
-def class_sums(label: str, weight: str | None = None) -> tuple[Column, Column]:
+def class_sums(label: str, weight: str | None = None, pos_label=1) -> tuple[Column, Column]:
     """Weight of the positive and of the negative rows; rows without a label are neither."""
-    w = _weight(weight)
-    return (F.coalesce(F.sum(F.when(F.col(label) == 1, w)), F.lit(0)),
-            F.coalesce(F.sum(F.when(F.col(label) != 1, w)), F.lit(0)))
+    w, positive = _weight(weight), F.col(label) == F.lit(pos_label)
+    return (F.coalesce(F.sum(F.when(positive, w)), F.lit(0)),
+            F.coalesce(F.sum(F.when(~positive, w)), F.lit(0)))
 
 
 def score_steps(df: DataFrame, label: str, score: str, weight: str | None = None) -> DataFrame:
     """Distinct scores, highest first, with class weights at, above and in total."""
-    pos, neg = class_sums(label, weight)
-    steps = (
-        df.filter(F.col(score).isNotNull())
-        .groupBy(F.col(score).alias("score")).agg(pos.alias("pos"), neg.alias("neg"))
-    )
-    return running_totals(steps, [F.col("score").desc()], ["pos", "neg"])
+    columns = {"score": score, "_label": label, **({} if weight is None else {"_weight": weight})}
+    pos, neg = class_sums("_label", None if weight is None else "_weight")
+    return step_totals(df.select(*[F.col(c).alias(n) for n, c in columns.items()]), "score", {"pos": pos, "neg": neg},
+                       descending=True)
+
+
+def _point(df: DataFrame, **values: float) -> DataFrame:
+    """One point of a curve that belongs to no threshold."""
+    return df.sparkSession.range(1).select(
+        F.lit(None).cast("double").alias("threshold"), *[F.lit(v).alias(n) for n, v in values.items()])
 
 
 def roc_curve(df: DataFrame, label: str, score: str, weight: str | None = None) -> DataFrame:
@@ -50,10 +54,7 @@ def roc_curve(df: DataFrame, label: str, score: str, weight: str | None = None)
         ratio(F.col("neg_before") + F.col("neg"), F.col("neg_total")).alias("fpr"),
         ratio(F.col("pos_before") + F.col("pos"), F.col("pos_total")).alias("tpr"),
     )
-    origin = steps.agg(F.max(F.lit(None).cast("double")).alias("threshold")).select(
-        "threshold", F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
-    )
-    return points.unionByName(origin)
+    return points.unionByName(_point(df, fpr=0.0, tpr=0.0))
 
 
 def roc_auc(df: DataFrame, label: str, score: str, weight: str | None = None) -> DataFrame:
@@ -73,10 +74,7 @@ def pr_curve(df: DataFrame, label: str, score: str, weight: str | None = None) -
         F.col("score").alias("threshold"),
         ratio(tp, tp + fp).alias("precision"), ratio(tp, F.col("pos_total")).alias("recall"),
     )
-    end = steps.agg(F.max(F.lit(None).cast("double")).alias("threshold")).select(
-        "threshold", F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")
-    )
-    return points.unionByName(end)
+    return points.unionByName(_point(df, precision=1.0, recall=0.0))
 
 
 def event_rate(df: DataFrame, label: str) -> DataFrame:
@@ -92,13 +90,9 @@ def tuned_threshold(df: DataFrame, label: str, score: str, mode: str = "intended
     running counts stand in for a sort of all rows.
     """
     ranked = label if mode == "strict" else score
-    steps = df.filter(F.col(ranked).isNotNull()).groupBy(
-        F.col(ranked).cast("double").alias("score")
-    ).agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(label), F.lit(0)).alias("pos"),
-        F.count(label).alias("labelled"),
-    )
-    totals = running_totals(steps, [F.col("score").asc()], ["rows", "pos", "labelled"])
+    totals = step_totals(
+        df.select(F.col(ranked).cast("double").alias("score"), F.col(label).alias("_label")), "score",
+        {"rows": F.count(F.lit(1)), "pos": F.coalesce(F.sum("_label"), F.lit(0)), "labelled": F.count("_label")})
     rate = ratio(F.col("pos_total"), F.col("labelled_total"))
     placed = totals.withColumn("_rate", rate).withColumn(
         "_position", (F.col("rows_total") - 1) * (1 - F.col("_rate"))
@@ -199,9 +193,11 @@ def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 def threshold_sweep(df: DataFrame, label: str, score: str, thresholds: Sequence[float],
                     group: Sequence[str] = (), weight: str | None = None,
-                    strict: bool = True) -> DataFrame:
+                    strict: bool = True, pos_label=1) -> DataFrame:
     """Rates at every threshold, per group if given, from one scan.
 
+    The score is the chance of ``pos_label``, the favourable label.
+
     Each score is placed among the ascending thresholds once; the counts per place (at most
     ``len(thresholds) + 1`` per group and class) are then summed for every threshold.
     ``strict`` calls a row positive for ``score > threshold``, else for ``>=``.
@@ -216,7 +212,7 @@ def threshold_sweep(df: DataFrame, label: str, score: str, thresholds: Sequence[
         .withColumn("_placed", (-F.col(score) if strict else F.col(score)).cast("double"))
     )
     passed = (n - F.col("_bucket") if strict else F.col("_bucket")).cast("int")
-    pos, neg = class_sums(label, weight)
+    pos, neg = class_sums(label, weight, pos_label)
     counts = placed.groupBy(*group, passed.alias("_passed")).agg(pos.alias("pos"), neg.alias("neg"))
     spread = counts.select("*", F.posexplode(F.array(*[F.lit(t) for t in grid])).alias("_i", "threshold"))
     called = F.col("_passed") > F.col("_i")

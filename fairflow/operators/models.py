@@ -5,18 +5,23 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Mapping, Sequence
+from itertools import product
+from multiprocessing.pool import ThreadPool
+from typing import NamedTuple
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import (
+    GBTClassifier, LogisticRegression, RandomForestClassificationModel, RandomForestClassifier,
+)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import predict_batch_udf
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.ml.functions import predict_batch_udf, vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..session import stage
+from ..session import reused, scratch_path, stage
 from .metrics import accuracy_at_threshold, class_balance, classification_report, roc_auc
-from .registry import run_record
+from .registry import RunStore, run_record
 from .threshold import TunedThreshold
 
 # Tree counts searched, the default, and room for categories per split.
@@ -85,51 +90,103 @@ def feature_pipeline(categorical: Sequence[str], numeric: Sequence[str], label:
     return Pipeline(stages=stages)
 
 
+def leaf_chances(model: RandomForestClassificationModel, spark: SparkSession) -> list[list[float]]:
+    """The chance of the second class in every leaf of every tree, leaves in the order `leafCol` numbers them.
+
+    Read from the nodes as the model saves them; a leaf has no children.  As large as the model, whatever the rows.
+    """
+    path = scratch_path(spark, "forest")
+    model.write().overwrite().save(path)
+    leaves = spark.read.parquet(f"{path}/data").filter("nodeData.leftChild < 0").select(
+        "treeID", "nodeData.id", "nodeData.impurityStats").collect()
+    out: list[list[float]] = [[] for _ in range(model.getNumTrees)]
+    for row in sorted(leaves):
+        total = sum(row["impurityStats"])
+        out[row["treeID"]].append(row["impurityStats"][1] / total if total else 0.0)
+    return out
+
+
+def prefix_scores(scored: DataFrame, leaf_col: str, chances: Sequence[Sequence[float]], counts: Sequence[int]) -> list[Column]:
+    """``_trees_<n>``: the score of the forest of the first n trees, for every n, from one pass over the rows."""
+    table = F.array(*[F.array(*map(F.lit, tree)) for tree in chances])
+    by_tree = F.transform(vector_to_array(leaf_col), lambda leaf, tree: F.get(F.get(table, tree), leaf.cast("int")))
+    return [(F.aggregate(F.slice(by_tree, 1, n), F.lit(0.0), lambda a, x: a + x) / n).alias(f"_trees_{n}") for n in counts]
+
+
+class Search(NamedTuple):
+    """The pipeline with the best parameters, those, the mean metric of every point, and the fitted winner."""
+    pipeline: Pipeline
+    best: dict[str, object]
+    points: list[dict[str, object]]
+    model: PipelineModel | None
+
+
 def grid_search(pipeline: Pipeline, classifier: Estimator, df: DataFrame,
                 grid: Mapping[str, Sequence] | None = None,
-                folds: int = 3, seed: int = 42, parallelism: int = 2):
+                folds: int = 3, seed: int = 42, parallelism: int = 2) -> Search:
     """Cross-validated search by area under the ROC curve; by default over tree counts.
 
-    Returns the pipeline with the best parameters set, those parameters, and the mean
-    metric of every grid point.  With one fold the search is skipped and the classifier
-    keeps its own parameters.
+    The trees of a random forest are grown independently, so a forest of fewer trees is the first part of
+    a larger one: each fold fits the largest forest only and scores its held-out rows with all tree counts in one
+    pass.  The winner is fitted once, on all rows and with its threshold.  With one fold the search is skipped and the
+    classifier keeps its own parameters.
     """
     if folds <= 1:
-        return pipeline, {}, []
-    builder = ParamGridBuilder()
-    for name, values in (grid or {"numTrees": TREE_COUNTS}).items():
-        builder = builder.addGrid(classifier.getParam(name), list(values))
-    points = builder.build()
-    # Only ranks matter to the metric, so threshold stages are left out of the search.
-    search = CrossValidator(
-        estimator=Pipeline(stages=[s for s in pipeline.getStages() if not isinstance(s, TunedThreshold)]), estimatorParamMaps=points,
-        evaluator=BinaryClassificationEvaluator(
-            labelCol=classifier.getLabelCol(), rawPredictionCol=classifier.getRawPredictionCol(),
-            metricName="areaUnderROC",
-        ),
-        numFolds=folds, seed=seed, parallelism=parallelism,
-    ).fit(df)
-    metrics = search.avgMetrics
-    best = {p.name: v for p, v in points[metrics.index(max(metrics))].items()}
-    return pipeline.copy({classifier.getParam(k): v for k, v in best.items()}), best, [
-        {**{p.name: v for p, v in point.items()}, "auc": float(auc)} for point, auc in zip(points, metrics)
-    ]
+        return Search(pipeline, {}, [], None)
+    grid = {k: list(v) for k, v in (grid or {"numTrees": TREE_COUNTS}).items()}
+    counts = sorted(grid["numTrees"]) if isinstance(classifier, RandomForestClassifier) and "numTrees" in grid else []
+    others = [k for k in grid if not (counts and k == "numTrees")]
+    label, spark = classifier.getLabelCol(), df.sparkSession
+    # The draw is written with its row, so that no row changes its fold.
+    dealt = stage(df.withColumn("_fold", F.floor(F.rand(seed) * folds).cast("int")), ["_fold"])
+
+    def evaluate(task: tuple) -> list[float]:
+        values, fold = task
+        extra = {classifier.getParam(k): v for k, v in zip(others, values)}
+        if counts:
+            extra |= {classifier.numTrees: counts[-1], classifier.leafCol: "_leaf"}
+        # Only ranks matter to the metric, so threshold stages are left out of the search.
+        stages = [s for s in pipeline.copy(extra).getStages() if not isinstance(s, TunedThreshold)]
+        fitted = Pipeline(stages=stages).fit(dealt.filter(F.col("_fold") != fold).drop("_fold"))
+        scored = fitted.transform(dealt.filter(F.col("_fold") == fold).drop("_fold"))
+        scores = [F.col(classifier.getRawPredictionCol())]
+        if counts:
+            forest = next(s for s in fitted.stages if isinstance(s, RandomForestClassificationModel))
+            scores = prefix_scores(scored, "_leaf", leaf_chances(forest, spark), counts)
+        with reused(scored.select(label, *scores)) as narrow:
+            return [BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=c, metricName="areaUnderROC").evaluate(narrow)
+                    for c in narrow.columns[1:]]
+
+    combos = list(product(*[grid[k] for k in others]))
+    tasks = [(values, fold) for values in combos for fold in range(folds)]
+    with ThreadPool(min(parallelism, len(tasks))) as pool:
+        found = pool.map(inheritable_thread_target(spark)(evaluate), tasks)
+    points = []
+    for k, values in enumerate(combos):
+        per_fold = found[k * folds:(k + 1) * folds]
+        for i, n in enumerate(counts or [None]):
+            point = {**({} if n is None else {"numTrees": n}), **dict(zip(others, values))}
+            points.append({**{k: point[k] for k in grid}, "auc": float(sum(m[i] for m in per_fold) / folds)})
+    best = {k: v for k, v in max(points, key=lambda p: p["auc"]).items() if k != "auc"}
+    tuned = pipeline.copy({classifier.getParam(k): v for k, v in best.items()})
+    return Search(tuned, best, points, tuned.fit(df))
 
 
 def train_and_record(train: DataFrame, test: DataFrame, pipeline: Pipeline, label: str, model_name: str,
-                     params: Mapping[str, object] | None = None,
-                     model_root: str | None = None) -> tuple[PipelineModel, DataFrame]:
+                     params: Mapping[str, object] | None = None, model_root: str | None = None,
+                     store: RunStore | None = None, keys: Sequence[str] = ()) -> tuple[PipelineModel, DataFrame]:
     """Fit, measure on the test rows, and describe the run as one row of the runs table.
 
     Every metric is an aggregate over the scored rows; the driver sees a handful of numbers.
-    With ``model_root`` the fitted pipeline is saved below it under its run id.
+    With ``model_root`` the fitted pipeline is saved below it under its run id.  A ``store`` keeps the run, the
+    pipeline and the scored rows of both sides: ``keys``, label, score, prediction and ``dataset``.
     """
     spark = train.sparkSession
     model = pipeline.fit(train)
     cut = model.stages[-1].getTunedThreshold()
     score, pred = f"{label}_probability", f"{label}_predict"
     # Each side goes through the model once; the metrics read three narrow columns.
-    scored = {side: stage(model.transform(df).select(label, score, pred)) for side, df in (("train", train), ("test", test))}
+    scored = {side: stage(model.transform(df).select(*keys, label, score, pred)) for side, df in (("train", train), ("test", test))}
     report = classification_report(scored["test"], label, pred)
     balance = class_balance(train, label).first()
     metrics = {
@@ -147,7 +204,11 @@ def train_and_record(train: DataFrame, test: DataFrame, pipeline: Pipeline, labe
     run_id = uuid.uuid4().hex
     if model_root is not None:
         model.write().overwrite().save(f"{model_root.rstrip('/')}/{run_id}")
-    return model, run_record(spark, run_id, model_name, metrics, described, dt.datetime.now())
+    run = run_record(spark, run_id, model_name, metrics, described, dt.datetime.now())
+    if store is not None:
+        sides = [rows.withColumn("dataset", F.lit(side)) for side, rows in scored.items()]
+        store.add(run, sides[0].unionByName(sides[1]), model)
+    return model, run
 
 
 def score(df: DataFrame, model: PipelineModel, keep: Sequence[str] = (), model_id: str | None = None) -> DataFrame:

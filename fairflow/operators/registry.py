@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
+from ..sources import versions
 from ..sources.catalog import Catalog
 
 RUN_SCHEMA = (
@@ -27,8 +28,47 @@ def run_record(spark: SparkSession, run_id: str, model_name: str, metrics: Mappi
 
 
 def record(catalog: Catalog, run: DataFrame, name: str = "runs") -> DataFrame:
-    """Append a run to the runs table, which is created by the first one."""
-    return catalog.append(run, name)
+    """Add a run (one row) to the runs table, which is created by the first one.
+
+    Each run is a file of its own, added by one rename: writers may work at the same time.
+    """
+    versions.add_file(run, catalog.location(name), f"run-{run.first()['run_id']}", catalog.fmt)
+    return catalog.table(name)
+
+
+class RunStore:
+    """Runs with their models and their predictions below one folder.
+
+    ``runs`` holds one file per run, ``models/<run id>`` its pipeline, ``predictions/<run id>`` its scored rows by
+    dataset.  The run's own row is written last, so a run that can be looked up is whole.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.catalog = Catalog(spark, self.root)
+
+    def model_path(self, run_id: str) -> str:
+        return f"{self.root}/models/{run_id}"
+
+    def prediction_path(self, run_id: str) -> str:
+        return f"{self.root}/predictions/{run_id}"
+
+    def add(self, run: DataFrame, predictions: DataFrame | None = None, model=None) -> DataFrame:
+        """Keep a run; ``predictions`` have a ``dataset`` column, by which they are partitioned.  All runs."""
+        run_id = run.first()["run_id"]
+        if model is not None:
+            model.write().overwrite().save(self.model_path(run_id))
+        if predictions is not None:
+            predictions.write.partitionBy("dataset").parquet(self.prediction_path(run_id))
+        return record(self.catalog, run)
+
+    def runs(self) -> DataFrame:
+        return self.spark.read.schema(RUN_SCHEMA).parquet(self.catalog.location("runs"))
+
+    def predictions(self, run_id: str, dataset: str | None = None) -> DataFrame:
+        """The stored rows of one run, or of one dataset of it, which alone is then read."""
+        rows = self.spark.read.parquet(self.prediction_path(run_id))
+        return rows if dataset is None else rows.filter(F.col("dataset") == dataset)
 
 
 def _metric(runs: DataFrame, name: str):

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import slug
 from ..operators import demographics as demo, outcomes
+from ..session import reused, stage
 from ..sources.fixtures import SCORED_KEY, source
 from ..sources.ingest import inline_dimension
 from .registry import (
@@ -241,6 +244,22 @@ def _zone_effect_focus_no_model(spark, sf_dir):
     return rounded(focus, rides_z=8)
 
 
+REUSED = ("gndr", "gnrt", "edctn")
+
+
+@query("reused_focus", using("counts", "rides_z") + " UNION ALL ".join(f"""
+SELECT factor, decile, count(*) AS rows, sum(count)::BIGINT AS persons, {r('max(rides_z)', 8, 'highest')}
+FROM (SELECT c.factor, c.count, rides_z, ntile(10) OVER (PARTITION BY value ORDER BY rides_z DESC NULLS LAST, c.zone)::INT AS decile
+ FROM counts c JOIN rides_z v ON c.zone = v.zone WHERE factor = '{f}') GROUP BY 1, 2""" for f in REUSED))
+def _reused_focus(spark, sf_dir):
+    """Ride z-scores of the zones, computed once and kept in memory while several factors read them."""
+    with reused(outcomes.ride_zscore(zone_volumes(spark, sf_dir))) as rides_z:
+        focused = [demo.zone_effect_focus(counts(spark, sf_dir), rides_z, factor).groupBy("factor", "decile").agg(
+            F.count(F.lit(1)).alias("rows"), F.sum("count").alias("persons"), F.max("rides_z").alias("highest"))
+            for factor in REUSED]
+        return rounded(stage(reduce(DataFrame.unionByName, focused)), highest=8)
+
+
 def _logged_counts(spark, sf_dir):
     logged = F.when(F.col("count") > 0, F.log10("count")).alias("count_log10")
     return counts(spark, sf_dir).filter("factor = 'ethnc_grp'").select("zone", "value", logged)

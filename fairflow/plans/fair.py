@@ -6,7 +6,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..operators import fairness as fair, metrics, registry as runs_table
+from ..functions.hashing import uniform
+from ..operators import fairness as fair, mapping as learning_mapping, metrics, registry as runs_table
 from ..session import scratch_path, stage
 from ..sources.catalog import Catalog
 from ..sources.fixtures import SCORED_KEY, source
@@ -16,6 +17,7 @@ from .registry import query, r, rounded, step, uniform_sql, using
 GROUP, PRIV = "needs_mitigation", "F"
 KEY_SQL = ", ".join(SCORED_KEY)
 GRID = metrics.linspace(0.01, 0.99, 25)
+LOW_GRID = metrics.linspace(0.01, 0.7, 24)
 
 
 def predicted(spark, sf_dir):
@@ -190,6 +192,26 @@ def _fairness_sweep(spark, sf_dir):
     return rounded(sweep, **{c: 8 for c in sweep.columns})
 
 
+@query("fairness_sweep_negative", using("scored") + f"""
+SELECT {r('threshold', 8)}, {r('((tp + ptp) / (p + pp) + 1 - (fp + pfp) / (n + pn)) / 2', 8, 'balanced_accuracy')},
+ {r('(tp + fp) / (p + n) - (ptp + pfp) / (pp + pn)', 8, 'statistical_parity_difference')},
+ {r('((tp + fp) / (p + n)) / nullif((ptp + pfp) / (pp + pn), 0)', 8, 'disparate_impact')},
+ {r('((tp / p - ptp / pp) + (fp / n - pfp / pn)) / 2', 8, 'average_odds_difference')},
+ {r('tp / p - ptp / pp', 8, 'equal_opportunity_difference')}
+FROM (SELECT t AS threshold, sum(weight) FILTER (g AND label = 0 AND 1 - score >= t) AS ptp,
+  coalesce(sum(weight) FILTER (g AND label = 1 AND 1 - score >= t), 0) AS pfp,
+  sum(weight) FILTER (g AND label = 0) AS pp, sum(weight) FILTER (g AND label = 1) AS pn,
+  sum(weight) FILTER (NOT g AND label = 0 AND 1 - score >= t) AS tp,
+  coalesce(sum(weight) FILTER (NOT g AND label = 1 AND 1 - score >= t), 0) AS fp,
+  sum(weight) FILTER (NOT g AND label = 0) AS p, sum(weight) FILTER (NOT g AND label = 1) AS n
+ FROM (SELECT *, {GROUP} = '{PRIV}' AS g FROM scored) CROSS JOIN (VALUES {learning.grid_values(LOW_GRID)}) v(t) GROUP BY 1)""")
+def _fairness_sweep_negative(spark, sf_dir):
+    """The negative label as the favourable one, with weights: its chance is what is left of the score."""
+    scored = source(spark, sf_dir, "scored").withColumn("chance", 1 - F.col("score"))
+    sweep = fair.fairness_sweep(scored, GROUP, PRIV, "label", "chance", LOW_GRID, "weight", strict=False, pos_label=0)
+    return rounded(sweep, **{c: 8 for c in sweep.columns})
+
+
 # --- calibrated adjustment ---------------------------------------------------------------
 
 COST = {
@@ -316,6 +338,32 @@ def _apply_random_mapping(spark, sf_dir):
     return mapped(spark, sf_dir).select(*SCORED_KEY, GROUP, "l_returnflag", "label")
 
 
+LEARN_SEED, LEARN_SHARE, LEARN_BOUND = 5, 0.7, 0.5
+
+
+@query("learned_mapping", using("scored") + f"""
+SELECT {GROUP}, l_returnflag, label, count(*) AS n, 1e0 AS total_prob, true AS within_bound, true AS gap_lowered
+FROM (SELECT *, {uniform_sql(SCORED_KEY, LEARN_SEED)} AS u FROM scored) WHERE u < {LEARN_SHARE} GROUP BY ALL""")
+def _learned_mapping(spark, sf_dir):
+    """The counted cells the mapping was learned from; whether each keeps its bound, and whether the mapping brings the
+    impact ratio of the rows held out closer to one."""
+    drawn = source(spark, sf_dir, "scored").withColumn("_u", uniform(SCORED_KEY, LEARN_SEED))
+    train, held_out = drawn.filter(F.col("_u") < LEARN_SHARE), drawn.filter(F.col("_u") >= LEARN_SHARE)
+    columns, cell = ["l_returnflag", "label"], [GROUP, "l_returnflag", "label"]
+    mapping = learning_mapping.learn_mapping(train, GROUP, ["l_returnflag"], "label", max_distortion=LEARN_BOUND)
+    mapped_rows = fair.apply_random_mapping(held_out, mapping, cell, columns, SCORED_KEY)
+
+    def gap(df):
+        return fair.disparate_impact(df, GROUP, PRIV, "label").select("disparate_impact_gap").scalar()
+
+    changed = sum((F.col(c) != F.col(f"new_{c}")).cast("int") for c in columns)
+    checked = mapping.groupBy(*cell).agg(
+        (F.round(F.sum("prob"), 6) + F.lit(0.0)).alias("total_prob"),
+        (F.sum(F.col("prob") * changed) <= LEARN_BOUND + 1e-6).alias("within_bound"))
+    return learning_mapping.counted_cells(train, GROUP, ["l_returnflag"], "label").join(checked, cell).withColumn(
+        "gap_lowered", gap(mapped_rows) < gap(held_out))
+
+
 @query("mean_difference_mapped", using("mapped") + f"""
 SELECT {r(f"avg(label) FILTER ({GROUP} <> '{PRIV}') - avg(label) FILTER ({GROUP} = '{PRIV}')", 8, 'mean_difference')} FROM mapped""")
 def _mean_difference_mapped(spark, sf_dir):

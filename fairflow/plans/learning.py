@@ -265,10 +265,11 @@ FROM (VALUES (20), (50), (100), (200)) g(num_trees)""")
 def _grid_search(spark, sf_dir):
     train, _, _ = _sides(spark, sf_dir)
     pipeline, forest = forest_pipeline(train)
-    _, best, points = models.grid_search(pipeline, forest, train)
+    _, best, points, model = models.grid_search(pipeline, forest, train)
     top = max(p["auc"] for p in points)
     chosen = [p for p in points if p["numTrees"] == best["numTrees"]]
-    rows = [(p["numTrees"], 0 <= p["auc"] <= 1 and chosen[0]["auc"] == top, len(chosen)) for p in points]
+    kept = chosen[0]["auc"] == top and model.stages[-2].getNumTrees == best["numTrees"]
+    rows = [(p["numTrees"], 0 <= p["auc"] <= 1 and kept, len(chosen)) for p in points]
     grid = spark.createDataFrame(rows, "num_trees int, sound boolean, chosen_points int")
     return grid.withColumn("train_rows", train.agg(F.count(F.lit(1))).scalar())
 
@@ -293,6 +294,35 @@ def _train_and_record(spark, sf_dir):
     )
 
 
+@query("stored_predictions", using("split") + """
+SELECT dataset, is_top, count(*) AS rows, true AS same_accuracy, true AS same_auc, true AS same_model
+FROM split WHERE dataset IN ('train', 'test') GROUP BY ALL""")
+def _stored_predictions(spark, sf_dir):
+    """Rows kept with their run; whether the run's figures and its saved model follow from them."""
+    train, test, _ = _sides(spark, sf_dir)
+    label = rides.LABEL
+    score = f"{label}_probability"
+    _, numeric = models.split_features(train, rides.FEATURES)
+    pipeline = models.feature_pipeline([], numeric, label, models.logistic(label, maxIter=10), scale=True)
+    store = runs_table.RunStore(spark, scratch_path(spark, "store"))
+    models.train_and_record(train, test, pipeline, label, "demand", store=store, keys=["ride_id"])
+    run = runs_table.require_model(store.runs(), "demand")
+    kept, cut, figures = store.predictions(run["run_id"]), float(run["params"]["decision_threshold"]), {}
+    for side, auc in (("train", "train_auc"), ("test", "auc")):
+        rows = store.predictions(run["run_id"], side)
+        again = {f"{side}_accuracy": metrics.accuracy_at_threshold(rows, label, score, cut), auc: metrics.roc_auc(rows, label, score)}
+        figures[side] = [F.abs(df.scalar() - run["metrics"][name]) for name, df in again.items()]
+    again = PipelineModel.load(store.model_path(run["run_id"])).transform(test).select("ride_id", F.col(score).alias("_again"))
+    differs = kept.filter("dataset = 'test'").join(again, "ride_id").agg(
+        F.count_if(F.abs(F.col(score) - F.col("_again")) > 1e-9)).scalar()
+
+    def of_side(k: int):
+        return F.when(F.col("dataset") == "train", figures["train"][k]).otherwise(figures["test"][k]) < 1e-9
+
+    return kept.groupBy("dataset", label).agg(F.count(F.lit(1)).alias("rows")).select(
+        "dataset", label, "rows", of_side(0).alias("same_accuracy"), of_side(1).alias("same_auc"), (differs == 0).alias("same_model"))
+
+
 @query("model_save_load", using("split") + """
 SELECT count(*) AS rows, 0::BIGINT AS differing FROM split WHERE dataset = 'test'""")
 def _model_save_load(spark, sf_dir):

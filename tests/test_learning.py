@@ -263,11 +263,53 @@ def test_grid_search_is_skipped_for_one_fold(spark, sample):
     _, df = sample
     forest = models.random_forest("y", 3, maxDepth=2)
     pipeline = models.feature_pipeline([], ["s"], "y", forest)
-    same, best, points = models.grid_search(pipeline, forest, df, {"numTrees": [2, 3]}, folds=1)
-    assert same is pipeline and best == {} and points == []
-    tuned, best, points = models.grid_search(pipeline, forest, df, {"numTrees": [2, 3]}, folds=2)
+    same, best, points, model = models.grid_search(pipeline, forest, df, {"numTrees": [2, 3]}, folds=1)
+    assert same is pipeline and best == {} and points == [] and model is None
+    tuned, best, points, model = models.grid_search(pipeline, forest, df, {"numTrees": [2, 3]}, folds=2)
     assert best["numTrees"] in (2, 3) and len(points) == 2
-    assert tuned.fit(df).stages[-2].getNumTrees == best["numTrees"]
+    assert tuned.getStages()[-2].getNumTrees() == model.stages[-2].getNumTrees == best["numTrees"]
+
+
+def test_first_trees_of_a_forest_are_a_forest(spark, sample):
+    """All trees give the model's own scores; fewer give the mean over those trees."""
+    from pyspark.ml.functions import vector_to_array
+
+    _, df = sample
+    forest = models.random_forest("y", 7, maxDepth=3).copy()
+    forest.setLeafCol("_leaf")
+    model = models.feature_pipeline([], ["s", "w"], "y", forest).fit(df)
+    trees = model.stages[1]
+    chances = models.leaf_chances(trees, spark)
+    assert len(chances) == 7 and all(0 <= p <= 1 for tree in chances for p in tree)
+    scored = model.transform(df).withColumn("own", vector_to_array("y_prob_vect")[1])
+    got = scored.select("id", "own", "features", *models.prefix_scores(scored, "_leaf", chances, [1, 3, 7])).collect()
+    assert all(abs(r["own"] - r["_trees_7"]) < 1e-12 for r in got)
+    for r in got[:20]:
+        each = [t.predictProbability(r["features"])[1] for t in trees.trees]
+        assert r["_trees_1"] == pytest.approx(each[0]) and r["_trees_3"] == pytest.approx(sum(each[:3]) / 3)
+
+
+def test_grid_search_fits_one_forest_per_fold(spark, sample, monkeypatch):
+    _, df = sample
+    fits = []
+    real = models.RandomForestClassifier._fit
+
+    def counted(self, dataset):
+        fits.append(self.getNumTrees())
+        return real(self, dataset)
+
+    monkeypatch.setattr(models.RandomForestClassifier, "_fit", counted)
+    forest = models.random_forest("y", 3, maxDepth=2)
+    search = models.grid_search(models.feature_pipeline([], ["s"], "y", forest), forest, df, {"maxDepth": [1, 3], "numTrees": [8, 2, 4]}, folds=3)
+    assert sorted(fits[:-1]) == [8] * 6 and fits[-1] == search.best["numTrees"] and len(search.points) == 6
+    assert {tuple(p) for p in search.points} == {("maxDepth", "numTrees", "auc")}
+
+
+def test_grid_search_over_other_parameters(spark, sample):
+    _, df = sample
+    model = models.logistic("y", maxIter=5)
+    search = models.grid_search(models.feature_pipeline([], ["s"], "y", model), model, df, {"regParam": [0.0, 10.0]}, folds=2)
+    assert search.best["regParam"] in (0.0, 10.0) and search.model.stages[-1].getTunedThreshold() > 0
 
 
 def test_vector_scores(spark):

@@ -57,25 +57,92 @@ def test_ntile_equals_the_window_function(spark, n):
     assert rows(got, "id", "tile") == rows(want, "id", "tile")
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def exchanges(df):
+    """The exchanges of rows in a plan, broadcasts and gatherings of one row a task left out."""
+    return [x for x in plan_of(df).splitlines() if "Exchange " in x and "Broadcast" not in x and "SinglePartition" not in x]
+
+
 def test_hot_group_is_spread_over_slices(spark):
-    """No slice holds more than a fraction of a group with 90 % of all rows."""
+    """No slice holds more than a fraction of a group with 90 % of all rows; rows move once."""
     before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        sliced = skewed(spark, 5).repartitionByRange("g", F.col("v").desc(), "id")
-        largest = sliced.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
-        assert largest < 3000 * 0.3
-        got = ranking.running_totals(skewed(spark, 5).withColumn("one", F.lit(1)),
-                                     [F.col("v").desc(), F.col("id").asc()], ["one"], ["g"])
-        assert {r["one_total"] for r in got.filter("g = 'hot'").select("one_total").distinct().collect()} == {2700}
+        df = skewed(spark, 5)
+        order = [F.col("v").desc(), F.col("id").asc()]
+        sliced = ranking.sorted_slices(df, order, ["g"])
+        assert sliced.groupBy("_slice").count().agg(F.max("count")).first()[0] < 3000 * 0.3
+        assert len(exchanges(sliced)) == 1
+        numbered = ranking.row_numbers(df, order, ["g"])
+        assert all("_rows" in x or "_slice" in x for x in exchanges(numbered))  # only the offsets
+        assert {r["group_rows"] for r in numbered.filter("g = 'hot'").select("group_rows").distinct().collect()} == {2700}
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
 
 
-def test_running_totals_without_groups(spark):
+def test_row_numbers_without_groups_and_empty(spark):
     df = spark.createDataFrame([(3, 10), (1, 5), (2, 7)], "k int, v int").repartition(3)
-    got = ranking.running_totals(df, [F.col("k").asc()], ["v"])
-    assert rows(got, "k", "v_before", "v_total") == [(1, 0, 22), (2, 5, 22), (3, 12, 22)]
+    assert rows(ranking.row_numbers(df, [F.col("k").asc()]), "k", "row_number", "group_rows") == [(1, 1, 3), (2, 2, 3), (3, 3, 3)]
+    assert ranking.row_numbers(df.filter("k > 5"), [F.col("k").asc()]).count() == 0
+
+
+def steps_of(df, descending=False, cells=8):
+    got = ranking.step_totals(df, "k", {"v": F.sum("v"), "n": F.count(F.lit(1))}, descending, cells)
+    return [tuple(r) for r in got.orderBy(F.col("k").desc() if descending else "k").collect()]
+
+
+def wanted_steps(data, descending=False):
+    held, out = {}, []
+    for k, v in data:
+        if k is not None:
+            a, b = held.get(k + 0.0, (0, 0))
+            held[k + 0.0] = a + v, b + 1
+    total = sum(v for v, _ in held.values()), sum(n for _, n in held.values())
+    before = (0, 0)
+    for k in sorted(held, reverse=descending):
+        out.append((k, *held[k], *before, *total))
+        before = before[0] + held[k][0], before[1] + held[k][1]
+    return out
+
+
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("kind", ["spread", "hot", "few", "one", "none", "ends"])
+def test_step_totals(spark, kind, descending):
+    r = random.Random(3)
+    data = {
+        "spread": [(r.random(), i) for i in range(500)],
+        "hot": [(0.25 if i % 3 else r.random(), i) for i in range(900)],
+        "few": [(float(i % 5), i) for i in range(300)] + [(None, 1)],
+        "one": [(-0.0 if i % 2 else 0.0, 1) for i in range(50)],
+        "none": [(None, 1)],
+        "ends": [(float("inf"), 1), (float("-inf"), 2), (0.5, 3), (float("inf"), 4), (1e-320, 5)] * 3,
+    }[kind]
+    for parts in (1, 7):
+        df = spark.createDataFrame(data, "k double, v long").repartition(parts)
+        assert steps_of(df, descending) == wanted_steps(data, descending)
+
+
+def test_step_totals_of_whole_numbers_beyond_doubles(spark):
+    base = 1 << 60
+    data = [(base + i % 3, i) for i in range(200)]
+    df = spark.createDataFrame(data, "k long, v long").repartition(3)
+    assert [r[:3] for r in steps_of(df)] == [(base + m, sum(v for k, v in data if k == base + m), len([1 for k, _ in data if k == base + m]))
+                                             for m in range(3)]
+    assert [r[4] for r in steps_of(df)] == [0, 67, 134]
+
+
+def test_curves_move_the_rows_once(spark):
+    from fairflow.operators import metrics
+
+    df = spark.range(4000).select((F.col("id") * 0.618033988749 % 1).alias("score"), (F.col("id") % 3 == 0).cast("int").alias("label"))
+    for run in (metrics.roc_auc, metrics.pr_curve, metrics.roc_curve):
+        moved = [x for x in exchanges(run(df, "label", "score")) if "REPARTITION_BY_COL" in x]
+        assert len(moved) == 1
+        # What else is exchanged are the frequent scores, combined in their tasks.
+        assert len(exchanges(run(df, "label", "score"))) <= 2 and "rangepartitioning" not in plan_of(run(df, "label", "score"))
 
 
 # --- sampling ----------------------------------------------------------------------------
