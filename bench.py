@@ -28,10 +28,10 @@ HEADLINE = (
     "zone_outcome_volumes", "tuned_threshold", "roc_auc", "pr_curve", "classification_report",
     "threshold_sweep", "fairness_sweep", "intersectional_rates", "fair_fit", "fair_adapt",
     "apply_random_mapping", "vector_udf_score", "train_pipeline", "grid_search", "train_and_record",
-    "debiased_outcomes",
+    "debiased_outcomes", "score_reattach", "reused_focus", "learned_mapping", "stored_predictions",
 )
 #: Whole training searches: timed once, without a warm-up.
-ONCE = ("grid_search", "train_and_record", "debiased_outcomes")
+ONCE = ("grid_search", "train_and_record", "debiased_outcomes", "stored_predictions")
 
 
 def main() -> None:

@@ -226,12 +226,8 @@ def size_checked(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_B
 FILTER_BITS = 1 << 26
 
 
-def may_match(df: DataFrame, side: DataFrame, keys: Sequence[str], bits: int = FILTER_BITS) -> DataFrame:
-    """The rows of ``df`` whose keys may occur in ``side``: a Bloom filter with one hash, held as bitmaps.
-
-    What is broadcast has a fixed bound, an eighth of ``bits`` in bytes, however many keys there are; the more there are,
-    the less is filtered.  NULL keys match nothing.
-    """
+def _with_match(df: DataFrame, side: DataFrame, keys: Sequence[str], bits: int, how: str) -> DataFrame:
+    """``df`` with ``_may``: whether its keys may occur in ``side``."""
     slot = F.pmod(F.xxhash64(*keys), F.lit(bits)) + 1  # bitmaps number their bits from 1
     held = side.select(slot.alias("_slot")).groupBy(F.bitmap_bucket_number("_slot").alias("_bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bitmap"))
@@ -240,9 +236,24 @@ def may_match(df: DataFrame, side: DataFrame, keys: Sequence[str], bits: int = F
         known = known & F.col(key).isNotNull()
     place = F.bitmap_bit_position("_slot")
     byte = F.conv(F.hex(F.substring("_bitmap", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    is_set = F.getbit(byte, (place % 8).cast("int")) == 1
-    return (df.filter(known).withColumn("_slot", slot).withColumn("_bucket", F.bitmap_bucket_number("_slot"))
-            .join(F.broadcast(held), "_bucket").filter(is_set).select(*[F.col(f"`{c}`") for c in df.columns]))
+    may = known & F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False))
+    return (df.withColumn("_slot", slot).withColumn("_bucket", F.bitmap_bucket_number("_slot"))
+            .join(F.broadcast(held), "_bucket", how).withColumn("_may", may))
+
+
+def may_match(df: DataFrame, side: DataFrame, keys: Sequence[str], bits: int = FILTER_BITS) -> DataFrame:
+    """The rows of ``df`` whose keys may occur in ``side``: a Bloom filter with one hash, held as bitmaps.
+
+    What is broadcast has a fixed bound, an eighth of ``bits`` in bytes, however many keys there are; the more there are,
+    the less is filtered.  NULL keys match nothing.
+    """
+    return _with_match(df, side, keys, bits, "inner").filter("_may").select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def split_matches(df: DataFrame, side: DataFrame, keys: Sequence[str], bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
+    """The rows that `may_match`, and those that surely do not: only the first need a shuffle to be joined."""
+    marked, columns = _with_match(df, side, keys, bits, "left"), [F.col(f"`{c}`") for c in df.columns]
+    return marked.filter("_may").select(*columns), marked.filter("NOT _may").select(*columns)
 
 
 def join_checked(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "inner", max_rows: int = MAX_ROWS,

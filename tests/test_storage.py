@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fairflow.operators import demographics as demo, fairness, metrics, models, registry, rides
 from fairflow.session import (
-    join_checked, may_match, reused, scratch_path, ship_package, size_checked, stage, staging_scope,
+    join_checked, may_match, reused, scratch_path, ship_package, size_checked, split_matches, stage, staging_scope,
 )
 from fairflow.sources import versions
 from fairflow.sources.catalog import Catalog
@@ -184,6 +184,15 @@ def test_rows_that_cannot_match_go_before_the_shuffle(spark, bits):
     assert kept.count() < 5000 * (0.25 if bits < 1 << 20 else 0.13) and kept.filter("k IS NULL").count() == 0
 
 
+def test_rows_split_by_what_may_match(spark):
+    big = spark.range(3000).select("id", F.struct((F.col("id") % 50).alias("a")).alias("k"))
+    side = spark.range(5).select(F.struct(F.col("id").alias("a")).alias("k"))
+    some, none = split_matches(big, side, ["k"], 1 << 20)
+    assert some.count() == 300 and none.count() == 2700 and none.join(side, "k").count() == 0
+    some, none = split_matches(big, side.limit(0), ["k"])
+    assert some.count() == 0 and none.count() == 3000
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_join_on_both_sides_of_the_bound(spark, how):
     big = spark.range(300).select("id", (F.col("id") % 40).alias("k"))
