@@ -7,13 +7,14 @@ are linked when 100 * |intersection| >= ``percent`` * |union|.
 1. *Signatures.*  Two permutations of the 64-bit numbers generate all coordinates: the first scatters
    the shingles, the second is shifted circularly by k places for coordinate k.  ``BANDS`` bands of
    ``ROWS`` coordinates make a link at the threshold meet with probability 0.99998.
-2. *Classes.*  Documents with equal sets (128-bit digest) are one node, whatever their number.
-3. *Stars.*  In every band bucket each node is compared with the least node of the bucket, on the full
-   sets.  Links found this way are contracted to components.
-4. *The rest.*  A bucket whose nodes are still in several components may hold links that no star has.
-   Buckets that share nodes form a family.  All nodes of a family outside its largest component are
-   compared with all its nodes, block against block, on the full sets, inside tasks: pairs are never
-   rows, and only links that join components come out.  No bucket is capped.
+2. *Classes.*  Documents with equal sets (128-bit digest) are one node, whatever their number.  Half the digest numbers
+   the node; sets that differ in the other half get other numbers.
+3. *Stars.*  In every band bucket each node is compared with the least node of the bucket: on sketches that can
+   exclude a link for certain (`families`), and what is left on the full sets.  Links are contracted to components.
+4. *The rest.*  A bucket with a star that failed may hold links between its other nodes.  These are compared
+   block against block in tasks, bucket by bucket or all nodes of overlapping buckets at once, whichever is less
+   work (`families.hidden_links`): a long chain of overlapping buckets stays as cheap as its buckets.  Only pairs
+   that sketches do not exclude become rows, and are confirmed on the full sets.  No bucket is capped.
 5. Components over all links; the smallest id of each is its document to keep.
 
 Defined results.  NULL or empty text or no word: empty set, linked with nothing, its own component.
@@ -31,41 +32,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ..session import may_match
 from . import repeats
-from .common import LOWER, SPACES, mix, text_blocks, window_hashes, windows_inside, word_hashes, word_spans
+from .common import mix, text_blocks
 from .components import components
+from .families import NAMED_BITS, confirmed, full_sets, hidden_links, labelled, possible, relabelled, shingle_sets
 from .register import query
 from .staging import staged
 
 SHINGLE, PERCENT = 2, 80
 BANDS, ROWS = 28, 5
-BLOCK = 64
-UNIVERSE = 4096
 
 _SHIFT = np.uint64(0xD1B54A32D192ED03)
 _OUTER = np.uint64(0x8CB92BA72F3D8DD7)
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, shingle: int) -> list[np.ndarray]:
-    """The distinct shingle hashes of each text, ascending."""
-    data = LOWER[data]
-    starts, ends, first = word_spans(data, offsets, SPACES)
-    words = word_hashes(data, starts, ends)
-    hashes = window_hashes(words, shingle)
-    at = windows_inside(first, shingle)
-    n = np.diff(first)
-    cuts = np.searchsorted(at, first)
-    hashes = hashes[at]
-    out = []
-    for row, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
-        if 0 < n[row] < shingle:
-            whole = window_hashes(words[first[row]:first[row + 1]], int(n[row]))
-            out.append(mix(whole + np.uint64(n[row])))
-        else:
-            out.append(np.unique(hashes[a:b]))
-    return out
-
-
 def signatures(sets: list[np.ndarray], coordinates: int) -> np.ndarray:
     """One row of coordinates per (not empty) set."""
     begin = np.cumsum([0] + [len(s) for s in sets[:-1]])
@@ -82,7 +63,7 @@ def signatures(sets: list[np.ndarray], coordinates: int) -> np.ndarray:
     return out.T
 
 
-def _sign(shingle: int, bands: int, rows: int):
+def _sign(shingle: int, bands: int, rows: int, number_bits: int = 64):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offsets in text_blocks(batch.column("text"), repeats.BLOCK_BYTES):
@@ -97,7 +78,7 @@ def _sign(shingle: int, bands: int, rows: int):
                     folded = mix(folded ^ np.arange(bands, dtype=np.uint64))
                     for k, row in zip(full, folded.view(np.int64)):
                         digest = hashlib.blake2b(sets[k].tobytes(), digest_size=16).digest()
-                        node[k] = int.from_bytes(digest[:8], "little", signed=True)
+                        node[k] = int.from_bytes(digest[:8], "little", signed=True) >> (64 - number_bits)
                         check[k] = int.from_bytes(digest[8:], "little", signed=True)
                         keys[k] = row
                 yield pa.RecordBatch.from_arrays([
@@ -108,132 +89,44 @@ def _sign(shingle: int, bands: int, rows: int):
     return run
 
 
-def _sets(shingle: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b, data, offsets in text_blocks(batch.column("text"), repeats.BLOCK_BYTES):
-                sets = [s.view(np.int64) for s in shingle_sets(data, offsets, shingle)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("node").slice(a, b - a), pa.array(sets, pa.list_(pa.int64()))], ["node", "set"])
-    return run
-
-
-def _block_links(percent: int):
-    """Links between nodes of different components in one unit (queries against targets)."""
-
-    def overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
-        def flat(sets):
-            return np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-        ex, rx = flat(x)
-        ey, ry = flat(y)
-        shared = np.intersect1d(ex, ey)
-        out = np.zeros((len(x), len(y)), np.float32)
-        at_x, at_y = np.searchsorted(shared, ex), np.searchsorted(shared, ey)
-        at_x[at_x == len(shared)] = 0
-        at_y[at_y == len(shared)] = 0
-        if not len(shared):
-            return out
-        in_x, in_y = shared[at_x] == ex, shared[at_y] == ey
-        at_x, rx, at_y, ry = at_x[in_x], rx[in_x], at_y[in_y], ry[in_y]
-        for low in range(0, len(shared), UNIVERSE):
-            mx, my = np.zeros((len(x), UNIVERSE), np.float32), np.zeros((len(y), UNIVERSE), np.float32)
-            own = (at_x >= low) & (at_x < low + UNIVERSE)
-            mx[rx[own], at_x[own] - low] = 1
-            own = (at_y >= low) & (at_y < low + UNIVERSE)
-            my[ry[own], at_y[own] - low] = 1
-            out += mx @ my.T
-        return out
-
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.select(["asks", "label", "set"]).to_pylist()
-        x, y = [r for r in rows if r["asks"]], [r for r in rows if not r["asks"]]
-        links: list[tuple[int, int]] = []
-        if x and y:
-            sx, sy = ([np.array(r["set"], np.int64) for r in part] for part in (x, y))
-            lx, ly = (np.array([r["label"] for r in part], np.int64) for part in (x, y))
-            nx, ny = (np.array([len(s) for s in part]) for part in (sx, sy))
-            both = overlaps(sx, sy).astype(np.int64)
-            linked = (100 * both >= percent * (nx[:, None] + ny[None, :] - both)) & (lx[:, None] != ly[None, :])
-            parent: dict[int, int] = {}
-
-            def root(v: int) -> int:
-                while parent.setdefault(v, v) != v:
-                    parent[v] = v = parent[parent[v]]
-                return v
-
-            for i, j in np.argwhere(linked).tolist():
-                u, v = root(int(lx[i])), root(int(ly[j]))
-                if u != v:
-                    parent[max(u, v)] = min(u, v)
-                    links.append((int(lx[i]), int(ly[j])))
-        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
-
-    return run
-
-
-def _rest(buckets: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (between component labels) in buckets whose nodes are still in several components."""
-    labelled = staged(buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
-    open_ = (labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-             .filter("x <> y").select("key"))
-    left = staged(labelled.join(open_, "key").select("pivot", "node", "label").distinct())
-    family = components(left.select(F.col("pivot").alias("a"), F.col("node").alias("b")))
-    nodes = staged(left.select("node", "label").distinct()
-                   .join(family.withColumnRenamed("label", "family"), "node")
-                   .select("family", "node", "label"))
-    sizes = nodes.groupBy("family", "label").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy("family").agg(F.max_by("label", F.struct("n", "label")).alias("main"),
-                                       F.sum("n").alias("targets"), F.max("n").alias("largest"))
-    # Nodes outside the largest component ask; all nodes are targets.
-    shape = main.select("family", "main", F.ceil(F.col("targets") / BLOCK).cast("int").alias("target_blocks"),
-                        F.ceil((F.col("targets") - F.col("largest")) / BLOCK).cast("int").alias("ask_blocks"))
-    placed = nodes.join(shape, "family").join(sets, "node")
-    slot = F.xxhash64("node")
-    asking = placed.filter("label <> main").select(
-        "family", F.pmod(slot, "ask_blocks").cast("int").alias("q"),
-        F.explode(F.sequence(F.lit(0), F.col("target_blocks") - 1)).alias("t"), F.lit(True).alias("asks"), "label", "set")
-    asked = placed.select(
-        "family", F.explode(F.sequence(F.lit(0), F.col("ask_blocks") - 1)).alias("q"),
-        F.pmod(slot, "target_blocks").cast("int").alias("t"), F.lit(False).alias("asks"), "label", "set")
-    return (asking.unionByName(asked).groupBy("family", "q", "t")
-            .applyInArrow(_block_links(percent), "a long, b long"))
+def _distinct_sets(signed: DataFrame) -> DataFrame:
+    """Each set once, with the least row that has it, and whether another set has its number too."""
+    return staged(signed.filter("node IS NOT NULL").groupBy("node").agg(
+        F.min("_id").alias("least"), F.min_by("_row", F.struct("_id", "_row")).alias("row"), F.min("check").alias("check"),
+        F.any_value("bands").alias("bands"), (F.min("check") != F.max("check")).alias("clash")))
 
 
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                    percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+                    percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, number_bits: int = 64) -> DataFrame:
     """_id, _row (key of the text), n_shingles, component (``repeats.NO_ID`` for NULL) per row."""
     texts = repeats.keyed(documents, id_col, text_col).select("_id", "_row", "text")
     signed = staged(texts.mapInArrow(
-        _sign(shingle, bands, rows), "_id long, _row long, n long, node long, check long, bands array<long>"))
-    nodes = staged(signed.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min("_id").alias("least"), F.min_by("_row", F.struct("_id", "_row")).alias("row"),
-        F.any_value("bands").alias("bands"), (F.min("check") != F.max("check")).alias("clash")))
-    if not nodes.filter("clash").isEmpty():
-        raise ValueError("two different sets share a 64-bit digest")
+        _sign(shingle, bands, rows, number_bits), "_id long, _row long, n long, node long, check long, bands array<long>"))
+    nodes, turn = _distinct_sets(signed), 0
+    while not nodes.filter("clash").isEmpty():
+        # Different sets with one number: all but the one of the least check get another number.
+        turn += 1
+        twins = nodes.filter("clash").select("node", F.col("check").alias("_least"))
+        other = F.when(F.col("check") != F.col("_least"), F.xxhash64("node", "check", F.lit(turn))).otherwise(F.col("node"))
+        signed = staged(signed.join(twins, "node", "left").withColumn("node", other).drop("_least"))
+        nodes = _distinct_sets(signed)
     keys = nodes.select("node", F.explode("bands").alias("key"))
     pivots = keys.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
     buckets = staged(keys.join(pivots.filter("pivot <> last").select("key", "pivot"), "key"))
-    stars = buckets.filter("node <> pivot").select("node", "pivot").distinct()
+    meets = buckets.filter("node <> pivot").select(F.col("key").alias("run"), "pivot", "node")
+    stars = staged(meets.select("pivot", "node").distinct())
 
     wanted = buckets.select("node").distinct().join(nodes.select("node", "least", "row"), "node")
     wanted = staged(wanted.select("node", F.col("least").alias("_id"), F.col("row").alias("_row")))
-    some, _ = repeats.split(texts, wanted)
     # Repeated rows give one node once.
-    found = some.join(wanted.hint("merge"), ["_id", "_row"]).select("node", "text")
-    sets = staged(found.mapInArrow(_sets(shingle), "node long, set array<long>").dropDuplicates(["node"]))
-
-    both = F.size(F.array_intersect("x", "y"))
-    links = (stars.join(sets.select("node", F.col("set").alias("x")), "node")
-             .join(sets.select(F.col("node").alias("pivot"), F.col("set").alias("y")), "pivot")
-             .filter(100 * both >= percent * (F.size("x") + F.size("y") - both))
-             .select(F.col("node").alias("a"), F.col("pivot").alias("b")))
-    labels = components(links)
-    more = staged(_rest(buckets, labels, sets, percent))
-    joined = components(more).select(F.col("node").alias("label"), F.col("label").alias("whole"))
-    # A component that only the second kind of links has may be a single node without a label.
-    known = labels.unionByName(joined.join(labels, "label", "left_anti").select(F.col("label").alias("node"), "label"))
-    final = known.join(joined, "label", "left").select("node", F.coalesce("whole", "label").alias("label"))
-    placed = staged(final.join(nodes.select("node", "least"), "node"))
+    found = may_match(texts, wanted, ["_id", "_row"], NAMED_BITS).join(wanted.hint("merge"), ["_id", "_row"]).dropDuplicates(["_id", "_row"]).select("node", "text")
+    sets = full_sets(found, shingle, percent)
+
+    labels = staged(components(confirmed(staged(possible(stars, sets, percent)), sets, percent)))
+    failed = staged(labelled(labelled(stars, labels, "node", "x"), labels, "pivot", "y").filter("x <> y"))
+    if not failed.isEmpty():
+        labels = relabelled(labels, staged(hidden_links(meets, failed, labels, sets, percent)))
+    placed = staged(labels.join(nodes.select("node", "least"), "node"))
     least = placed.groupBy("label").agg(F.min("least").alias("component"))
     of_node = nodes.select("node", "least").join(
         placed.join(least, "label").select("node", "component"), "node", "left")

@@ -15,11 +15,12 @@ and 0x09-0x0D, A-Z lower-cased); a shorter text with words is one shingle.  Two
 3. *Meeting.*  Equal sets are one (128-bit digest) and sign once.  Signatures travel packed: a row per batch of documents and
    occupied bucket of the hash space.  A bucket pairs each set of a shared signature with the least one: a
    star, never all pairs.
-4. *Verification.*  Stars are confirmed on the full sets, first one per set, then those whose ends are not yet connected.
-   A signature with a star that failed may hide links between its other sets: these are compared on the full
-   sets, block against block in tasks, either signature by signature or all sets of overlapping
-   signatures at once, whichever is less work.  Sets already in the largest component among them only answer.  Pairs are
-   never rows, nothing is capped, and only links that join components come out.
+4. *Verification.*  Stars pass sketches that can exclude a link for certain (`families`); the others are confirmed on the
+   full sets, first one per set, then those whose ends are not yet connected.
+   A signature with a star that failed may hide links between its other sets: these are compared
+   block against block in tasks, either signature by signature or all sets of overlapping
+   signatures at once, whichever is less work.  Sets already in the largest component among them only answer.
+   Only pairs that sketches do not exclude become rows, and are confirmed on the full sets; nothing is capped.
 5. Connected components; the smallest id of each names it.
 
 Defined results.  NULL or empty text or no word: empty set, linked with nothing, its own component.  Repeated rows
@@ -38,10 +39,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import may_match, split_matches
 from . import repeats
 from .common import mix, pack, pack_sorted, text_blocks, unpack, unpack_sorted
 from .components import components
-from .minhash import _block_links, shingle_sets
+from .families import NAMED_BITS, allowed, confirmed, full_sets, hidden_links, labelled, possible, relabelled, shingle_sets
 from .register import query
 from .staging import staged
 
@@ -51,7 +53,7 @@ SPARE_FROM = 8
 BATCH = 1 << 20
 BATCH_SETS = 1 << 18
 BUCKET = 1 << 20
-BLOCK_SHINGLES = 1 << 16
+REST_BITS = 33
 
 _SUBSETS = [list(c) for c in combinations(range(N2), N2 - K2)]
 _PLACE, _VALUE = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
@@ -68,7 +70,7 @@ def band_ends(percent: int) -> np.ndarray:
 
 def differences(end: np.ndarray, percent: int) -> np.ndarray:
     """In how many shingles two linked sets of sizes up to ``end`` may differ."""
-    return 2 * end * (100 - percent) // (100 + percent)
+    return allowed(2 * end, percent)
 
 
 def signatures(sets: list[np.ndarray], percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
@@ -140,12 +142,12 @@ def _send(shingle: int, percent: int, bits: int, id_type: pa.DataType):
         held, owners, size = [], [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            hashes, owner = np.concatenate(held), np.concatenate(owners)
+            # Leading bits choose the bucket; of the others REST_BITS are enough to tell its signatures apart.
+            hashes, owner = np.concatenate(held) >> np.uint64(64 - bits - REST_BITS), np.concatenate(owners)
             order = np.argsort(hashes)
             hashes, owner = hashes[order], owner[order].astype(np.uint64)
-            top = hashes >> np.uint64(64 - bits) if bits else np.zeros(len(hashes), np.uint64)
-            bucket, first = np.unique(top, return_index=True)
-            rest = hashes & np.uint64((1 << (64 - bits)) - 1)
+            bucket, first = np.unique(hashes >> np.uint64(REST_BITS), return_index=True)
+            rest = hashes & np.uint64((1 << REST_BITS) - 1)
             edges = [*first.tolist(), len(hashes)]
             n = len(bucket)
             columns = [pa.array([None, *bucket.tolist()], pa.int64()), pa.array([number] * (n + 1), pa.int64()),
@@ -209,80 +211,6 @@ def _meet(table: pa.Table) -> pa.Table:
         ["run", "pivot", "node"]).aggregate([])
 
 
-def _sets(shingle: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b, data, offsets in text_blocks(batch.column("text"), repeats.BLOCK_BYTES):
-                sets = [s.view(np.int64) for s in shingle_sets(data, offsets, shingle)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("node").slice(a, b - a), pa.array(sets, pa.list_(pa.int64()))], ["node", "set"])
-    return run
-
-
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (pivot, node) that link, as (a, b)."""
-    both = F.size(F.array_intersect("x", "y"))
-    return (pairs.join(sets.select(F.col("node"), F.col("set").alias("x")), "node")
-            .join(sets.select(F.col("node").alias("pivot"), F.col("set").alias("y")), "pivot")
-            .filter(100 * both >= percent * (F.size("x") + F.size("y") - both))
-            .select(F.col("node").alias("a"), F.col("pivot").alias("b")))
-
-
-def _labelled(df: DataFrame, labels: DataFrame, column: str, out: str) -> DataFrame:
-    """The component of a column of nodes; a node without links is its own."""
-    named = labels.select(F.col("node").alias(column), F.col("label").alias(out))
-    return df.join(named, column, "left").withColumn(out, F.coalesce(out, column))
-
-
-def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Labels after links between labels."""
-    joined = staged(components(links).select(F.col("node").alias("label"), F.col("label").alias("whole")))
-    known = labels.unionByName(joined.join(labels, "label", "left_anti").select(F.col("label").alias("node"), "label"))
-    return staged(known.join(joined, "label", "left").select("node", F.coalesce("whole", "label").alias("label")))
-
-
-def _rest(meets: DataFrame, failed: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (between components) among the sets of signatures with a failed star."""
-    runs = meets.filter("run IS NOT NULL")
-    open_ = runs.join(failed.select("pivot", "node"), ["pivot", "node"], "left_semi").select("run").distinct()
-    rows = staged(runs.join(open_, "run", "left_semi"))
-    # Signatures that hold the same sets are worked on once.
-    alike = rows.groupBy("run").agg(
-        F.min("pivot").alias("pivot"), F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("h1"),
-        F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("h2"))
-    once = staged(alike.groupBy("pivot", "n", "h1", "h2").agg(F.min("run").alias("run")))
-    rows = staged(rows.join(once.select("run"), "run", "left_semi"))
-    family = staged(components(rows.select(F.col("pivot").alias("a"), F.col("node").alias("b")))
-                    .select("node", F.col("label").alias("family")))
-    in_family = family.groupBy("family").agg(F.count(F.lit(1)).cast("double").alias("m"))
-    by_run = once.select("run", F.col("pivot").alias("node"), (F.col("n") + 1).cast("double").alias("m")).join(family, "node")
-    cost = by_run.groupBy("family").agg(F.sum(F.col("m") * F.col("m")).alias("apart")).join(in_family, "family")
-    together = staged(cost.select("family", (F.col("m") * F.col("m") <= F.col("apart")).alias("together")))
-    members = rows.select("run", "node").unionByName(once.select("run", F.col("pivot").alias("node")))
-    members = members.join(family, "node").join(together, "family")
-    unit = F.when(F.col("together"), F.struct(F.lit(0).alias("kind"), F.col("family").alias("of"))).otherwise(
-        F.struct(F.lit(1).alias("kind"), F.col("run").alias("of")))
-    nodes = staged(_labelled(members.select(unit.alias("unit"), "node").distinct(), labels, "node", "label"))
-    # Sets of one component only: nothing to find.
-    sized = nodes.join(sets.select("node", F.size("set").cast("long").alias("n")), "node")
-    by_label = sized.groupBy("unit", "label").agg(F.sum("n").alias("n"))
-    shape = by_label.groupBy("unit").agg(
-        F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"),
-        F.count(F.lit(1)).alias("labels")).filter("labels > 1").select(
-        "unit", "main", F.ceil(F.col("all") / BLOCK_SHINGLES).cast("int").alias("target_blocks"),
-        F.ceil((F.col("all") - F.col("most")) / BLOCK_SHINGLES).cast("int").alias("ask_blocks"))
-    placed = nodes.join(shape, "unit").join(sets, "node")
-    slot = F.xxhash64("node")
-    asking = placed.filter("label <> main").select(
-        "unit", F.pmod(slot, "ask_blocks").cast("int").alias("q"),
-        F.explode(F.sequence(F.lit(0), F.col("target_blocks") - 1)).alias("t"), F.lit(True).alias("asks"), "label", "set")
-    asked = placed.select(
-        "unit", F.explode(F.sequence(F.lit(0), F.col("ask_blocks") - 1)).alias("q"),
-        F.pmod(slot, "target_blocks").cast("int").alias("t"), F.lit(False).alias("asks"), "label", "set")
-    return (asking.unionByName(asked).groupBy("unit", "q", "t")
-            .applyInArrow(_block_links(percent), "a long, b long"))
-
-
 def jaccard_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                    percent: int = PERCENT) -> DataFrame:
     """The id, n_shingles and component_id of every row."""
@@ -301,11 +229,11 @@ def jaccard_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str =
         F.min(F.struct("_id", "_row")).alias("least"), F.count(F.lit(1)).alias("copies")).filter("copies > 1").drop("copies"))
     others = staged(digests.join(copied.hint("merge"), ["d1", "d2"]).filter(F.struct("_id", "_row") != F.col("least"))
                     .select("_id", "_row").distinct())
-    some, none = repeats.split(texts, others)
+    some, none = split_matches(texts, others, ["_id", "_row"], NAMED_BITS)
     signing = some.join(others.hint("merge"), ["_id", "_row"], "left_anti").select("_id", "_row", "text").unionByName(
         none.select("_id", "_row", "text"))
     shingles = digests.agg(F.sum("n")).first()[0] or 0
-    bits = max(0, (-(-shingles // BUCKET) - 1).bit_length())
+    bits = min(64 - REST_BITS, max(0, (-(-shingles // BUCKET) - 1).bit_length()))
     sent = signing.mapInArrow(
         _send(shingle, percent, bits, arrow_kind),
         f"bucket long, batch long, hashes binary, owners binary, ids array<{kind}>, " + ", ".join(f"{c} array<long>" for c in PLACE))
@@ -325,31 +253,24 @@ def jaccard_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str =
             "run", F.coalesce("to", "pivot").alias("pivot"), "node")
         meets = staged(meets.filter("pivot <> node").distinct())
         places = places.join(again.select("node"), "node", "left_anti")
-    size = places.select("node", "n")
-    stars = (meets.select("pivot", "node").distinct().join(size, "node")
-             .join(size.select(F.col("node").alias("pivot"), F.col("n").alias("m")), "pivot")
-             .filter(100 * F.least("n", "m") >= percent * F.greatest("n", "m")).select("pivot", "node"))
-    stars = staged(stars)
-    all_stars = staged(meets.select("pivot", "node").distinct())
-
-    taking_part = all_stars.select("node").union(all_stars.select("pivot")).distinct()
+    stars = staged(meets.select("pivot", "node").distinct())
+    taking_part = stars.select("node").union(stars.select("pivot")).distinct()
     wanted = staged(places.join(taking_part, "node", "left_semi").select("node", "_id", "_row"))
-    some, _ = repeats.split(texts, wanted)
-    found = some.join(wanted.hint("merge"), ["_id", "_row"]).select("node", "text")
-    sets = staged(found.mapInArrow(_sets(shingle), "node long, set array<long>").dropDuplicates(["node"]))
-
-    one_each = stars.groupBy("node").agg(F.min("pivot").alias("pivot"))
-    links = staged(_confirmed(one_each.select("pivot", "node"), sets, percent))
-    labels = staged(components(links))
-    open_stars = staged(_labelled(_labelled(stars.join(one_each, ["pivot", "node"], "left_anti"), labels, "node", "x"), labels, "pivot", "y")
+    found = may_match(texts, wanted, ["_id", "_row"], NAMED_BITS).join(wanted.hint("merge"), ["_id", "_row"]).dropDuplicates(["_id", "_row"]).select("node", "text")
+    sets = full_sets(found, shingle, percent)
+
+    likely = staged(possible(stars, sets, percent))
+    one_each = staged(likely.groupBy("node").agg(F.min("pivot").alias("pivot")).select("pivot", "node"))
+    labels = staged(components(confirmed(one_each, sets, percent)))
+    open_stars = staged(labelled(labelled(likely.join(one_each, ["pivot", "node"], "left_anti"), labels, "node", "x"), labels, "pivot", "y")
                         .filter("x <> y").select("pivot", "node"))
     if not open_stars.isEmpty():
-        more = staged(_confirmed(open_stars, sets, percent))
-        between = _labelled(_labelled(more.select(F.col("a").alias("node"), F.col("b").alias("pivot")), labels, "node", "x"), labels, "pivot", "y")
-        labels = _relabelled(labels, between.select(F.col("x").alias("a"), F.col("y").alias("b")))
-    failed = staged(_labelled(_labelled(all_stars, labels, "node", "x"), labels, "pivot", "y").filter("x <> y"))
+        more = staged(confirmed(open_stars, sets, percent))
+        between = labelled(labelled(more.select(F.col("a").alias("node"), F.col("b").alias("pivot")), labels, "node", "x"), labels, "pivot", "y")
+        labels = relabelled(labels, between.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    failed = staged(labelled(labelled(stars, labels, "node", "x"), labels, "pivot", "y").filter("x <> y"))
     if not failed.isEmpty():
-        labels = _relabelled(labels, staged(_rest(meets, failed, labels, sets, percent)))
+        labels = relabelled(labels, staged(hidden_links(meets, failed, labels, sets, percent)))
 
     linked = staged(labels.join(places, "node"))
     least = linked.groupBy("label").agg(F.min("_id").alias("component"))

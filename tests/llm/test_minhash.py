@@ -4,7 +4,7 @@ import brute
 import numpy as np
 import pytest
 
-from fairflow.llm import minhash
+from fairflow.llm import families, minhash
 from fairflow.llm.components import components
 from pyspark.sql import functions as F
 
@@ -39,14 +39,28 @@ def family(seed, n, words=60):
     return out
 
 
-@pytest.mark.parametrize("block", [3, 512])
+@pytest.mark.parametrize("block", [200, 1 << 18])
 def test_families_around_the_threshold(spark, make, monkeypatch, block):
-    monkeypatch.setattr(minhash, "BLOCK", block)
-    monkeypatch.setattr(minhash, "UNIVERSE", 50)
+    monkeypatch.setattr(families, "BLOCK_SHINGLES", block)
     rows = [(100 - k, t) for k, t in enumerate(family(1, 50) + family(2, 12) + family(3, 3))]
     assert got(spark, make(rows)) == want(rows)
 
 
+def test_different_sets_with_one_number(spark, make):
+    """Numbers of three bits: most sets share theirs with others."""
+    rows = [(k, t) for k, t in enumerate(family(1, 12) + family(2, 5) + [f"one two three {k} five six" for k in range(20)])]
+    rows += [(100 + k, t) for k, t in rows[::4]]
+    assert got(spark, make(rows), number_bits=3) == want(rows)
+
+
+def test_a_chain_of_templates(spark, make):
+    """Texts half of which the next one shares: buckets overlap all along, few link."""
+    r = random.Random(9)
+    parts = [" ".join(f"p{k}w{r.randrange(10 ** 6)}" for _ in range(25)) for k in range(60)]
+    rows = [(k, f"{parts[k]} {parts[k + 1]} {parts[k]}") for k in range(59)] + [(70 + k, f"{parts[k]} {parts[k + 1]} {parts[k]} z{k}") for k in range(0, 59, 7)]
+    assert got(spark, make(rows)) == want(rows)
+
+
 def test_edges(spark, make):
     text = " ".join(f"a{k}" for k in range(50))
     rows = [(5, text), (3, text.upper()), (None, text + " z"), (None, "only"), (7, None), (8, ""), (9, " \t"), (1, "Only"),

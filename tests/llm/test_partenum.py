@@ -4,7 +4,7 @@ import brute
 import numpy as np
 import pytest
 
-from fairflow.llm import partenum
+from fairflow.llm import families, partenum
 
 LINE = "all rights reserved by the holders of this text and no part of it may be copied without leave"
 
@@ -80,9 +80,9 @@ def test_whole_table(spark, texts, make):
     assert got(make(rows, 5)) == want(rows)
 
 
-@pytest.mark.parametrize("block", [100, 1 << 16])
+@pytest.mark.parametrize("block", [100, 1 << 18])
 def test_families_around_the_threshold(spark, make, monkeypatch, block):
-    monkeypatch.setattr(partenum, "BLOCK_SHINGLES", block)
+    monkeypatch.setattr(families, "BLOCK_SHINGLES", block)
     rows = [(200 - k, t) for k, t in enumerate(family(1, 50) + family(2, 30, 40) + family(3, 3) + family(4, 40, 200, 20))]
     assert got(make(rows)) == want(rows)
 
@@ -130,3 +130,24 @@ def test_text_ids_and_empty_tables(spark, make):
 def test_result_does_not_depend_on_partitions(spark, make):
     rows = [(k, t) for k, t in enumerate(family(7, 25))]
     assert got(make(rows, 1)) == got(make(rows, 11))
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_sketches_never_exclude_a_link(percent):
+    """Sketches differ in no more slots than the sets in shingles; most pairs below the threshold are excluded."""
+    r = np.random.default_rng(percent)
+    excluded = []
+    for _ in range(600):
+        size = int(r.choice([3, 8, 20, 60, 250, 1200]))
+        whole = np.unique(r.integers(0, 1 << 63, 3 * size, dtype=np.int64)).astype(np.uint64)
+        r.shuffle(whole)
+        gone, more = int(r.integers(0, size // 3 + 1)), int(r.integers(0, size // 3 + 1))
+        a, b = whole[:size], np.concatenate([whole[gone:size], whole[size:size + more]])
+        x, y = families.sketch(a, percent), families.sketch(b, percent)
+        slots = min(len(x), len(y))
+        differ = np.count_nonzero(families.folded(x, slots) != families.folded(y, slots))
+        assert differ <= gone + more
+        both = size - gone
+        if 100 * both < (percent - 8) * (size + more) and size >= 60:
+            excluded.append(differ > families.allowed(len(a) + len(b), percent))
+    assert len(excluded) > 50 and np.mean(excluded) > 0.95
