@@ -4,8 +4,16 @@ Each document gets a few counts; each count becomes an integer measure.  Per (la
 quantile sketch of every measure is kept: numbers below 128 as they are, larger ones with their
 leading seven bits, and how many documents fall on each.  Sketches merge by adding counts, so tasks,
 groups and levels combine in any order with the same result, and a quantile is off by 1/64 at most.
-A measure beyond Tukey's far fence of its group (three times the quartile range beyond the quartile,
-the range taken as ``FLOOR`` at least) fails.  Groups of fewer than ``MIN_ROWS`` documents take the
+Measures are compared to thresholds at that resolution.
+All thresholds are quantiles of these sketches, and move with their group (``MEASURES``):
+
+* word length and symbols fail beyond a fence, the upper quartile plus ``FENCE`` times its distance to the lower one (word
+  length, which also fails that far below the lower quartile) or to the median (symbols, of which most documents have none);
+  where the distance is nothing, one step of the measure stands for it;
+* repeated lines and words, which ordinary documents have too, fail above the quantile of 99 in 100: the
+  rarest hundredth of the group.
+
+Groups of fewer than ``MIN_ROWS`` documents take the
 merged sketch of their language, or of all documents.  The thresholds join the documents by group.
 
 Words are runs of characters other than space and 0x09-0x0D.
@@ -36,12 +44,13 @@ COUNTS = "n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lin
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 
-#: measure: (integer expression, least quartile range, whether small values fail too)
+#: measure: (integer expression, level of the upper quantile and of the one it is compared to, in hundredths, times
+#: their distance, whether small values fail too)
 MEASURES = {
-    "word_length": ("100 * word_chars div n_words", 50, True),
-    "symbols": ("10000 * n_symbols div word_chars", 100, False),
-    "dup_lines": ("10000 * n_dup_lines div n_lines", 1700, False),
-    "repeat_words": ("10000 * n_repeat_words div n_words", 1000, False),
+    "word_length": ("100 * word_chars div n_words", 75, 25, FENCE, True),
+    "symbols": ("100 * n_symbols div word_chars", 75, 50, FENCE, False),
+    "dup_lines": ("10000 * n_dup_lines div n_lines", 99, 50, 0, False),
+    "repeat_words": ("10000 * n_repeat_words div n_words", 99, 50, 0, False),
 }
 
 
@@ -120,28 +129,32 @@ def base_failed() -> Column:
 def sketches(counts: DataFrame) -> DataFrame:
     """(lang, source, measure, point, n) over documents that pass the base rules."""
     values = F.array(*[F.struct(F.lit(m).alias("measure"), F.expr(e).cast("long").alias("value"))
-                       for m, (e, _, _) in MEASURES.items()])
+                       for m, (e, *_) in MEASURES.items()])
     return (counts.filter(~base_failed()).select("lang", "source", F.inline(values))
             .withColumn("point", sketch_point("value"))
             .groupBy("lang", "source", "measure", "point").agg(F.count(F.lit(1)).alias("n")))
 
 
-def quartiles(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """rows, q1 and q3 of each group and measure, from merged sketches (some thousand points at most)."""
+def quantiles(sketch: DataFrame, by: list[str]) -> DataFrame:
+    """rows and the quantiles ``low`` and ``high`` of each group and measure, from merged sketches (some
+    thousand points at most)."""
     merged = sketch.groupBy(*by, "measure", "point").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*by, "measure")
     ranked = merged.withColumns({"upto": F.sum("n").over(group.orderBy("point")), "rows": F.sum("n").over(group)})
-    return ranked.groupBy(*by, "measure").agg(
-        F.max("rows").alias("rows"),
-        F.min(F.when(4 * F.col("upto") >= F.col("rows"), F.col("point"))).alias("q1"),
-        F.min(F.when(4 * F.col("upto") >= 3 * F.col("rows"), F.col("point"))).alias("q3"))
+    levels = F.create_map(*[F.lit(x) for m, (_, high, low, *_) in MEASURES.items() for x in (f"{m} high", high, f"{m} low", low)])
+
+    def at(which: str) -> Column:
+        level = levels[F.concat("measure", F.lit(f" {which}"))]
+        return F.min(F.when(100 * F.col("upto") >= level * F.col("rows"), F.col("point"))).alias(which)
+
+    return ranked.groupBy(*by, "measure").agg(F.max("rows").alias("rows"), at("low"), at("high"))
 
 
 def thresholds(counts: DataFrame) -> DataFrame:
     """(lang, source, measure -> lowest and highest passing value) of every group, as one row each."""
     sketch = staged(sketches(counts))
-    own = quartiles(sketch, ["lang", "source"])
-    language, everything = quartiles(sketch, ["lang"]), quartiles(sketch, [])
+    own = quantiles(sketch, ["lang", "source"])
+    language, everything = quantiles(sketch, ["lang"]), quantiles(sketch, [])
     up = lambda df, mark: df.select(*[F.col(c).alias(f"{mark}_{c}") for c in df.columns])
     joined = (own.join(up(language, "l"), F.col("lang").eqNullSafe(F.col("l_lang"))
                        & (F.col("measure") == F.col("l_measure")))
@@ -151,14 +164,14 @@ def thresholds(counts: DataFrame) -> DataFrame:
         return (F.when(F.col("rows") >= MIN_ROWS, F.col(c))
                 .when(F.col("l_rows") >= MIN_ROWS, F.col(f"l_{c}")).otherwise(F.col(f"e_{c}")))
 
-    fenced = joined.select("lang", "source", "measure", level("q1").alias("q1"), level("q3").alias("q3"))
+    fenced = joined.select("lang", "source", "measure", level("low").alias("low"), level("high").alias("high"))
     columns = []
-    for m, (_, floor, both) in MEASURES.items():
+    for m, (_, _, _, times, both) in MEASURES.items():
         here = F.col("measure") == m
-        reach = FENCE * F.greatest(F.col("q3") - F.col("q1"), F.lit(floor))
-        columns.append(F.max(F.when(here, F.col("q3") + reach)).alias(f"{m}_high"))
+        reach = times * F.greatest(F.col("high") - F.col("low"), F.lit(1))
+        columns.append(F.max(F.when(here, F.col("high") + reach)).alias(f"{m}_high"))
         if both:
-            columns.append(F.max(F.when(here, F.col("q1") - reach)).alias(f"{m}_low"))
+            columns.append(F.max(F.when(here, F.col("low") - reach)).alias(f"{m}_low"))
     return fenced.groupBy("lang", "source").agg(*columns)
 
 
@@ -167,8 +180,8 @@ def judge(counts: DataFrame, limits: DataFrame) -> DataFrame:
     limits = limits.withColumnsRenamed({"lang": "_lang", "source": "_source"})
     joined = counts.join(limits, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
     passes = F.lit(True)
-    for m, (expression, _, both) in MEASURES.items():
-        value = F.expr(expression)
+    for m, (expression, *_, both) in MEASURES.items():
+        value = sketch_point(f"({expression})")
         passes = passes & (value <= F.col(f"{m}_high"))
         if both:
             passes = passes & (value >= F.col(f"{m}_low"))
@@ -203,20 +216,16 @@ def quality_filter(documents: DataFrame, text_col: str = "text", lang_col: str =
 
 
 def _level_sql(name: str, by: str) -> str:
-    """Quartiles of merged sketches."""
+    """Quantiles of merged sketches."""
     keys = f"{by}, measure" if by else "measure"
-    return f"""{name} AS (SELECT {keys}, max(total) AS rows, min(point) FILTER (4 * upto >= total) AS q1,
- min(point) FILTER (4 * upto >= 3 * total) AS q3 FROM (SELECT *, sum(n) OVER (PARTITION BY {keys} ORDER BY point) AS upto,
+    return f"""{name} AS (SELECT {keys}, max(total) AS rows,
+ min(point) FILTER (100 * upto >= CASE measure WHEN 'word_length' THEN 25 ELSE 50 END * total) AS low,
+ min(point) FILTER (100 * upto >= CASE WHEN measure IN ('word_length', 'symbols') THEN 75 ELSE 99 END * total) AS high
+ FROM (SELECT *, sum(n) OVER (PARTITION BY {keys} ORDER BY point) AS upto,
  sum(n) OVER (PARTITION BY {keys}) AS total FROM (SELECT {keys}, point, sum(n) AS n FROM sketch GROUP BY ALL)) GROUP BY ALL)"""
 
 
 def _sql() -> str:
-    passes, values = [], []
-    for m, (expression, floor, both) in MEASURES.items():
-        sql = expression.replace(" div ", " // ")
-        values.append(f"SELECT doc_id, lang, source, '{m}' AS measure, {sql} AS v FROM good")
-        low = f" AND v >= q1 - {FENCE} * greatest(q3 - q1, {floor})" if both else ""
-        passes.append(f"WHEN '{m}' THEN v <= q3 + {FENCE} * greatest(q3 - q1, {floor}){low}")
     return f"""
 WITH d AS MATERIALIZED (SELECT doc_id, lang, source, coalesce(text, '') AS t,
  regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
@@ -229,19 +238,22 @@ counts AS MATERIALIZED (SELECT doc_id, lang, source, len(w)::BIGINT AS n_words,
  (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, coalesce(n_lines, 0)::BIGINT AS n_lines,
  coalesce(n_dup, 0)::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
  FROM d LEFT JOIN again USING (doc_id) LEFT JOIN lines USING (doc_id)),
-judged AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts),
 good AS (SELECT * FROM judged WHERE NOT base_failed),
-measured AS MATERIALIZED ({" UNION ALL ".join(values)}),
-sketch AS MATERIALIZED (SELECT lang, source, measure, CASE WHEN v < 128 THEN v
- ELSE (v >> (len(bin(v)) - 7)::INTEGER) << (len(bin(v)) - 7)::INTEGER END AS point, count(*) AS n FROM measured GROUP BY ALL),
+measured AS MATERIALIZED (SELECT doc_id, lang, source, measure, CASE WHEN v < 128 THEN v
+ ELSE (v >> (len(bin(v)) - 7)::INTEGER) << (len(bin(v)) - 7)::INTEGER END AS v FROM (SELECT doc_id, lang, source, unnest(['word_length', 'symbols', 'dup_lines', 'repeat_words']) AS measure,
+ unnest([100 * word_chars // n_words, 100 * n_symbols // word_chars, 10000 * n_dup_lines // n_lines, 10000 * n_repeat_words // n_words])
+ AS v FROM good)),
+sketch AS MATERIALIZED (SELECT lang, source, measure, v AS point, count(*) AS n FROM measured GROUP BY ALL),
 {_level_sql("own", "lang, source")},
 {_level_sql("language", "lang")},
 {_level_sql("everything", "")},
 fences AS (SELECT o.lang, o.source, o.measure,
- CASE WHEN o.rows >= {MIN_ROWS} THEN o.q1 WHEN l.rows >= {MIN_ROWS} THEN l.q1 ELSE e.q1 END AS q1,
- CASE WHEN o.rows >= {MIN_ROWS} THEN o.q3 WHEN l.rows >= {MIN_ROWS} THEN l.q3 ELSE e.q3 END AS q3
+ CASE WHEN o.rows >= 100 THEN o.low WHEN l.rows >= 100 THEN l.low ELSE e.low END AS low,
+ CASE WHEN o.rows >= 100 THEN o.high WHEN l.rows >= 100 THEN l.high ELSE e.high END AS high
  FROM own o JOIN language l ON o.lang IS NOT DISTINCT FROM l.lang AND o.measure = l.measure JOIN everything e ON o.measure = e.measure),
-passed AS (SELECT m.doc_id, bool_and(CASE m.measure {" ".join(passes)} END) AS ok FROM measured m JOIN fences f
+passed AS (SELECT m.doc_id, bool_and(CASE m.measure WHEN 'word_length' THEN v BETWEEN low - 3 * greatest(high - low, 1)
+  AND high + 3 * greatest(high - low, 1) WHEN 'symbols' THEN v <= high + 3 * greatest(high - low, 1) ELSE v <= high END) AS ok FROM measured m JOIN fences f
  ON m.lang IS NOT DISTINCT FROM f.lang AND m.source IS NOT DISTINCT FROM f.source AND m.measure = f.measure GROUP BY 1)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, coalesce(ok, false) AS kept
 FROM judged LEFT JOIN passed USING (doc_id)"""

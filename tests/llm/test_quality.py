@@ -20,7 +20,7 @@ def want(rows):
         return v if v < 128 else v >> (v.bit_length() - 7) << (v.bit_length() - 7)
 
     def measures(c):
-        return (100 * c[1] // c[0], 10000 * c[2] // c[1], 10000 * c[4] // c[3], 10000 * c[5] // c[0])
+        return (100 * c[1] // c[0], 100 * c[2] // c[1], 10000 * c[4] // c[3], 10000 * c[5] // c[0])
 
     counted = [(r, brute.counts(r[1])) for r in rows]
     good = [(r, measures(c)) for r, c in counted if not base(c)]
@@ -31,11 +31,16 @@ def want(rows):
             for group in ([m for g, m in good if g[2:] == r[2:]], [m for g, m in good if g[2] == r[2]], [m for _, m in good]):
                 if len(group) >= quality.MIN_ROWS:
                     break
-            for k, (floor, both) in enumerate([(50, True), (100, False), (1700, False), (1000, False)]):
+            for k, v in enumerate(map(point, measures(c))):
                 ordered = sorted(point(m[k]) for m in group)
-                q1, q3 = ordered[-(-len(ordered) // 4) - 1], ordered[-(-3 * len(ordered) // 4) - 1]
-                reach, v = 3 * max(q3 - q1, floor), measures(c)[k]
-                kept &= v <= q3 + reach and (not both or v >= q1 - reach)
+                at = lambda hundredths: ordered[-(-hundredths * len(ordered) // 100) - 1]  # noqa: B023, E731
+                if k == 0:
+                    reach = 3 * max(at(75) - at(25), 1)
+                    kept &= at(25) - reach <= v <= at(75) + reach
+                elif k == 1:
+                    kept &= v <= at(75) + 3 * max(at(75) - at(50), 1)
+                else:
+                    kept &= v <= at(99)
         out.append(repr((r[0], c[0], c[1], c[2], c[4], c[5], base(c), kept)))
     return sorted(out)
 
@@ -58,7 +63,22 @@ def test_agrees_with_labels(spark):
     rows = judged.join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").filter("NOT base_failed").groupBy("quality").agg(
         F.avg(F.col("kept").cast("int")).alias("kept")).collect()
     share = {r.quality: r.kept for r in rows}
-    assert share[1] > 0.99 and share[0] < 0.05
+    assert share[1] > 0.98 and share[0] < 0.01
+
+
+def test_thresholds_move_with_their_group(make):
+    """The same texts pass in a source where they are usual and fail in one where they are not."""
+    def text(k, symbols, words=100):
+        return " ".join(["###"] * symbols + [f"w{k}x{j * j}" for j in range(words)])
+
+    rows = [(k, text(k, 12 + k % 5), "en", "code") for k in range(150)] + [(200 + k, text(k, 0), "en", "prose") for k in range(150)]
+    rows += [(400, text(0, 16), "en", "code"), (401, text(0, 16), "en", "prose"), (402, text(0, 80), "en", "code")]
+    df = make(rows)
+    kept = {r.doc_id: r.kept for r in quality.quality(df).collect()}
+    assert kept[400] and not kept[401] and not kept[402] and all(kept[k] for k in range(150))
+    counts = quality._counted(df, "text", "lang", "source", ["doc_id", "lang", "source"])
+    high = {r.source: r.symbols_high for r in quality.thresholds(counts).collect()}
+    assert high["code"] > high["prose"] > 0
 
 
 def test_counts_of_odd_texts():
