@@ -144,7 +144,7 @@ def mix(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
 
 
 def _sql() -> str:
-    """The same fit in SQL: each round and dimension is one step over the cells."""
+    """The same bounded fit in SQL: each round and dimension is one step over the cells."""
     steps = ["""WITH d AS MATERIALIZED (SELECT doc_id, source, lang, coalesce(text, '') AS t,
   CASE WHEN contains(coalesce(text, ''), ' | ') THEN 'table' WHEN contains(coalesce(text, ''), '%%%') THEN 'symbols'
        WHEN contains(coalesce(text, ''), 'License') OR contains(coalesce(text, ''), 'icensed under') THEN 'licence'
@@ -152,29 +152,39 @@ def _sql() -> str:
   CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS tokens FROM documents)""",
              "w0 AS MATERIALIZED (SELECT source, lang, topic, CAST(sum(tokens) AS BIGINT) AS tokens, 1e0 AS weight FROM d GROUP BY ALL)"]
     raw = {"source": "pow(CAST(sum(tokens) AS DOUBLE), 0.5e0)", "topic": "pow(CAST(sum(tokens) AS DOUBLE), 0.7e0)",
-           "lang": "CASE lang WHEN 'en' THEN 0.55e0 WHEN 'de' THEN 0.15e0 WHEN 'fr' THEN 0.15e0 WHEN 'es' THEN 0.15e0 ELSE 0e0 END"}
+           "lang": "CASE lang WHEN 'en' THEN 0.55e0 WHEN 'de' THEN 0.15e0 WHEN 'fr' THEN 0.15e0 WHEN 'es' THEN 0.15e0 ELSE sum(tokens) / (SELECT whole FROM total) END"}
+    steps.append("total AS MATERIALIZED (SELECT CAST(sum(tokens) AS DOUBLE) AS whole FROM w0)")
     for c in DIMENSIONS:
-        steps.append(f"s_{c} AS MATERIALIZED (SELECT {c}, raw / sum(raw) OVER () AS share FROM (SELECT {c}, {raw[c]} AS raw FROM w0 GROUP BY {c}))")
-    n = 0
-    for _ in range(ROUNDS):
-        for c in DIMENSIONS:
-            steps.append(f"""w{n + 1} AS MATERIALIZED (SELECT w.source, w.lang, w.topic, w.tokens, w.weight * s.share * (SELECT sum(tokens) FROM w0)
-  / sum(w.tokens * w.weight) OVER (PARTITION BY w.{c}) AS weight FROM w{n} w JOIN s_{c} s ON w.{c} IS NOT DISTINCT FROM s.{c})""")
-            n += 1
-    head = ",\n".join(steps)
-    last = ROUNDS * len(DIMENSIONS)
-    return head + f"""
+        steps.append(f"""s_{c} AS MATERIALIZED (SELECT {c}, raw / sum(raw) OVER () AS share, CASE WHEN tokens > 0 THEN
+  tokens / nullif(raw / sum(raw) OVER () * (SELECT whole FROM total), 0) END AS most FROM (SELECT {c}, {raw[c]} AS raw, sum(tokens) AS tokens FROM w0 GROUP BY {c}))""")
+    limits = " UNION ALL ".join(f"SELECT most FROM s_{c}" for c in DIMENSIONS)
+    steps.append(f"bound AS MATERIALIZED (SELECT least(0.5e0, min(most)) AS keep FROM ({limits}))")
+
+    def fitted(n: int, rounds: int, bound: str) -> int:
+        for _ in range(rounds):
+            for c in DIMENSIONS:
+                steps.append(f"""w{n + 1} AS MATERIALIZED (SELECT source, lang, topic, tokens, {bound.format(f"""weight * CASE WHEN mass > 0
+  THEN share * (SELECT whole FROM total) / mass WHEN share > 0 THEN 1e0 ELSE 0e0 END""")} AS weight
+  FROM (SELECT w.*, s.share, sum(w.tokens * w.weight) OVER (PARTITION BY w.{c}) AS mass FROM w{n} w JOIN s_{c} s ON w.{c} IS NOT DISTINCT FROM s.{c}))""")
+                n += 1
+        return n
+
+    bounded = "least({}, 1 / (SELECT keep FROM bound))"
+    free = fitted(0, ROUNDS, "{}")
+    steps.append(f"w{free + 1} AS MATERIALIZED (SELECT source, lang, topic, tokens, {bounded.format('weight')} AS weight FROM w{free})")
+    last = fitted(free + 1, BOUNDED_ROUNDS, bounded)
+    return ",\n".join(steps) + f"""
 SELECT d.doc_id, d.source, d.lang, d.topic, d.tokens, round(w.weight, 6) + 0.0 AS weight,
-  round(least(1e0, {KEEP}e0 * w.weight), 6) + 0.0 AS probability
-FROM d JOIN w{last} w ON d.source IS NOT DISTINCT FROM w.source AND d.lang IS NOT DISTINCT FROM w.lang AND d.topic = w.topic
+  round(least(1e0, keep * w.weight), 6) + 0.0 AS probability
+FROM bound, d JOIN w{last} w ON d.source IS NOT DISTINCT FROM w.source AND d.lang IS NOT DISTINCT FROM w.lang AND d.topic = w.topic
 WHERE CAST('0x' || substr(md5(concat_ws(':', CAST(d.doc_id AS VARCHAR), md5(d.t), '{SEED}')), 1, 8) AS BIGINT) / 4294967296e0
-  < least(1e0, {KEEP}e0 * w.weight)"""
+  < least(1e0, keep * w.weight)"""
 
 
 @query("op4_mixing", sql=_sql())
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source", "lang")
-    held = with_probability(documents, mode="strict")  # as its SQL
+    held = with_probability(documents)
     return held.filter(drawn(F.col("row.doc_id"), F.col("row.text")) < F.col("probability")).select(
         "row.doc_id", "cell.*", "tokens", (F.round("weight", 6) + F.lit(0.0)).alias("weight"),
         (F.round("probability", 6) + F.lit(0.0)).alias("probability"))
