@@ -14,7 +14,8 @@ nothing and is not read.  A logistic regression on the evidence, and nothing els
 
 What is learned, from at most ``PER_CLASS`` documents of each label outside the held-out fold: the
 insult words and word beginnings (log-odds over documents, ``TERMS`` at most) and the weights of the
-regression.  Near copies in the sample count once.  Cue words of the other classes are short fixed
+regression.  Near copies of one label in the sample (those that share ``COPY_HASHES`` min-hashes) count once, as the row of the
+smallest id.  Cue words of the other classes are short fixed
 lists in the four languages of the tables.
 
 Defined results.  NULL and empty texts have no evidence and get the score of that.  Without labelled
@@ -38,6 +39,7 @@ from .staging import staged
 
 PER_CLASS = 3000
 TERMS = 500
+COPY_HASHES = 3
 LEAST_DOCUMENTS = 4
 LEAST_WEIGHT = 2.5
 PREFIXES = (4, 5, 6)
@@ -233,9 +235,12 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     words = F.array_distinct(F.split(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"),
                                      r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
     rows = rows.withColumn("words", F.filter(words, lambda w: w != ""))
-    # Near copies mostly share the least hash of their pairs of neighbouring words.
+    rows = rows.filter(F.size("words") > 0).withColumn("key", F.xxhash64("text"))
+    # Near copies of one label mostly share the least hashes of their pairs of neighbouring words; the smallest id stays.
     pairs = F.zip_with("words", F.slice("words", 2, F.greatest(F.size("words"), F.lit(1))), lambda a, b: F.xxhash64(a, b))
-    rows = rows.filter(F.size("words") > 0).withColumn("copy", F.array_min(pairs)).dropDuplicates(["copy"]).drop("copy")
+    least = [F.coalesce(F.array_min(F.transform(pairs, lambda p: F.xxhash64(p, F.lit(k)))), F.col("key")) for k in range(COPY_HASHES)]
+    rows = rows.groupBy("label", *[c.alias(f"copy{k}") for k, c in enumerate(least)]).agg(
+        F.min(F.struct("id", "key", "text", "words")).alias("row")).select("label", "row.*")
     rows = staged(rows)
     totals = {r.label: r.n for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not totals.get(0) or not totals.get(1):
@@ -251,8 +256,9 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     best = (counted.withColumn("weight", weight).filter((F.col("p") >= LEAST_DOCUMENTS) & (F.col("weight") >= LEAST_WEIGHT))
             .orderBy(F.desc(F.col("weight") * F.col("p")), "term", "beginning").limit(TERMS).collect())
     lexicon = make_lexicon({(r.term, r.beginning): float(r.weight) for r in best})
-    kept = staged(rows.select("id", "label", "text").mapInArrow(
-        _evidence_rows(lexicon), "id long, label int, x array<double>")).toPandas().sort_values("id")
+    # In an order that does not depend on how the rows lie.
+    kept = staged(rows.select("id", "key", "label", "text").mapInArrow(
+        _evidence_rows(lexicon), "id long, key long, label int, x array<double>")).toPandas().sort_values(["id", "key"])
     x = np.array(kept["x"].tolist())
     return Model(lexicon, *fit_logistic(x, kept["label"].to_numpy(float)))
 
@@ -263,8 +269,8 @@ def _evidence_rows(lexicon: Lexicon):
             for a, b, data, offsets in text_blocks(batch.column("text"), BLOCK_BYTES):
                 x = evidence(lexicon, data, offsets)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(a, b - a).cast(pa.int64()), batch.column("label").slice(a, b - a),
-                     pa.array(list(x), pa.list_(pa.float64()))], ["id", "label", "x"])
+                    [batch.column("id").slice(a, b - a).cast(pa.int64()), batch.column("key").slice(a, b - a),
+                     batch.column("label").slice(a, b - a), pa.array(list(x), pa.list_(pa.float64()))], ["id", "key", "label", "x"])
     return run
 
 

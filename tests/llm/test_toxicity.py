@@ -45,6 +45,15 @@ def test_blocks_do_not_mix_texts():
     assert np.allclose(block, [paid(x) for x in texts])
 
 
+def test_scores_do_not_depend_on_how_rows_lie(spark):
+    d = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    docs = docs.unionByName(docs.limit(50).withColumn("text", F.concat("text", F.lit(" again"))))  # ids with two texts
+    models = [t.train(docs.repartition(n), labels.repartition(n)) for n in (1, 17)]
+    scores = [sorted((r.doc_id, r.score) for r in t.score(docs, m).select("row.doc_id", "score").collect()) for m in models]
+    assert scores[0] == scores[1] and max(s for _, s in scores[0]) > 0.5
+
+
 def test_edges(spark, make):
     rows = [(k, f"word{k} some text here " + ("awful" if k % 3 == 0 else "fine") + f" more{k}", "en", "s") for k in range(300)]
     rows += [(400, None, None, None), (401, "", None, None), (402, "awful " * 20000, None, None), (None, "fine", None, None),
