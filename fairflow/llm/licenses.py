@@ -91,9 +91,15 @@ def training_rows(documents: DataFrame, id_col: str, text_col: str) -> DataFrame
     """(family, words, held): at most VARIANTS per notice and piece, and NEGATIVES of the corpus."""
     spark = documents.sparkSession
     known = F.array(*[F.lit(" ".join(w for w in ["", *_plain(t), ""])) for texts in NOTICES.values() for t in texts])
-    ids = documents.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    # Whole documents by hash first: what is split into paragraphs is bounded.
-    some = ids.filter(F.length("text") > 0).orderBy(_share("id", F.lit(5)), "id").limit(NEGATIVES // 4)
+    texts = documents.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).filter(
+        F.length("text") > 0).withColumn("key", F.xxhash64("text"))
+    # Documents by hash first, their texts second: only the chosen ones move, and what is split into paragraphs is bounded.
+    most, rows = NEGATIVES // 4, documents.count()
+    share = _share("id", "key", F.lit(5))
+    chosen = staged(texts.select("id", "key", share.alias("share")).filter(F.col("share") * rows < 2 * most + 50).distinct()
+                    .orderBy("share", "id", "key").limit(most).select(F.col("id").alias("_id"), F.col("key").alias("_key")))
+    some = texts.join(F.broadcast(chosen), F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left_semi")
+    some = some.dropDuplicates(["id", "key"])  # repeated rows once
     real = paragraphs(some, "id", "text").withColumn("order", _share("doc_id", "paragraph", F.lit(6)))
     real = real.orderBy("order", "doc_id", "paragraph").limit(NEGATIVES)
     joined = F.concat(F.lit(" "), F.concat_ws(" ", "words"), F.lit(" "))
