@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fairflow.llm import decontaminate, minhash, mixing, pii, toxicity
 from fairflow.llm.staging import staged
+from fairflow.session import staging_scope
 
 #: The secret of the pseudonyms; unset, the public key of the registered query serves.
 KEY = os.environ.get("CORPUS_KEY", pii.QUERY_KEY)
@@ -57,8 +58,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what a stage returns is written before the next one reads it."""
+    """All stages over ``documents``; what a stage returns is written before the next one reads it, and what was
+    staged on the way to it goes then."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with staging_scope(spark) as scope:
+        for _, stage in STAGES[:-1]:
+            docs = staged(stage(spark, docs, sf_dir))
+            scope.drop(docs)
+        sample = STAGES[-1][1](spark, docs, sf_dir)
+        scope.drop(sample)
+    return sample

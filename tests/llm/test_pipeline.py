@@ -54,5 +54,15 @@ def test_stages(spark, steps, texts):
     assert all(0 < r.mix_probability <= 1 for r in mixed.values())
 
 
+def test_only_what_the_sample_reads_stays(spark):
+    from fairflow.session import staging_scope
+
+    with staging_scope(spark) as scope:
+        sample = corpus_pipeline.run(spark, DIR)
+        left = [p for p in scope.paths if Path(p.removeprefix("file:")).exists()]
+        assert 0 < len(left) <= 3 and sample.count() > 0
+        scope.drop()
+
+
 def test_run_gives_the_last_stage(spark, steps):
     assert {r.doc_id: r.text for r in corpus_pipeline.run(spark, DIR).collect()} == {i: r.text for i, r in steps[-1][2].items()}
