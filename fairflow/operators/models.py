@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Mapping, Sequence
-from itertools import product
+from itertools import accumulate, product
 from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..session import reused, scratch_path, stage
 from .metrics import accuracy_at_threshold, class_balance, classification_report, roc_auc
+from .ranking import literal_array
 from .registry import RunStore, run_record
 from .threshold import TunedThreshold
 
@@ -108,8 +109,9 @@ def leaf_chances(model: RandomForestClassificationModel, spark: SparkSession) ->
 
 def prefix_scores(scored: DataFrame, leaf_col: str, chances: Sequence[Sequence[float]], counts: Sequence[int]) -> list[Column]:
     """``_trees_<n>``: the score of the forest of the first n trees, for every n, from one pass over the rows."""
-    table = F.array(*[F.array(*map(F.lit, tree)) for tree in chances])
-    by_tree = F.transform(vector_to_array(leaf_col), lambda leaf, tree: F.get(F.get(table, tree), leaf.cast("int")))
+    table = literal_array([p for tree in chances for p in tree], "double")
+    first = literal_array([0, *accumulate(map(len, chances))], "int")
+    by_tree = F.transform(vector_to_array(leaf_col), lambda leaf, tree: F.get(table, F.get(first, tree) + leaf.cast("int")))
     return [(F.aggregate(F.slice(by_tree, 1, n), F.lit(0.0), lambda a, x: a + x) / n).alias(f"_trees_{n}") for n in counts]
 
 

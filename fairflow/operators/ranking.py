@@ -72,10 +72,15 @@ def ntile_by(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int,
     return numbered.select(*df.columns, tile.cast("int").alias(out))
 
 
+def literal_array(values: Sequence, kind: str) -> Column:
+    """A constant array; as one text it takes one call to build, however long."""
+    return F.split(F.lit(",".join(str(v).lower().replace("inf", "Infinity") for v in values)), ",").cast(f"array<{kind}>")
+
+
 def _cut_points(rows: DataFrame, key: str, cells: int) -> tuple[list[float], list[bool]]:
     """Ascending cut points, and whether each is a frequent key; one mergeable sketch per task."""
-    shares = [k / cells for k in range(1, cells)]
-    found = rows.agg(F.percentile_approx(key, shares, 20 * cells)).first()[0] or []
+    shares = ", ".join(f"{k / cells!r}D" for k in range(1, cells))
+    found = rows.agg(F.expr(f"percentile_approx(`{key}`, array({shares}), {20 * cells})")).first()[0] or []
     times = Counter(float(v) for v in found if math.isfinite(v))
     cuts = sorted(times) or [0.0]
     return cuts, [times[c] > 1 for c in cuts]
@@ -90,7 +95,8 @@ def step_cells(rows: DataFrame, key: str, cells: int = CELLS) -> tuple[DataFrame
     bucket = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol=key, outputCol="_bucket", handleInvalid="keep")
     # NaN, the bucket after the last, sorts behind all others, as in SQL.
     k = F.col("_bucket").cast("int")
-    edges, alone = (F.array(*map(F.lit, x)) for x in ([-math.inf, *cuts, math.inf], [False, *frequent, False]))
+    edges = literal_array([-math.inf, *cuts, math.inf], "double")
+    alone = literal_array([False, *frequent, False], "boolean")
     on_edge = F.get(alone, k) & (F.get(edges, k) == F.col(key))
     cell = F.when(on_edge, 2 * k - 1).otherwise(2 * k)
     return bucket.transform(rows).withColumn("_cell", cell).drop("_bucket"), [
@@ -146,5 +152,5 @@ def step_totals(df: DataFrame, key: str, sums: Mapping[str, Column], descending:
     kinds = {n: steps.schema[n].dataType for n in sums}
     return steps.unionByName(often).select(
         key, *sums,
-        *[(F.col(n + BEFORE) + F.get(F.array(*map(F.lit, offsets[n])), F.col("_cell")).cast(kinds[n])).alias(n + BEFORE) for n in sums],
+        *[(F.col(n + BEFORE) + F.get(literal_array(offsets[n], kinds[n].simpleString()), F.col("_cell"))).alias(n + BEFORE) for n in sums],
         *[F.lit(totals[n]).cast(kinds[n]).alias(n + TOTAL) for n in sums])
