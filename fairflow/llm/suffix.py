@@ -13,8 +13,10 @@
    where it has spoilt the order, the suffixes concerned are sorted by their bytes.  Neighbours whose
    common extension reaches ``length`` are repeated.
 4. *Hot anchors.*  An anchor with more than ``HOT`` occurrences would be one group in one task, so its
-   windows are dealt one by one by the hash of all their bytes, which spreads different windows; equal
-   ones are counted as eight bytes each.
+   windows are dealt, and sorted as above, by longer strings: ``WIDTHS[0]`` windows at neighbouring distances share
+   all but a few of their bytes, and the hash of those is their key.  A first pass counts the keys.  What has a key of its
+   own cannot repeat; a key with more than ``HOT`` different surroundings is cut into fewer windows, at last into single
+   ones, whose key is all their bytes.  Of equal spans a batch sends one with the places of all.
 5. Repeated windows merge into maximal runs and their bytes are removed.
 
 Defined results.  NULL or empty text, or one shorter than ``length``: nothing removed.  Repeated rows
@@ -36,10 +38,14 @@ from . import repeats
 from .common import (byte_values, mix, pack, pack_sorted, prefix_hashes, range_hashes, runs, text_blocks,
                      unpack, unpack_sorted, windows_inside)
 from .register import query
+from .staging import staged
 
 LENGTH = 200
 ANCHOR = 32
 HOT = 4096
+WIDTHS = (32, 8, 1)  # windows of a hot anchor that travel together
+KEY_SLOTS = 1 << 23
+KEY_BATCH = 1 << 19
 ANCHOR_BATCH = 1 << 17
 SPAN_BATCH_BYTES = 8 << 20
 BUCKET_BYTES = 16 << 20
@@ -182,51 +188,156 @@ def repeated_suffixes(text: np.ndarray, prefix: np.ndarray, suffixes: np.ndarray
     return marked
 
 
-SPANS = ("bucket int, hot boolean, batch long, lead boolean, hashes binary, at binary, windows binary, ahead binary,"
-         " text binary, ids binary, keys binary, first binary")
+def _expand(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers begin[k] .. begin[k] + count[k] - 1 of every k, one after the other."""
+    return np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+
+
+def _cut_windows(prefix: np.ndarray, positions: np.ndarray, low: np.ndarray, high: np.ndarray, width: int,
+                 length: int, anchor: int):
+    """The windows that begin ``low`` to ``high`` bytes ahead of anchors, cut where the distance is a multiple of ``width``:
+    positions, low, high and a key, the hash of the bytes that all windows of those ``width`` distances cover."""
+    first = low // width
+    count = high // width - first + 1
+    of = np.repeat(np.arange(len(low)), count)
+    near = _expand(first, count) * width
+    far = np.minimum(near + width - 1, length - anchor)
+    at = positions[of]
+    key = range_hashes(prefix, at - near, at - far + length) ^ mix((near * (length + 1) + width).astype(np.uint64))
+    return at, np.maximum(low[of], near), np.minimum(high[of], far), mix(key)
+
+
+def _marked(packed: list, positions: np.ndarray, offsets: np.ndarray, a: int, b: int) -> np.ndarray:
+    """Which anchors of the texts a..b stand at the packed places of their text."""
+    out = np.zeros(len(positions), bool)
+    for r in range(a, b):
+        if packed[r] is not None and len(packed[r]) > 1:
+            out[np.searchsorted(positions, unpack_sorted(packed[r]).astype(np.int64) + offsets[r - a])] = True
+    return out
+
+
+def hot_keys(found: DataFrame, length: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bitmaps over slots of keys of hot anchors' windows: a key that occurs again, one with many surroundings.
+
+    Keys that share a slot share the answers: some windows are sent in vain or one by one, none is lost."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list = []
+        size = 0
 
+        def flush() -> pa.RecordBatch:
+            keys, spans = (np.concatenate([h[k] for h in held]) for k in (0, 1))
+            order = np.lexsort((spans, keys))
+            keys, spans = keys[order], spans[order]
+            first = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | (spans[1:] != spans[:-1]))))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(keys[first].view(np.int64)), pa.array(spans[first].view(np.int64)),
+                 pa.array(np.diff(first, append=len(keys)), pa.int64())], ["key", "span", "times"])
 
-def _send_spans(rows: DataFrame, bits: int, length: int, anchor: int) -> DataFrame:
-    """The spans of repeated anchors, and the single windows of hot ones, per batch and bucket."""
+        for batch in batches:
+            hots = batch.column("hot").to_pylist()
+            for a, b, data, offsets in text_blocks(batch.column("text"), repeats.BLOCK_BYTES):
+                prefix, starts, begin, positions, _ = anchors(data, offsets, length, anchor)
+                hot = np.flatnonzero(_marked(hots, positions, offsets, a, b))
+                at = positions[hot]
+                low, high = at - starts[np.append(begin[1:], len(starts))[hot] - 1], at - starts[begin[hot]]
+                for width in WIDTHS[:-1]:
+                    x, near, far, key = _cut_windows(prefix, at, low, high, width, length, anchor)
+                    span = mix(range_hashes(prefix, x - far, x - near + length) ^ (far * (length + 1) + near).astype(np.uint64))
+                    held.append((key, span))
+                    size += len(key)
+                if size >= KEY_BATCH:
+                    yield flush()
+                    held, size = [], 0
+        if size:
+            yield flush()
+
+    spans = found.mapInArrow(run, "key long, span long, times long").groupBy("key", "span").agg(F.sum("times").alias("times"))
+    slots = (spans.groupBy("key").agg(F.sum("times").alias("times"), F.count(F.lit(1)).alias("spans"))
+             .filter("times > 1").groupBy(F.pmod("key", F.lit(KEY_SLOTS)).alias("slot")).agg(F.max("spans").alias("spans")))
+    bits = "bitmap_construct_agg(bitmap_bit_position(slot + 1))"
+    maps = slots.groupBy(F.expr("bitmap_bucket_number(slot + 1)").alias("part")).agg(
+        F.expr(bits).alias("again"), F.expr(f"{bits} FILTER (WHERE spans > {HOT})").alias("crowded")).collect()
+    out = [np.zeros(KEY_SLOTS, bool) for _ in range(2)]
+    for m in maps:
+        for whole, part in zip(out, (m["again"], m["crowded"])):
+            mine = np.unpackbits(np.frombuffer(part, np.uint8), bitorder="little")
+            begin = (m["part"] - 1) * len(mine)
+            whole[begin:begin + len(mine)] = mine[:KEY_SLOTS - begin]
+    return np.packbits(out[0], bitorder="little"), np.packbits(out[1], bitorder="little")
+
+
+def _in_slots(slots: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys & np.uint64(KEY_SLOTS - 1)
+    return (slots[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+SPANS = ("bucket int, batch long, lead boolean, hashes binary, times binary, at binary, windows binary, ahead binary,"
+         " text binary, ids binary, keys binary, first binary")
+SENT = ("hashes", "times", "at", "windows", "ahead", "text")
+
+
+def _send_spans(rows: DataFrame, keys: tuple[np.ndarray, np.ndarray], bits: int, length: int, anchor: int) -> DataFrame:
+    """The spans of repeated anchors, those of hot ones cut by their keys, per batch and bucket."""
+    again, crowded = keys
+
+    def cut_hot(prefix: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray):
+        done = []
+        for width in WIDTHS:
+            at, low, high, key = _cut_windows(prefix, at, low, high, width, length, anchor)
+            if width != WIDTHS[-1]:
+                left = _in_slots(again, key)
+                at, low, high, key = at[left], low[left], high[left], key[left]
+                left = _in_slots(crowded, key)
+                done.append((at[~left], low[~left], high[~left], key[~left]))
+                at, low, high = at[left], low[left], high[left]
+            else:
+                done.append((at, low, high, key))
+        return (np.concatenate(x) for x in zip(*done))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         held: list = []
         docs: list = []
         base = 0
+        # Spans of hot anchors by key, distance and bytes, with their places in the batch.
+        equal: dict[tuple[int, int, bytes], list[int]] = {}
 
         def flush() -> Iterator[pa.RecordBatch]:
             tables = [pack(np.concatenate([d[k] for d in docs]).view(np.uint64)) for k in (0, 1)]
             tables.append(pack(np.concatenate([d[2] for d in docs]).astype(np.uint64)))
-            out: dict[str, list] = {k: [] for k in ("bucket", "hot", "hashes", "at", "windows", "ahead", "text")}
-            for hot in (False, True):
-                parts = [h for h in held if h[0] == hot and len(h[1])]
-                if not parts:
-                    continue
-                hashes, at, windows, ahead = (np.concatenate([p[k] for p in parts]) for k in range(1, 5))
-                pieces = [x for p in parts for x in p[5]]
-                order = np.argsort(hashes)
-                hashes = hashes[order]
-                tops = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else []
-                edges = [0, *np.searchsorted(hashes, tops).tolist(), len(hashes)]
-                for bucket, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
-                    if a < b:
-                        own = order[a:b]
-                        out["bucket"].append(bucket)
-                        out["hot"].append(hot)
-                        out["hashes"].append(pack_sorted(hashes[a:b]))
-                        out["at"].append(pack(at[own]))
-                        out["windows"].append(pack(windows[own]))
-                        out["ahead"].append(pack(ahead[own]))
-                        out["text"].append(b"" if hot else b"".join([pieces[i] for i in own]))
+            hashes, at, windows, ahead = (np.concatenate([h[k] for h in held]) for k in range(4))
+            pieces = [x for h in held for x in h[4]]
+            times = np.concatenate([np.ones(len(at), np.uint64), np.array([len(x) for x in equal.values()], np.uint64)])
+            hashes = np.concatenate([hashes, np.array([k for k, _, _ in equal], np.uint64)])
+            windows = np.concatenate([windows, np.array([len(x) - length + 1 for _, _, x in equal], np.uint64)])
+            ahead = np.concatenate([ahead, np.array([x for _, x, _ in equal], np.uint64)])
+            at = np.concatenate([at, *(np.array(x, np.uint64) for x in equal.values())])
+            pieces += [x for _, _, x in equal]
+            out: dict[str, list] = {k: [] for k in ("bucket", *SENT)}
+            first = (np.cumsum(times) - times).astype(np.int64)
+            order = np.argsort(hashes)
+            hashes = hashes[order]
+            tops = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else []
+            edges = [0, *np.searchsorted(hashes, tops).tolist(), len(hashes)]
+            for bucket, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+                if a < b:
+                    own = order[a:b]
+                    out["bucket"].append(bucket)
+                    out["hashes"].append(pack_sorted(hashes[a:b]))
+                    out["times"].append(pack(times[own]))
+                    out["at"].append(pack(at[_expand(first[own], times[own].astype(np.int64))]))
+                    out["windows"].append(pack(windows[own]))
+                    out["ahead"].append(pack(ahead[own]))
+                    out["text"].append(b"".join([pieces[i] for i in own]))
             n = len(out["bucket"])
             if n:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(out["bucket"], pa.int32()), pa.array(out["hot"]), pa.array([number] * n, pa.int64()),
+                    [pa.array(out["bucket"], pa.int32()), pa.array([number] * n, pa.int64()),
                      pa.array([i == 0 for i in range(n)])]
-                    + [pa.array(out[k], pa.binary()) for k in ("hashes", "at", "windows", "ahead", "text")]
+                    + [pa.array(out[k], pa.binary()) for k in SENT]
                     + [pa.array([t] + [None] * (n - 1), pa.binary()) for t in tables],
-                    ["bucket", "hot", "batch", "lead", "hashes", "at", "windows", "ahead", "text", "ids", "keys", "first"])
+                    ["bucket", "batch", "lead", *SENT, "ids", "keys", "first"])
 
         for batch in batches:
             ids, keys = batch.column("_id").to_numpy(), batch.column("_row").to_numpy()
@@ -234,31 +345,26 @@ def _send_spans(rows: DataFrame, bits: int, length: int, anchor: int) -> DataFra
             for a, b, data, offsets in text_blocks(batch.column("text"), repeats.BLOCK_BYTES):
                 prefix, starts, begin, positions, hashes = anchors(data, offsets, length, anchor)
                 last = np.append(begin[1:], len(starts)) - 1
-                row = np.searchsorted(offsets, positions, "right") - 1
-                repeated, hot = np.zeros(len(positions), bool), np.zeros(len(positions), bool)
-                for kind, packed in ((repeated, marks), (hot, hots)):
-                    for r in range(a, b):
-                        if packed[r] is not None and len(packed[r]) > 1:
-                            kind[np.searchsorted(positions, unpack_sorted(packed[r]).astype(np.int64) + offsets[r - a])] = True
-                cold = np.flatnonzero(repeated & ~hot)
+                hot = _marked(hots, positions, offsets, a, b)
+                cold = np.flatnonzero(_marked(marks, positions, offsets, a, b) & ~hot)
                 s0, s1 = starts[begin[cold]], starts[last[cold]]
                 raw = data.tobytes()
-                held.append((False, hashes[cold], (s0 + base).astype(np.uint64), (s1 - s0 + 1).astype(np.uint64),
+                held.append((hashes[cold], (s0 + base).astype(np.uint64), (s1 - s0 + 1).astype(np.uint64),
                              (positions[cold] - s0).astype(np.uint64),
                              [raw[x:y + length] for x, y in zip(s0.tolist(), s1.tolist())]))
                 warm = np.flatnonzero(hot)
                 if len(warm):
-                    count = last[warm] - begin[warm] + 1
-                    each = np.repeat(begin[warm], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                    at = starts[each]
-                    nought = np.zeros(len(at), np.uint64)
-                    held.append((True, mix(range_hashes(prefix, at, at + length)), (at + base).astype(np.uint64),
-                                 nought, nought, []))
+                    at, low, high, key = cut_hot(prefix, positions[warm], positions[warm] - starts[last[warm]],
+                                                 positions[warm] - starts[begin[warm]])
+                    s0, s1 = at - high, at - low
+                    for k, x, y, ahead in zip(key.tolist(), s0.tolist(), s1.tolist(), high.tolist()):
+                        equal.setdefault((k, ahead, raw[x:y + length]), []).append(x + base)
                 docs.append((ids[a:b], keys[a:b], offsets[:-1] + base))
                 base += len(data)
                 if base >= SPAN_BATCH_BYTES:
                     yield from flush()
                     held, docs, base, number = [], [], 0, number + 1
+                    equal.clear()
         if docs:
             yield from flush()
 
@@ -266,17 +372,14 @@ def _send_spans(rows: DataFrame, bits: int, length: int, anchor: int) -> DataFra
 
 
 def _sort_bucket(length: int):
-    """Counts the windows of hot anchors by hash; sorts the suffixes of the others."""
+    """Sorts the suffixes of a bucket's spans and gives the places of the repeated ones, as runs."""
 
-    def expand(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
-        return np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-
-    def cold(rows: list[dict]) -> list[np.ndarray]:
+    def sort(rows: list[dict]) -> list[tuple[np.ndarray, np.ndarray]]:
         hashes = [unpack_sorted(r["hashes"]) for r in rows]
-        sizes = [len(h) for h in hashes]
+        sizes = np.array([len(h) for h in hashes])
         hashes = np.concatenate(hashes)
-        at, windows, ahead = (np.concatenate([unpack(r[k]) for r in rows]).astype(np.int64)
-                              for k in ("at", "windows", "ahead"))
+        times, at, windows, ahead = (np.concatenate([unpack(r[k]) for r in rows]).astype(np.int64)
+                                     for k in ("times", "at", "windows", "ahead"))
         text = np.frombuffer(b"".join(r["text"] for r in rows), np.uint8)
         prefix = prefix_hashes(byte_values(3)[text])
         lengths = windows + length - 1
@@ -290,50 +393,49 @@ def _sort_bucket(length: int):
             p = pair[i:i + 4096]
             x, y = order[p], order[p + 1]
             n = lengths[x]
-            equal = text[expand(begin[x], n)] == text[expand(begin[y], n)]
+            equal = text[_expand(begin[x], n)] == text[_expand(begin[y], n)]
             same[p] = np.logical_and.reduceat(equal, np.cumsum(n) - n)
         group = np.concatenate(([0], np.cumsum(~same_anchor)))
         kind = np.concatenate(([0], np.cumsum(~same)))
-        members = np.bincount(kind)
+        members = np.bincount(kind, times[order])
         head = np.flatnonzero(np.concatenate(([True], ~same)))
         kinds_of = np.bincount(group[head])
         mixed = np.flatnonzero(kinds_of[group[head]] > 1)
         spans = order[head[mixed]]
         n = windows[spans]
-        suffixes = expand(begin[spans], n)
-        step = expand(np.zeros(len(spans), np.int64), n)
+        suffixes = _expand(begin[spans], n)
+        step = _expand(np.zeros(len(spans), np.int64), n)
         segment = np.repeat(group[head[mixed]] * (length + 1) + ahead[spans], n) - step
         found = repeated_suffixes(text, prefix, suffixes, segment, length)
         marked = np.zeros(int(windows.sum()), bool)  # one per window of each span, spans in input order
         window_begin = np.cumsum(windows) - windows
-        marked[expand(window_begin[spans], n)] = found
+        marked[_expand(window_begin[spans], n)] = found
         many = order[members[kind] > 1]
-        marked[expand(window_begin[many], windows[many])] = True
-        places = expand(at, windows)
-        ends = np.cumsum([int(w) for w in np.add.reduceat(windows, np.cumsum(sizes) - sizes)])
-        return [p[m] for p, m in zip(np.split(places, ends[:-1]), np.split(marked, ends[:-1]))]
-
-    def warm(rows: list[dict]) -> list[np.ndarray]:
-        hashes = [unpack_sorted(r["hashes"]) for r in rows]
-        ends = np.cumsum([len(h) for h in hashes])
-        _, of, times = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
-        again = np.split(times[of] > 1, ends[:-1])
-        return [unpack(r["at"]).astype(np.int64)[m] for r, m in zip(rows, again)]
+        marked[_expand(window_begin[many], windows[many])] = True
+        # Runs of marked windows within a span, then at each of its places.
+        fresh = marked.copy()
+        fresh[1:] &= ~marked[:-1]
+        fresh[window_begin] = marked[window_begin]
+        run_begin = np.flatnonzero(fresh)
+        run_length = np.add.reduceat(marked, run_begin, dtype=np.int64) if len(run_begin) else run_begin
+        owner = np.searchsorted(window_begin, run_begin, "right") - 1
+        runs_of = np.bincount(owner, minlength=len(windows))
+        place_of = np.repeat(np.arange(len(windows)), times)
+        mine = _expand((np.cumsum(runs_of) - runs_of)[place_of], runs_of[place_of])
+        starts = np.repeat(at, runs_of[place_of]) + run_begin[mine] - window_begin[owner[mine]]
+        ends = np.cumsum(np.add.reduceat(times * runs_of, np.cumsum(sizes) - sizes))[:-1]
+        return list(zip(np.split(starts, ends), np.split(run_length[mine], ends)))
 
     def run(table: pa.Table) -> pa.Table:
         out: dict[str, list] = {k: [] for k in ("batch", "starts", "lengths", "ids", "keys", "first")}
         rows = table.to_pylist()
-        for part, sort in (([r for r in rows if not r["hot"]], cold), ([r for r in rows if r["hot"]], warm)):
-            for r, places in zip(part, sort(part) if part else []):
-                if len(places) or r["lead"]:
-                    out["batch"].append(r["batch"])
-                    places = np.sort(places)
-                    # Windows of one byte are the only ones that may touch across texts.
-                    cut = np.flatnonzero((np.diff(places, prepend=-2) != 1) | (length == 1))
-                    out["starts"].append(pack(places[cut].astype(np.uint64)))
-                    out["lengths"].append(pack(np.diff(cut, append=len(places)).astype(np.uint64)))
-                    for k in ("ids", "keys", "first"):
-                        out[k].append(r[k] if r["lead"] else None)
+        for r, (starts, lengths) in zip(rows, sort(rows)):
+            if len(starts) or r["lead"]:
+                out["batch"].append(r["batch"])
+                out["starts"].append(pack(starts.astype(np.uint64)))
+                out["lengths"].append(pack(lengths.astype(np.uint64)))
+                for k in ("ids", "keys", "first"):
+                    out[k].append(r[k] if r["lead"] else None)
         return pa.table({"batch": pa.array(out["batch"], pa.int64()),
                          **{k: pa.array(out[k], pa.binary()) for k in ("starts", "lengths", "ids", "keys", "first")}})
 
@@ -345,10 +447,14 @@ def repeated_windows(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     anchor = min(ANCHOR, length)
     total = repeats.text_bytes(rows)
     sent = repeats.send(rows, _anchor_positions(length, anchor), repeats.bucket_bits(total, BUCKET_BYTES), ANCHOR_BATCH, owners=False)
-    some = repeats.gather(repeats.count(sent, smaller_id=False, hot=HOT))
-    candidates, _ = repeats.split(rows, some)
-    found = candidates.join(some.hint("merge"), ["_id", "_row"])
-    spans = _send_spans(found, repeats.bucket_bits(total, SORT_BYTES), length, anchor)
+    some = staged(repeats.gather(repeats.count(sent, smaller_id=False, hot=HOT)))
+
+    def marked(marks: DataFrame) -> DataFrame:
+        candidates, _ = repeats.split(rows, marks)
+        return candidates.join(marks.hint("merge"), ["_id", "_row"])
+
+    keys = hot_keys(marked(some.filter("hot IS NOT NULL")), length, anchor)
+    spans = _send_spans(marked(some), keys, repeats.bucket_bits(total, SORT_BYTES), length, anchor)
     return repeats.gather_runs(spans.groupBy("bucket").applyInArrow(_sort_bucket(length), repeats.RUNS))
 
 
