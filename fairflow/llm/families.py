@@ -98,9 +98,12 @@ def _possible(percent: int):
 
 
 def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (pivot, node) that sizes and sketches leave; the full sets are not read."""
-    x = sets.select("node", "n", F.col("sketch").alias("x"))
-    y = sets.select(F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("sketch").alias("y"))
+    """The pairs (pivot, node) that sizes and sketches leave; the full sets are not read, and sketches move as far as a
+    bitmap of bounded size tells that a pair names them at that end."""
+    sides = [may_match(sets.select("node", "n", "sketch"), pairs.select(F.col(c).alias("node")), ["node"], NAMED_BITS)
+             for c in ("node", "pivot")]
+    x = sides[0].select("node", "n", F.col("sketch").alias("x"))
+    y = sides[1].select(F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("sketch").alias("y"))
     return pairs.join(x, "node").join(y, "pivot").select("pivot", "node", "n", "m", "x", "y").mapInArrow(
         _possible(percent), "pivot long, node long")
 
@@ -196,7 +199,8 @@ def hidden_links(meets: DataFrame, failed: DataFrame, labels: DataFrame, sets: D
         F.count(F.lit(1)).alias("labels")).filter("labels > 1").select(
         "unit", "main", F.ceil(F.col("all") / BLOCK_SHINGLES).cast("int").alias("target_blocks"),
         F.ceil((F.col("all") - F.col("most")) / BLOCK_SHINGLES).cast("int").alias("ask_blocks"))
-    placed = nodes.join(shape, "unit").join(sets.select("node", "n", "sketch"), "node")
+    placed = staged(nodes.join(shape, "unit"))
+    placed = placed.join(may_match(sets.select("node", "n", "sketch"), placed.select("node"), ["node"], NAMED_BITS), "node")
     slot = F.xxhash64("node")
     asking = placed.filter("label <> main").select(
         "unit", F.pmod(slot, "ask_blocks").cast("int").alias("q"),

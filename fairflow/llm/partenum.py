@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import may_match, split_matches
+from ..session import may_match, split_matches, staging_scope
 from . import repeats
 from .common import mix, pack, pack_sorted, text_blocks, unpack, unpack_sorted
 from .components import components
@@ -218,32 +218,36 @@ def jaccard_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str =
 
     identity = F.struct(F.col(f"`{id_col}`").isNull().alias("missing"), F.col(f"`{id_col}`").alias("id"))
     texts = documents.select(identity.alias("_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    texts = texts.withColumn("_row", F.xxhash64("text"))
     id_type = texts.schema["_id"].dataType
     kind, arrow_kind = id_type.simpleString(), to_arrow_type(id_type)
-    digests = staged(texts.select("_id", "_row", "text").mapInArrow(
-        _digests(shingle), f"_id {kind}, _row long, n long, d1 long, d2 long"))
-
-    # Of rows with one set, only the least signs.
-    copied = staged(digests.filter("n > 0").groupBy("d1", "d2").agg(
-        F.min(F.struct("_id", "_row")).alias("least"), F.count(F.lit(1)).alias("copies")).filter("copies > 1").drop("copies"))
-    others = staged(digests.join(copied.hint("merge"), ["d1", "d2"]).filter(F.struct("_id", "_row") != F.col("least"))
-                    .select("_id", "_row").distinct())
-    some, none = split_matches(texts, others, ["_id", "_row"], NAMED_BITS)
-    signing = some.join(others.hint("merge"), ["_id", "_row"], "left_anti").select("_id", "_row", "text").unionByName(
-        none.select("_id", "_row", "text"))
-    shingles = digests.agg(F.sum("n")).first()[0] or 0
-    bits = min(64 - REST_BITS, max(0, (-(-shingles // BUCKET) - 1).bit_length()))
-    sent = signing.mapInArrow(
-        _send(shingle, percent, bits, arrow_kind),
-        f"bucket long, batch long, hashes binary, owners binary, ids array<{kind}>, " + ", ".join(f"{c} array<long>" for c in PLACE))
-    sent = staged(sent)
-    places = staged(sent.filter("bucket IS NULL").select(
-        "batch", F.posexplode(F.arrays_zip("ids", *PLACE)).alias("k", "p")).select(
-        (F.col("batch") + F.col("k")).alias("node"), F.col("p.ids").alias("_id"), F.col("p.rows").alias("_row"),
-        F.col("p.sizes").alias("n"), F.col("p.d1").alias("d1"), F.col("p.d2").alias("d2")))
-    meets = staged(sent.filter("bucket IS NOT NULL").select("bucket", "batch", "hashes", "owners").groupBy("bucket")
-                   .applyInArrow(_meet, "run long, pivot long, node long"))
+    # The type of what is staged, in which any field may be NULL: a join then needs no cast, and what it has dealt stays dealt.
+    texts = texts.withColumns({"_id": F.col("_id").cast(kind), "_row": F.xxhash64("text")})
+    with staging_scope(documents.sparkSession) as scope:
+        digests = staged(texts.select("_id", "_row", "text").mapInArrow(
+            _digests(shingle), f"_id {kind}, _row long, n long, d1 long, d2 long"))
+
+        # Of rows with one set, only the least signs.
+        copied = staged(digests.filter("n > 0").groupBy("d1", "d2").agg(
+            F.min(F.struct("_id", "_row")).alias("least"), F.count(F.lit(1)).alias("copies")).filter("copies > 1").drop("copies"))
+        others = staged(digests.join(copied.hint("merge"), ["d1", "d2"]).filter(F.struct("_id", "_row") != F.col("least"))
+                        .select("_id", "_row").distinct())
+        some, none = split_matches(texts, others, ["_id", "_row"], NAMED_BITS)
+        signing = some.join(others.hint("merge"), ["_id", "_row"], "left_anti").select("_id", "_row", "text").unionByName(
+            none.select("_id", "_row", "text"))
+        shingles = digests.agg(F.sum("n")).first()[0] or 0
+        bits = min(64 - REST_BITS, max(0, (-(-shingles // BUCKET) - 1).bit_length()))
+        sent = signing.mapInArrow(
+            _send(shingle, percent, bits, arrow_kind),
+            f"bucket long, batch long, hashes binary, owners binary, ids array<{kind}>, " + ", ".join(f"{c} array<long>" for c in PLACE))
+        sent = staged(sent)
+        places = staged(sent.filter("bucket IS NULL").select(
+            "batch", F.posexplode(F.arrays_zip("ids", *PLACE)).alias("k", "p")).select(
+            (F.col("batch") + F.col("k")).alias("node"), F.col("p.ids").alias("_id"), F.col("p.rows").alias("_row"),
+            F.col("p.sizes").alias("n"), F.col("p.d1").alias("d1"), F.col("p.d2").alias("d2")))
+        meets = staged(sent.filter("bucket IS NOT NULL").select("bucket", "batch", "hashes", "owners").groupBy("bucket")
+                       .applyInArrow(_meet, "run long, pivot long, node long"))
+        # Signatures have met: their rows, the most of what is staged, go.
+        scope.drop(digests, copied, places, meets)
     # A repeated row signs once per batch: all its numbers become the least.
     again = places.groupBy("d1", "d2").agg(F.min("node").alias("to"), F.count(F.lit(1)).alias("k")).filter("k > 1")
     again = staged(places.join(again, ["d1", "d2"]).filter("node <> to").select("node", "to"))

@@ -151,3 +151,15 @@ def test_sketches_never_exclude_a_link(percent):
         if 100 * both < (percent - 8) * (size + more) and size >= 60:
             excluded.append(differ > families.allowed(len(a) + len(b), percent))
     assert len(excluded) > 50 and np.mean(excluded) > 0.95
+
+
+def test_signatures_go_once_they_have_met(spark, make):
+    """Packed signatures, the most of what is staged, are deleted before the texts of candidates move."""
+    from fairflow.session import staging_scope
+
+    words = " ".join(f"w{i}" for i in range(60))
+    with staging_scope(spark) as scope:
+        rows = partenum.jaccard_groups(make([(1, words), (2, words + " x"), (3, words), (4, "a b"), (4, "a b")])).collect()
+        columns = [set(spark.read.parquet(p).columns) for p in scope.paths]
+    assert sorted((r.doc_id, r.component_id) for r in rows) == [(1, 1), (2, 1), (3, 1), (4, 4), (4, 4)]
+    assert columns and not any("owners" in c for c in columns)
