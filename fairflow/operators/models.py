@@ -19,9 +19,8 @@ from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..session import reused, scratch_path, stage
+from ..session import reused, scratch_path, spread, stage
 from .metrics import accuracy_at_threshold, class_balance, classification_report, roc_auc
-from .ranking import literal_array
 from .registry import RunStore, run_record
 from .threshold import TunedThreshold
 
@@ -108,11 +107,22 @@ def leaf_chances(model: RandomForestClassificationModel, spark: SparkSession) ->
 
 
 def prefix_scores(scored: DataFrame, leaf_col: str, chances: Sequence[Sequence[float]], counts: Sequence[int]) -> list[Column]:
-    """``_trees_<n>``: the score of the forest of the first n trees, for every n, from one pass over the rows."""
-    table = literal_array([p for tree in chances for p in tree], "double")
-    first = literal_array([0, *accumulate(map(len, chances))], "int")
-    by_tree = F.transform(vector_to_array(leaf_col), lambda leaf, tree: F.get(table, F.get(first, tree) + leaf.cast("int")))
-    return [(F.aggregate(F.slice(by_tree, 1, n), F.lit(0.0), lambda a, x: a + x) / n).alias(f"_trees_{n}") for n in counts]
+    """``_trees_<n>``: the score of the forest of the first n trees, for every n, from one pass over the rows.
+
+    The chances are looked up and summed in Arrow batches, the trees in their order.
+    """
+    table, first = [p for tree in chances for p in tree], [0, *accumulate(map(len, chances))][:-1]
+
+    def make_predict():
+        import numpy as np
+
+        chance, start, n = np.array(table, dtype="float64"), np.array(first, dtype="int64"), np.array(counts)
+        return lambda leaves: np.cumsum(chance[start + leaves.astype("int64")], axis=1)[:, n - 1] / n
+
+    predict = predict_batch_udf(
+        make_predict, return_type=T.ArrayType(T.DoubleType()), batch_size=4096, input_tensor_shapes=[[len(chances)]])
+    scores = predict(vector_to_array(leaf_col))
+    return [F.get(scores, F.lit(i)).alias(f"_trees_{n}") for i, n in enumerate(counts)]
 
 
 class Search(NamedTuple):
@@ -130,8 +140,8 @@ def grid_search(pipeline: Pipeline, classifier: Estimator, df: DataFrame,
 
     The trees of a random forest are grown independently, so a forest of fewer trees is the first part of
     a larger one: each fold fits the largest forest only and scores its held-out rows with all tree counts in one
-    pass.  The winner is fitted once, on all rows and with its threshold.  With one fold the search is skipped and the
-    classifier keeps its own parameters.
+    pass.  The winner is fitted once, on all rows and with its threshold.  Fits and scores run on every core, however few
+    bytes the rows have.  With one fold the search is skipped and the classifier keeps its own parameters.
     """
     if folds <= 1:
         return Search(pipeline, {}, [], None)
@@ -149,8 +159,8 @@ def grid_search(pipeline: Pipeline, classifier: Estimator, df: DataFrame,
             extra |= {classifier.numTrees: counts[-1], classifier.leafCol: "_leaf"}
         # Only ranks matter to the metric, so threshold stages are left out of the search.
         stages = [s for s in pipeline.copy(extra).getStages() if not isinstance(s, TunedThreshold)]
-        fitted = Pipeline(stages=stages).fit(dealt.filter(F.col("_fold") != fold).drop("_fold"))
-        scored = fitted.transform(dealt.filter(F.col("_fold") == fold).drop("_fold"))
+        fitted = Pipeline(stages=stages).fit(spread(dealt.filter(F.col("_fold") != fold).drop("_fold")))
+        scored = fitted.transform(spread(dealt.filter(F.col("_fold") == fold).drop("_fold")))
         scores = [F.col(classifier.getRawPredictionCol())]
         if counts:
             forest = next(s for s in fitted.stages if isinstance(s, RandomForestClassificationModel))
@@ -171,7 +181,7 @@ def grid_search(pipeline: Pipeline, classifier: Estimator, df: DataFrame,
             points.append({**{k: point[k] for k in grid}, "auc": float(sum(m[i] for m in per_fold) / folds)})
     best = {k: v for k, v in max(points, key=lambda p: p["auc"]).items() if k != "auc"}
     tuned = pipeline.copy({classifier.getParam(k): v for k, v in best.items()})
-    return Search(tuned, best, points, tuned.fit(df))
+    return Search(tuned, best, points, tuned.fit(spread(dealt.drop("_fold"))))
 
 
 def train_and_record(train: DataFrame, test: DataFrame, pipeline: Pipeline, label: str, model_name: str,

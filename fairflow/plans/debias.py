@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import demographics as demo, fairness, geo, metrics, outcomes, rides, sampling
-from ..session import size_checked, stage, staging_scope
+from ..session import size_checked, spread, stage, staging_scope
 from . import spatial
 from .demand import HISTORY_DIGITS, HISTORY_SQL, clean_rides, demand_steps, labelled
 from .disparity import deciles
@@ -70,10 +70,10 @@ def _enriched_history(spark, sf_dir):
 def scored_sides(spark: SparkSession, sf_dir: str) -> tuple[dict[str, tuple[DataFrame, DataFrame]], float]:
     """Per factor the scored validation and test rides with the mark of their zone; the tuned threshold."""
     split = stage(zoned_split(spark, sf_dir), ["dataset"])
-    train = split.filter("dataset = 'train'")
+    train = spread(split.filter("dataset = 'train'"))
     pipeline, _ = forest_pipeline(train)
     model = pipeline.fit(train)
-    scored = stage(model.transform(split.filter("dataset <> 'train'")).select(
+    scored = stage(model.transform(spread(split.filter("dataset <> 'train'"))).select(
         "ride_id", "dataset", "pickup_zone", "total_amount", "volume", TRUTH, SCORE, PRED
     ), ["dataset"])
     weights = stage(demo.aux_weights(deciles(spark, sf_dir)))

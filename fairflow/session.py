@@ -177,6 +177,20 @@ def stage(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     return _write(df, partition_by)[0]
 
 
+# Rows that a task of `spread` has at least and at most, about.
+FEW_ROWS, MANY_ROWS = 1 << 10, 1 << 17
+
+
+def spread(df: DataFrame, few: int = FEW_ROWS, many: int = MANY_ROWS) -> DataFrame:
+    """Deal rows for work that takes long per row, as growing a forest does: over every core, in parts that stay bounded.
+
+    Files are packed into tasks by their bytes, so a million narrow rows may fill a single one.  Counts the rows, which for
+    a staged frame is in the footers.
+    """
+    rows, cores = df.count(), df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(1, min(cores, rows // few), -(-rows // many)))
+
+
 MAX_ROWS, MAX_BYTES = 1_000_000, 64 << 20
 
 

@@ -2,15 +2,18 @@
 
 import datetime as dt
 import random
+import re
 
 import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from fairflow.operators import fairness as fair, metrics, models, registry
 from fairflow.operators.threshold import TunedThreshold, TunedThresholdModel
+from fairflow.session import spread
 from fairflow.sources.catalog import Catalog
 from fairflow.sources.ingest import align_columns
 
@@ -305,6 +308,49 @@ def test_grid_search_fits_one_forest_per_fold(spark, sample, monkeypatch):
     assert {tuple(p) for p in search.points} == {("maxDepth", "numTrees", "auc")}
 
 
+def test_forest_fits_use_every_core(spark, monkeypatch):
+    """Narrow rows lie in one file, yet folds, winner and scores run in as many tasks as there are cores."""
+    rows = spark.range(20000).select(
+        "id", F.when((F.col("id") * 7919) % 101 < F.col("id") % 100, 1).otherwise(0).alias("y"), (F.col("id") % 100 / 100).alias("s"))
+    fits, scores, cores = [], [], spark.sparkContext.defaultParallelism
+    fit, prefix = models.RandomForestClassifier._fit, models.prefix_scores
+
+    def counted(self, dataset):
+        fits.append((dataset.rdd.getNumPartitions(), dataset.count()))
+        return fit(self, dataset)
+
+    def scored(rows, *rest):
+        scores.append(rows.rdd.getNumPartitions())
+        return prefix(rows, *rest)
+
+    monkeypatch.setattr(models.RandomForestClassifier, "_fit", counted)
+    monkeypatch.setattr(models, "prefix_scores", scored)
+    forest = models.random_forest("y", 2, maxDepth=2)
+    models.grid_search(models.feature_pipeline([], ["s"], "y", forest), forest, rows.coalesce(1), {"numTrees": [1, 2]}, folds=3)
+    assert [n for n, _ in fits] == [min(cores, 13)] * 3 + [min(cores, 19)]
+    assert sum(n for _, n in fits[:3]) == 40000 and fits[3][1] == 20000
+    assert scores == [min(cores, 6)] * 3
+
+
+def test_prefixes_are_scored_in_one_evaluation(spark, sample):
+    _, df = sample
+    leaves = df.select("id", array_to_vector(F.array(F.lit(1.0), F.lit(0.0), F.lit(2.0))).alias("_leaf"))
+    chances = [[0.1, 0.9], [0.5], [0.2, 0.4, 0.8]]
+    got = leaves.select(*models.prefix_scores(leaves, "_leaf", chances, [1, 2, 3]))
+    assert got.distinct().collect() == [(0.9, (0.9 + 0.5) / 2, (0.9 + 0.5 + 0.8) / 3)]
+    assert set(re.findall(r"pythonUDF\d+", got._jdf.queryExecution().executedPlan().toString())) == {"pythonUDF0"}
+
+
+def test_rows_are_spread_by_number(spark):
+    df = spark.range(1000).coalesce(1)
+    parts = lambda rows: [len(p) for p in rows.rdd.glom().collect()]
+    cores = spark.sparkContext.defaultParallelism
+    assert parts(spread(df)) == [1000] and parts(spread(df.limit(0))) == [0]
+    assert len(parts(spread(df, few=10))) == min(cores, 100)
+    many = parts(spread(df, few=10, many=25))
+    assert len(many) == 40 and max(many) <= 50 and sum(many) == 1000
+
+
 def test_grid_search_over_other_parameters(spark, sample):
     _, df = sample
     model = models.logistic("y", maxIter=5)
