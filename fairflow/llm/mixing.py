@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.hashing import uniform
 from .register import query
-from .staging import staged
+from .staging import staged_few
 
 ROUNDS = 12
 BOUNDED_ROUNDS = 24
@@ -77,14 +77,15 @@ def _fit(current: DataFrame, targets: Mapping[str, float | Mapping], rounds: int
             weight = F.col("weight") * factor
             current = current.withColumn("weight", weight if most is None else F.least(weight, most))
         if (turn + 1) % STAGED_ROUNDS == 0:
-            current = staged(current)
+            current, _ = staged_few(current)
     return current
 
 
 def rake(cells: DataFrame, targets: Mapping[str, float | Mapping], rounds: int = ROUNDS, keep: float | None = None) -> DataFrame:
-    """The cells with a ``weight``.  A step is one sum over the cells of each category.  With ``keep``
-    weights are bounded, and the keep that every category can meet is added."""
-    cells = staged(cells)
+    """The cells with a ``weight``.  A step is one sum over the cells of each category; a few cells are fitted in one
+    task, without an exchange for each step.  With ``keep`` weights are bounded, and the keep that every category can
+    meet is added."""
+    cells, _ = staged_few(cells)
     current = cells.withColumn("weight", F.lit(1.0))
     whole = cells.agg(F.sum("tokens").cast("double").alias("_whole"))
     limits = [F.lit(keep)]
@@ -96,7 +97,7 @@ def rake(cells: DataFrame, targets: Mapping[str, float | Mapping], rounds: int =
             F.when(F.col("tokens") > 0, F.try_divide("tokens", F.try_divide("raw", "sum") * F.col("_whole"))).alias(f"_keep_{dimension}"))
         current = current.withColumn("_category", F.struct(dimension)).join(share, "_category").drop("_category")
         limits.append(F.min(f"_keep_{dimension}"))
-    current = staged(current.crossJoin(F.broadcast(whole)))
+    current, _ = staged_few(current.crossJoin(F.broadcast(whole)))
     if keep is None:
         return _fit(current, targets, rounds).select(*cells.columns, "weight")
     current = current.crossJoin(F.broadcast(current.agg(F.least(*limits).alias("keep"))))

@@ -4,7 +4,7 @@ import brute
 import numpy as np
 import pytest
 
-from fairflow.llm import families, minhash
+from fairflow.llm import families, minhash, staging
 from fairflow.llm.components import components
 from pyspark.sql import functions as F
 
@@ -107,3 +107,23 @@ def test_components_of_chain_star_and_random(spark):
     for v in {v for a, b in edges if a != b for v in (a, b)}:
         groups.setdefault(root(v), set()).add(labels[v])
     assert all(len(g) == 1 for g in groups.values()) and len({min(g) for g in groups.values()}) == len(groups)
+
+
+def test_few_links_are_contracted_in_one_task_a_step(spark, monkeypatch):
+    r = random.Random(7)
+    edges = [(k, k + 1) for k in range(40)] + [(r.randrange(100, 160), r.randrange(100, 160)) for _ in range(45)] + [(200, 201), (201, 200), (7, 7)]
+    links = spark.createDataFrame(edges, "a long, b long")
+
+    def found(few):
+        monkeypatch.setattr(staging, "FEW_ROWS", few)
+        spark.sparkContext.setJobGroup(f"links-{few}", "")
+        try:
+            labels = {row.node: row.label for row in components(links).collect()}
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(f"links-{few}")
+        return {frozenset(n for n in labels if labels[n] == x) for x in labels.values()}, len(jobs)
+
+    (few, jobs), (mixed, _), (dealt, many) = found(staging.FEW_ROWS), found(30), found(0)
+    assert few == mixed == dealt and frozenset(range(41)) in few and frozenset({200, 201}) in few
+    assert 3 * jobs < 2 * many

@@ -2,7 +2,7 @@ import pytest
 from compare import difference, duck
 from pyspark.sql import functions as F
 
-from fairflow.llm import mixing
+from fairflow.llm import mixing, staging
 
 
 def test_matches_sql(spark):
@@ -65,3 +65,21 @@ def test_sample_meets_the_margins_of_the_whole_table(spark):
         target = mixing.TARGETS[c]
         raw = {r[c]: target[r[c]] if c == "lang" else r.own ** target for r in rows}
         assert {r[c]: r.got / drawn for r in rows} == pytest.approx({k: v / sum(raw.values()) for k, v in raw.items()}, rel=0.01)
+
+
+def test_few_cells_are_fitted_without_a_job_for_each_step(spark, monkeypatch):
+    cells = spark.createDataFrame([(s, g, t, 10 + 7 * k) for k, (s, g, t) in enumerate(
+        (s, g, t) for s in ("a", "b", None) for g in ("en", None) for t in "xy")], "source string, lang string, topic string, tokens long")
+
+    def fitted(few):
+        monkeypatch.setattr(staging, "FEW_ROWS", few)
+        spark.sparkContext.setJobGroup(f"rake-{few}", "")
+        try:
+            weights = {r[:3]: r.weight for r in mixing.rake(cells, {"source": 0.5, "lang": {"en": 1.0, mixing.REST: 1.0}, "topic": 0.7}, keep=0.5).collect()}
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return weights, len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"rake-{few}"))
+
+    (few, jobs), (dealt, many) = fitted(staging.FEW_ROWS), fitted(0)
+    assert len(few) == 12 and few == pytest.approx(dealt)
+    assert jobs < 50 < 100 < many
