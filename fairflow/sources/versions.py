@@ -1,7 +1,7 @@
 """Tables replaced in one step: versions in folders of their own, and a pointer to the present one.
 
 Below a table's folder lie ``_versions/<id>/``, one folder per version, and ``_versions/current``, a file with the
-ids of the present version and the one before.  A replacement writes a new folder and then renames a new
+ids of the present version and the one before.  A replacement writes a hidden folder, renames it to the new version and then renames a new
 pointer over the old one; until that moment, and for good if the write fails, readers resolve the old
 version.  The version before stays for readers that have resolved it and goes with the next replacement.  A table
 without a pointer is a plain folder, as other tools write it, and so is a new table, which is renamed into place as a whole.
@@ -130,12 +130,13 @@ def replace(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequen
         return _create(df, path, fmt, partition_by)
     before = _read(spark, path) or [_PLAIN]
     version = uuid.uuid4().hex
-    folder = _folder(path, version)
+    # Tasks that still end when a write has failed may make their folder anew: a hidden one, never a version's.
+    folder, work = _folder(path, version), _folder(path, f".{version}")
     try:
-        df.write.format(fmt).partitionBy(*partition_by).save(folder)
-    except BaseException:
-        fs.delete(_path(spark, folder), True)
-        raise
+        df.write.format(fmt).partitionBy(*partition_by).save(work)
+        _rename(spark, work, folder)
+    finally:
+        fs.delete(_path(spark, work), True)
     _point(spark, path, [version, *before[:1]])
     for old in before[1:2]:
         _delete(spark, path, old)
