@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from itertools import accumulate, product
 from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
@@ -12,14 +12,15 @@ from typing import NamedTuple
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
-    GBTClassifier, LogisticRegression, RandomForestClassificationModel, RandomForestClassifier,
+    GBTClassifier, LogisticRegression, RandomForestClassificationModel, RandomForestClassifier as SparkForest,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..session import reused, scratch_path, spread, stage
+from ..session import reused, spread, stage
+from .forests import RandomForestClassifier, leaf_finder, saved_nodes
 from .metrics import accuracy_at_threshold, class_balance, classification_report, roc_auc
 from .registry import RunStore, run_record
 from .threshold import TunedThreshold
@@ -91,25 +92,22 @@ def feature_pipeline(categorical: Sequence[str], numeric: Sequence[str], label:
 
 
 def leaf_chances(model: RandomForestClassificationModel, spark: SparkSession) -> list[list[float]]:
-    """The chance of the second class in every leaf of every tree, leaves in the order `leafCol` numbers them.
+    """The chance of the second class in every leaf of every tree, leaves in the order `leafCol` numbers them."""
+    return node_chances(saved_nodes(model, spark))
 
-    Read from the nodes as the model saves them; a leaf has no children.  As large as the model, whatever the rows.
-    """
-    path = scratch_path(spark, "forest")
-    model.write().overwrite().save(path)
-    leaves = spark.read.parquet(f"{path}/data").filter("nodeData.leftChild < 0").select(
-        "treeID", "nodeData.id", "nodeData.impurityStats").collect()
-    out: list[list[float]] = [[] for _ in range(model.getNumTrees)]
-    for row in sorted(leaves):
-        total = sum(row["impurityStats"])
-        out[row["treeID"]].append(row["impurityStats"][1] / total if total else 0.0)
-    return out
-
-
-def prefix_scores(scored: DataFrame, leaf_col: str, chances: Sequence[Sequence[float]], counts: Sequence[int]) -> list[Column]:
+
+def node_chances(forest: Sequence[Sequence[dict]]) -> list[list[float]]:
+    """`leaf_chances` of the saved nodes; a leaf has no children."""
+    counts = [[node["impurityStats"] for node in tree if node["leftChild"] < 0] for tree in forest]
+    return [[c[1] / sum(c) if sum(c) else 0.0 for c in tree] for tree in counts]
+
+
+def prefix_scores(scored: DataFrame, col: str, chances: Sequence[Sequence[float]], counts: Sequence[int],
+                  finder: Callable | None = None, features: int = 0) -> list[Column]:
     """``_trees_<n>``: the score of the forest of the first n trees, for every n, from one pass over the rows.
 
-    The chances are looked up and summed in Arrow batches, the trees in their order.
+    ``col`` holds the leaves reached, or ``features`` numbers from which the function that ``finder`` makes finds them.  The
+    chances are looked up and summed in Arrow batches, the trees in their order.
     """
     table, first = [p for tree in chances for p in tree], [0, *accumulate(map(len, chances))][:-1]
 
@@ -117,11 +115,12 @@ def prefix_scores(scored: DataFrame, leaf_col: str, chances: Sequence[Sequence[f
         import numpy as np
 
         chance, start, n = np.array(table, dtype="float64"), np.array(first, dtype="int64"), np.array(counts)
-        return lambda leaves: np.cumsum(chance[start + leaves.astype("int64")], axis=1)[:, n - 1] / n
+        find = (lambda leaves: leaves.astype("int64")) if finder is None else finder()
+        return lambda rows: np.cumsum(chance[start + find(rows)], axis=1)[:, n - 1] / n
 
-    predict = predict_batch_udf(
-        make_predict, return_type=T.ArrayType(T.DoubleType()), batch_size=4096, input_tensor_shapes=[[len(chances)]])
-    scores = predict(vector_to_array(leaf_col))
+    predict = predict_batch_udf(make_predict, return_type=T.ArrayType(T.DoubleType()), batch_size=1 << 14,
+                                input_tensor_shapes=[[features or len(chances)]])
+    scores = predict(vector_to_array(col))
     return [F.get(scores, F.lit(i)).alias(f"_trees_{n}") for i, n in enumerate(counts)]
 
 
@@ -146,7 +145,7 @@ def grid_search(pipeline: Pipeline, classifier: Estimator, df: DataFrame,
     if folds <= 1:
         return Search(pipeline, {}, [], None)
     grid = {k: list(v) for k, v in (grid or {"numTrees": TREE_COUNTS}).items()}
-    counts = sorted(grid["numTrees"]) if isinstance(classifier, RandomForestClassifier) and "numTrees" in grid else []
+    counts = sorted(grid["numTrees"]) if isinstance(classifier, SparkForest) and "numTrees" in grid else []
     others = [k for k in grid if not (counts and k == "numTrees")]
     label, spark = classifier.getLabelCol(), df.sparkSession
     # The draw is written with its row, so that no row changes its fold.
@@ -156,15 +155,17 @@ def grid_search(pipeline: Pipeline, classifier: Estimator, df: DataFrame,
         values, fold = task
         extra = {classifier.getParam(k): v for k, v in zip(others, values)}
         if counts:
-            extra |= {classifier.numTrees: counts[-1], classifier.leafCol: "_leaf"}
+            extra |= {classifier.numTrees: counts[-1]}
         # Only ranks matter to the metric, so threshold stages are left out of the search.
         stages = [s for s in pipeline.copy(extra).getStages() if not isinstance(s, TunedThreshold)]
         fitted = Pipeline(stages=stages).fit(spread(dealt.filter(F.col("_fold") != fold).drop("_fold")))
-        scored = fitted.transform(spread(dealt.filter(F.col("_fold") == fold).drop("_fold")))
-        scores = [F.col(classifier.getRawPredictionCol())]
+        held = spread(dealt.filter(F.col("_fold") == fold).drop("_fold"))
         if counts:
-            forest = next(s for s in fitted.stages if isinstance(s, RandomForestClassificationModel))
-            scores = prefix_scores(scored, "_leaf", leaf_chances(forest, spark), counts)
+            at, forest = next((i, s) for i, s in enumerate(fitted.stages) if isinstance(s, RandomForestClassificationModel))
+            scored, nodes = PipelineModel(fitted.stages[:at]).transform(held), saved_nodes(forest, spark)
+            scores = prefix_scores(scored, forest.getFeaturesCol(), node_chances(nodes), counts, leaf_finder(nodes), forest.numFeatures)
+        else:
+            scored, scores = fitted.transform(held), [F.col(classifier.getRawPredictionCol())]
         with reused(scored.select(label, *scores)) as narrow:
             return [BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=c, metricName="areaUnderROC").evaluate(narrow)
                     for c in narrow.columns[1:]]

@@ -10,6 +10,7 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from pathlib import Path
+from threading import Lock
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -39,20 +40,24 @@ def build_session(app: str = "fairflow", master: str | None = None, **conf: str)
     return spark
 
 
+_SHIPPING = Lock()
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, which import the functions that run in tasks.
 
     `build_session` does it; call it once for a session started elsewhere, unless the package is installed on every machine.
     """
     context, package = spark.sparkContext, Path(__file__).resolve().parent
-    if getattr(context, "_shipped", None) == str(package) or not package.is_dir():
-        return
-    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"  # read by the driver's own file server
-    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
-        for source in sorted(package.rglob("*.py")):
-            out.write(source, source.relative_to(package.parent))
-    context.addPyFile(str(archive))
-    context._shipped = str(package)
+    with _SHIPPING:
+        if getattr(context, "_shipped", None) == str(package) or not package.is_dir():
+            return
+        archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"  # read by the driver's own file server
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        context._shipped = str(package)
 
 
 def _is_local(spark: SparkSession) -> bool:
