@@ -130,7 +130,7 @@ def test_more_classes_and_weights_are_left_to_spark(rows):
 
 
 def test_forest_takes_no_fit_of_sparks(rows, monkeypatch):
-    """Spark's fit keeps 800 bytes a row for 200 trees and took 34,000 CPU seconds for 6 GB: the search must not use it."""
+    """Spark's fit keeps 800 bytes a row for 200 trees and is carried on to 34,000 CPU seconds at 6 GB: the search must not use it."""
     pipeline = models.feature_pipeline(["c"], ["a", "b"], "y", forest := models.random_forest("y", 4))
     with monkeypatch.context() as patch:
         patch.setattr(SparkForest, "_fit", lambda *a: pytest.fail("left to Spark"))
